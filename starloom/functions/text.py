@@ -22,7 +22,14 @@ DOUBLE_QUOTE = '"'
 NOT_ASCII_WORD = "[^a-zA-Z0-9\\s]"
 # ---------------------------------------------------------------------------
 
-UNUSABLE_PATTERNS = (ONLY_DIGITS, ONLY_WHITESPACE, DIGITS_LETTERS_EDGE)
+# The same test as DIGITS_LETTERS_EDGE in linear time: "letters then digits at
+# the end" holds exactly when the final digit run is preceded by a letter, so
+# one letter suffices; the greedy "[a-zA-Z]+" retries every suffix of every
+# word (quadratic per word).  "$" keeps Java's meaning (end, or before a final
+# line terminator) in both.
+DIGITS_LETTERS_EDGE_FAST = "^[0-9]+[a-zA-Z]|[a-zA-Z][0-9]+$"
+
+UNUSABLE_PATTERNS = (ONLY_DIGITS, ONLY_WHITESPACE, DIGITS_LETTERS_EDGE_FAST)
 
 
 def remove_phrase(c, phrase: str) -> Column:
@@ -47,9 +54,9 @@ def classify_text(c, placeholder: str = PLACEHOLDER_TEXT, patterns=UNUSABLE_PATT
 
 def strip_text(c) -> Column:
     """STR3 + STR4: drop double quotes, then everything but ASCII letters,
-    digits and whitespace."""
+    digits and whitespace.  Idempotent: its output holds only kept chars."""
     col = as_col(c)
-    return F.regexp_replace(F.regexp_replace(col, DOUBLE_QUOTE, ""), NOT_ASCII_WORD, "")
+    return F.regexp_replace(F.replace(col, F.lit(DOUBLE_QUOTE), F.lit("")), NOT_ASCII_WORD, "")
 
 
 def clean_text_first_pass(c, placeholder: str = PLACEHOLDER_TEXT) -> Column:
@@ -57,9 +64,11 @@ def clean_text_first_pass(c, placeholder: str = PLACEHOLDER_TEXT) -> Column:
     return strip_text(classify_text(c, placeholder))
 
 
-def clean_text_second_pass(c, placeholder: str = PLACEHOLDER_TEXT) -> Column:
-    """Strip, then validate (the books-table order)."""
-    return classify_text(strip_text(c), placeholder)
+def clean_text_second_pass(c, placeholder: str = PLACEHOLDER_TEXT, already_stripped: bool = False) -> Column:
+    """Strip, then validate (the books-table order).  On the output of a first
+    pass the strip is a no-op (``strip_text`` is idempotent and the
+    placeholder holds only kept characters), so ``already_stripped`` skips it."""
+    return classify_text(c if already_stripped else strip_text(c), placeholder)
 
 
 def clean_text(c, passes: int = 2, placeholder: str = PLACEHOLDER_TEXT) -> Column:
@@ -71,5 +80,5 @@ def clean_text(c, passes: int = 2, placeholder: str = PLACEHOLDER_TEXT) -> Colum
     """
     out = clean_text_first_pass(c, placeholder)
     for _ in range(max(passes - 1, 0)):
-        out = clean_text_second_pass(out, placeholder)
+        out = clean_text_second_pass(out, placeholder, already_stripped=True)
     return out

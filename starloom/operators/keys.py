@@ -7,9 +7,10 @@ a total order over natural-key columns, 0-based (or ``start``-based):
 1. ``orderBy(order)`` range-partitions and sorts (one shuffle, no single task);
 2. ``monotonically_increasing_id`` then reads (partition index, row number
    within the partition) off every row;
-3. the sorted rows are checkpointed into the shared checkpoint folder, so the
-   counting pass and the numbering pass see the very same rows even if an
-   executor is lost in between;
+3. the sorted rows are written as parquet into the shared checkpoint folder,
+   so the counting pass and the numbering pass see the very same rows even if
+   an executor is lost in between, and later reads prune to the columns they
+   need;
 4. rows per partition are counted (one row per partition comes back, a size
    bounded by the partition count, not by the data) and turned into running
    offsets;
@@ -29,15 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import scratch_path
 
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-@dataclass(frozen=True)
+@dataclass
 class Keyed:
-    """A keyed table with its measured size (rows and data bytes).
+    """A keyed table with its row count; its data size is measured on demand.
 
     The keys of ``df`` are exactly ``start .. start + rows - 1``.
     """
@@ -45,8 +46,16 @@ class Keyed:
     df: DataFrame
     key: str
     rows: int
-    data_bytes: int
     start: int = 0
+    _bytes: int | None = None
+
+    @property
+    def data_bytes(self) -> int:
+        """Bytes of the table's values (strings by their real length): one
+        aggregate over the written table, computed once."""
+        if self._bytes is None:
+            self._bytes = int(self.df.agg(F.sum(_row_bytes(self.df.schema))).first()[0] or 0)
+        return self._bytes
 
     def key_in_range(self, c) -> "F.Column":
         """Membership in this table's key set, as a plain predicate."""
@@ -83,30 +92,25 @@ def assign_dense_key(
 ) -> Keyed:
     """Add a dense, deterministic 64-bit key ordered by ``order`` (asc, nulls first)."""
     spark: SparkSession = df.sparkSession
-    checkpoint_dir(spark)
     cols = df.columns
-    ordered = df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order]).withColumn(
-        "__mid", F.monotonically_increasing_id()
-    )
-    ordered = ordered.checkpoint(eager=True)
+    path = scratch_path(spark, f"keyed-{key}")
+    (df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order])
+       .withColumn("__mid", F.monotonically_increasing_id())
+       .write.parquet(path))
+    ordered = spark.read.parquet(path)
     pid = F.shiftright("__mid", _ROW_BITS)
-    counts = (
-        ordered.groupBy(pid.alias("__pid"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b"))
-        .collect()
-    )
-    offsets, running, total_bytes = [], 0, 0
+    counts = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("n")).collect()
+    offsets, running = [], 0
     for r in sorted(counts, key=lambda r: r["__pid"]):
         offsets.append((r["__pid"], running + start))
         running += r["n"]
-        total_bytes += r["b"] or 0
     off_schema = "__pid long, __off long"
     off_df = spark.createDataFrame(offsets, off_schema) if offsets else spark.createDataFrame([], off_schema)
     keyed = ordered.withColumn("__pid", pid).join(F.broadcast(off_df), "__pid")
     key_col = (F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_ROW_MASK))).alias(key)
     out_cols = [F.col(f"`{c}`") for c in cols if c != key]
     out = keyed.select(key_col, *out_cols) if front else keyed.select(*out_cols, key_col)
-    return Keyed(out, key, running, total_bytes, start)
+    return Keyed(out, key, running, start)
 
 
 def hash_key(*cols) -> "F.Column":

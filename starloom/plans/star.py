@@ -28,7 +28,8 @@ REVIEW_ORDER = ["book_id", "reviews", "score"]
 
 
 def books_rows(cleaned: DataFrame) -> DataFrame:
-    """JOB2 without keys: the book columns, description cleaned a second time."""
+    """JOB2 without keys: the book columns, description cleaned a second time
+    (``cleaned`` is JOB1 output, whose description is already stripped)."""
     return cleaned.select(
         F.col("title").alias("book_title"),
         F.col("pages").alias("num_pages"),
@@ -37,7 +38,7 @@ def books_rows(cleaned: DataFrame) -> DataFrame:
         "genres",
         "rating",
         "author",
-        text.clean_text_second_pass("description").alias("description"),
+        text.clean_text_second_pass("description", already_stripped=True).alias("description"),
     )
 
 
