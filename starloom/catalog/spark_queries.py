@@ -23,6 +23,7 @@ from ..operators import (
     null_census,
     row_count,
     schema_report,
+    spread,
 )
 from ..plans import load as ld
 from ..plans import reports, views
@@ -132,7 +133,7 @@ def q_date_defaults(spark, sf_dir):
 
 
 def q_text_classify(spark, sf_dir):
-    docs = read_testdata(spark, sf_dir, "documents")
+    docs = spread(read_testdata(spark, sf_dir, "documents"))
     return docs.select(
         "doc_id",
         text.is_unusable_text("text").alias("unusable"),
@@ -151,7 +152,7 @@ def q_text_clean(spark, sf_dir):
 
 
 def q_text_clean_documents(spark, sf_dir):
-    docs = read_testdata(spark, sf_dir, "documents")
+    docs = spread(read_testdata(spark, sf_dir, "documents"))
     return docs.select("doc_id", "lang", text.clean_text("text", passes=2).alias("cleaned_text"))
 
 

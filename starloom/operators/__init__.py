@@ -4,6 +4,7 @@ from .dedupe import dedupe_by_key, distinct_values, drop_exact_duplicates
 from .joins import broadcast_budget, lookup, maybe_broadcast
 from .keys import Keyed, assign_dense_key, hash_key, renumber
 from .membership import drop_existing, keep_existing, rejected_rows
+from .parallel import spread
 from .quality import null_census, null_census_tall, row_count, schema_report
 from .topk import sort_desc, top_k
 
@@ -26,5 +27,6 @@ __all__ = [
     "row_count",
     "schema_report",
     "sort_desc",
+    "spread",
     "top_k",
 ]

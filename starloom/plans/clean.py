@@ -73,14 +73,16 @@ def fill_defaults(df: DataFrame, as_of=None) -> DataFrame:
 
 
 def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str = "_id",
-                  id_unique: bool = True, fill: bool = True) -> DataFrame:
+                  id_unique: bool = True, fill: bool = True, keep_id: bool = False) -> DataFrame:
     """JOB1.
 
     ``dedupe``: ``"exact"`` drops rows equal on every column including the
     document id (the reference's order: de-duplicate, then drop the id); when
     ``id_unique`` (a document store's primary key is) that removes nothing, so
     the shuffle is skipped.  ``"content"`` ignores the id and drops documents
-    that differ only in it.  ``"none"`` keeps every row.
+    that differ only in it.  ``"none"`` keeps every row.  ``keep_id`` keeps
+    the document id as ``record_id`` (the reference drops it), so facts can
+    attach to their own record instead of by title (``Star(attach="record")``).
     """
     has_id = id_col in raw.columns
     out = raw.select(*clean_record_columns(id_col if has_id else None))
@@ -89,5 +91,5 @@ def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str
     elif dedupe == "exact" and not (has_id and id_unique):
         out = out.dropDuplicates()
     if has_id and id_col in out.columns:
-        out = out.drop(id_col)
+        out = out.withColumnRenamed(id_col, "record_id") if keep_id else out.drop(id_col)
     return fill_defaults(out, as_of) if fill else out

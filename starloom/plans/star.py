@@ -27,10 +27,15 @@ RATING_ORDER = ["book_title", "rating", "num_ratings", "num_reviews", "score"]
 REVIEW_ORDER = ["book_id", "reviews", "score"]
 
 
+def _record(cleaned: DataFrame) -> list:
+    return ["record_id"] if "record_id" in cleaned.columns else []
+
+
 def books_rows(cleaned: DataFrame) -> DataFrame:
     """JOB2 without keys: the book columns, description cleaned a second time
     (``cleaned`` is JOB1 output, whose description is already stripped)."""
     return cleaned.select(
+        *_record(cleaned),
         F.col("title").alias("book_title"),
         F.col("pages").alias("num_pages"),
         "cover_type",
@@ -43,7 +48,7 @@ def books_rows(cleaned: DataFrame) -> DataFrame:
 
 
 def build_books(cleaned: DataFrame) -> Keyed:
-    return assign_dense_key(books_rows(cleaned), BOOK_ORDER, "book_id")
+    return assign_dense_key(books_rows(cleaned), BOOK_ORDER + _record(cleaned), "book_id")
 
 
 def build_authors(cleaned: DataFrame) -> Keyed:
@@ -66,6 +71,7 @@ def build_genres(cleaned: DataFrame, trim_items: bool = False) -> Keyed:
 
 def ratings_rows(cleaned: DataFrame) -> DataFrame:
     return cleaned.select(
+        *_record(cleaned),
         F.col("title").alias("book_title"),
         "rating",
         "num_ratings",
@@ -76,15 +82,22 @@ def ratings_rows(cleaned: DataFrame) -> DataFrame:
 
 def build_ratings(cleaned: DataFrame) -> Keyed:
     """JOB6: one rating row per record."""
-    return assign_dense_key(ratings_rows(cleaned), RATING_ORDER, "rating_id")
+    return assign_dense_key(ratings_rows(cleaned), RATING_ORDER + _record(cleaned), "rating_id")
+
 
+ATTACH_KEYS = {"title": "book_title", "record": "record_id"}
 
-def build_reviews(cleaned: DataFrame, books: Keyed) -> Keyed:
+
+def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title") -> Keyed:
     """JOB7: review facts, the book found by title.  A title shared by m books
     and n records gives m x n rows, as in the reference; the join is an
-    equi-join on the title, so AQE splits a hot title's partition."""
-    recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score")
-    pairs = recs.join(books.df.select("book_title", "book_id"), "book_title", "inner")
+    equi-join on the title, so AQE splits a hot title's partition.  With
+    ``attach="record"`` each record's review attaches to the book of the same
+    record (1:1, no fan-out, immune to a hot title such as the 'No title'
+    placeholder)."""
+    k = ATTACH_KEYS[attach]
+    recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score", *_record(cleaned))
+    pairs = recs.join(books.df.select(k, "book_id"), k, "inner")
     return assign_dense_key(pairs.select("book_id", "reviews", "score"), REVIEW_ORDER, "review_id")
 
 
@@ -101,29 +114,47 @@ def build_book_genres(books: Keyed, genres: Keyed, trim_items: bool = False) ->
     return exploded.join(dim, "genre_name", "inner").select("book_id", "genre_id")
 
 
-def title_pairs(books: Keyed, ratings: Keyed) -> DataFrame:
-    """Book x rating pairs sharing a title (JOIN2)."""
-    b = books.df.select("book_id", "book_title")
-    r = ratings.df.select("rating_id", F.col("book_title").alias("r_title"))
-    return b.join(r, b["book_title"] == r["r_title"], "inner").select("book_id", "rating_id")
+def title_pairs(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFrame:
+    """Book x rating pairs sharing a title (JOIN2), or the same record."""
+    k = ATTACH_KEYS[attach]
+    b = books.df.select("book_id", k)
+    r = ratings.df.select("rating_id", F.col(k).alias("__r_key"))
+    return b.join(r, b[k] == r["__r_key"], "inner").select("book_id", "rating_id")
 
 
-def build_book_ratings(books: Keyed, ratings: Keyed) -> DataFrame:
+def build_book_ratings(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFrame:
     """JOB8: the bridge, then the referential filter on both parents (JOIN6).
     Parents are dense-keyed, so membership is a range test, not a join."""
-    pairs = title_pairs(books, ratings)
+    pairs = title_pairs(books, ratings, attach)
     pairs = keep_existing(pairs, books, "book_id")
     return keep_existing(pairs, ratings, "rating_id")
 
 
 @dataclass
 class Star:
-    """Lazily built star schema over one cleaned table."""
+    """Lazily built star schema over one cleaned table.
+
+    ``attach="title"`` (the reference's semantics) attaches ratings and
+    reviews to books by title; ``attach="record"`` needs ``record_id`` in
+    ``cleaned`` (``clean_records(keep_id=True)``) and attaches each to the book
+    of its own record.
+    """
 
     cleaned: DataFrame
     trim_genres: bool = False
+    attach: str = "title"
     _cache: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.attach not in ATTACH_KEYS:
+            raise ValueError(f"attach must be one of {sorted(ATTACH_KEYS)}")
+        if self.attach == "record" and "record_id" not in self.cleaned.columns:
+            raise ValueError("attach='record' needs clean_records(..., keep_id=True)")
+
+    @property
+    def attach_key(self) -> str:
+        return ATTACH_KEYS[self.attach]
+
     def _get(self, name, fn):
         if name not in self._cache:
             self._cache[name] = fn()
@@ -147,7 +178,7 @@ class Star:
 
     @property
     def reviews(self) -> Keyed:
-        return self._get("reviews", lambda: build_reviews(self.cleaned, self.books))
+        return self._get("reviews", lambda: build_reviews(self.cleaned, self.books, self.attach))
 
     @property
     def book_genres(self) -> DataFrame:
@@ -155,4 +186,4 @@ class Star:
 
     @property
     def book_ratings(self) -> DataFrame:
-        return self._get("book_ratings", lambda: build_book_ratings(self.books, self.ratings))
+        return self._get("book_ratings", lambda: build_book_ratings(self.books, self.ratings, self.attach))

@@ -67,3 +67,16 @@ def test_report_totals(spark, star):
 def test_trimmed_genres_option(spark):
     s = Star(sq.cleaned(spark, SF01), trim_genres=True)
     assert s.genres.rows == 23
+
+
+def test_attach_by_record_has_no_fan_out(spark):
+    cleaned = sq.clean_records(sq.raw(spark, SF01), as_of=sq.AS_OF, keep_id=True)
+    s = Star(cleaned, attach="record")
+    assert s.reviews.rows == 2000
+    br = s.book_ratings
+    assert br.count() == 2000
+    # each book pairs with the rating of its own record
+    joined = (br.join(s.books.df.select("book_id", "record_id"), "book_id")
+                .join(s.ratings.df.select("rating_id", F.col("record_id").alias("r")), "rating_id"))
+    assert joined.filter(F.col("record_id") != F.col("r")).count() == 0
+    assert views.books_left_ratings(s).count() == 2000
