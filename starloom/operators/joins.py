@@ -18,17 +18,26 @@ _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 2
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
-def broadcast_budget(spark: SparkSession) -> int:
-    """Bytes a broadcast side may hold: the session's autoBroadcastJoinThreshold
-    (-1 disables broadcasting)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+def _bytes(raw) -> int | None:
     m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(raw))
     if not m:
-        return 10 << 20
+        return None
     n = int(m.group(1))
     return -1 if n < 0 else n * _UNITS.get(m.group(2).lower(), 1)
 
 
+def broadcast_budget(spark: SparkSession) -> int:
+    """Bytes a measured broadcast side may hold: the runtime (AQE) broadcast
+    threshold if set, else the static one; -1 disables broadcasting."""
+    for key in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"):
+        raw = spark.conf.get(key, None)
+        if raw not in (None, ""):
+            b = _bytes(raw)
+            if b is not None:
+                return b
+    return 10 << 20
+
+
 def maybe_broadcast(df: DataFrame, data_bytes: int | None) -> DataFrame:
     """Mark ``df`` for broadcast when its measured size fits the budget."""
     if data_bytes is None:

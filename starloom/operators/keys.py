@@ -63,23 +63,21 @@ class Keyed:
         return col.between(F.lit(self.start), F.lit(self.start + self.rows - 1))
 
 
-_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
-                T.FloatType: 4, T.DateType: 4, T.DecimalType: 16}
-
-
 def _row_bytes(schema: T.StructType):
-    """Per-row size estimate: real length of strings, fixed width otherwise."""
-    parts = []
+    """Per-row size in Spark's binary row layout: a null bitmap word per 64
+    fields, an 8-byte slot per field, and variable-length data (strings by
+    their real length, arrays by element count) rounded up to 8 bytes."""
+    n = len(schema.fields)
+    total = F.lit(8 * ((n + 63) // 64) + 8 * n).cast("long")
     for f in schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+            var = F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(f.dataType, T.ArrayType):
-            parts.append(F.coalesce(F.size(F.col(f"`{f.name}`")), F.lit(0)) * 16)
+            var = F.lit(16) + F.coalesce(F.size(c), F.lit(0)) * 16
         else:
-            parts.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 8)))
-    total = F.lit(0).cast("long")
-    for p in parts:
-        total = total + p
+            continue
+        total = total + F.ceil(var / 8) * 8
     return total
 
 

@@ -14,6 +14,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
+    # Broadcast only what is measured: no broadcast from static plan estimates
+    # (a compressed file size can understate the in-memory size many times);
+    # AQE may still broadcast a side whose materialised shuffle output is small,
+    # and the library broadcasts keyed tables whose bytes it has measured.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

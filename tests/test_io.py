@@ -43,3 +43,19 @@ def test_skip_only_too_long_lines(spark):
                                                  (8, "i,j", None)]
     # the same rows when a projection prunes the scan
     assert df.select("id").count() == 5
+
+
+def test_export_star_writes_seven_tables(spark):
+    from starloom.catalog import spark_queries as sq
+    from starloom.plans.export import export_star
+
+    star = sq.star(spark, "/root/testdata/sf0.001")
+    out = os.path.join(_tmp(), "star")
+    paths = export_star(star, out, single_file=True)
+    assert sorted(paths) == ["authors", "book_genres", "book_ratings", "books", "genres", "ratings", "reviews"]
+    authors = read_csv(spark, paths["authors"], "author_id long, author_name string")
+    assert sorted(map(tuple, authors.collect())) == sorted(map(tuple, star.authors.df.collect()))
+    books = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(paths["books"])
+    assert books.columns == ["book_id", "book_title", "author_id", "num_pages", "cover_type", "publish_date",
+                             "description", "genre_ids"]
+    assert books.count() == star.books.rows

@@ -42,7 +42,8 @@ def test_keyed_membership_is_range(spark):
     assert sorted(r.id for r in keep_existing(probe, keyed, "id").collect()) == [0, 2]
     assert sorted((r.id for r in drop_existing(probe, keyed, "id").collect()), key=str) == [-1, 3, None]
     assert sorted((r.id for r in rejected_rows(probe, keyed, "id").collect()), key=str) == [-1, 3, None]
-    assert keyed.data_bytes == 3 + 3 * 8  # one char per name plus the 8-byte key
+    # per row: null bitmap word + two 8-byte slots + one char padded to 8 bytes
+    assert keyed.data_bytes == 3 * (8 + 16 + 8)
 
 
 def test_renumber_from_one(spark):
