@@ -27,8 +27,7 @@ from ..operators import (
 )
 from ..plans import load as ld
 from ..plans import reports, views
-from ..plans.clean import clean_record_columns, clean_records
-from ..plans.export import star_tables
+from ..plans.clean import clean_records
 from ..plans.star import Star
 from ..session import scratch_path
 from ..sources import (
@@ -378,8 +377,4 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-def all_star_tables(spark, sf_dir):
-    return star_tables(star(spark, sf_dir))
-
-
-__all__ = ["QUERIES", "queries", "clean_record_columns"]
+__all__ = ["QUERIES", "queries"]

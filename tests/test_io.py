@@ -59,3 +59,17 @@ def test_export_star_writes_seven_tables(spark):
     assert books.columns == ["book_id", "book_title", "author_id", "num_pages", "cover_type", "publish_date",
                              "description", "genre_ids"]
     assert books.count() == star.books.rows
+
+
+def test_scan_any_format_feeds_cleaning(spark):
+    from starloom.plans import clean_records
+    from starloom.sources import raw_records_from_part, read_table
+
+    raw = raw_records_from_part(spark.read.parquet("/root/testdata/sf0.001/part.parquet"))
+    path = os.path.join(_tmp(), "raw_json")
+    raw.write.json(path)
+    back = read_table(spark, path, fmt="json")
+    a = clean_records(back, as_of=None).drop("date_text", "cleaned_date")
+    b = clean_records(raw, as_of=None).drop("date_text", "cleaned_date")
+    assert a.count() == b.count()
+    assert a.select(*b.columns).exceptAll(b).count() == 0
