@@ -19,7 +19,10 @@ a total order over natural-key columns, 0-based (or ``start``-based):
 When the order columns are a natural key the result equals
 ``row_number() OVER (ORDER BY order) - 1`` exactly; rows tied on every order
 column must be identical for the result to be deterministic, so order by all
-columns when no natural key exists.
+columns when no natural key exists.  Ties are broken by the row's position in
+the input, so that a value shared by a third of all rows is spread over many
+range partitions instead of landing in one sort task; tied rows being
+identical, which of them gets which key does not change the result.
 """
 
 from __future__ import annotations
@@ -92,7 +95,10 @@ def assign_dense_key(
     spark: SparkSession = df.sparkSession
     cols = df.columns
     path = scratch_path(spark, f"keyed-{key}")
-    (df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order])
+    sort_keys = [F.col(f"`{c}`").asc_nulls_first() for c in order] + [F.col("__tie")]
+    (df.withColumn("__tie", F.monotonically_increasing_id())
+       .orderBy(*sort_keys)
+       .drop("__tie")
        .withColumn("__mid", F.monotonically_increasing_id())
        .write.parquet(path))
     ordered = spark.read.parquet(path)

@@ -86,3 +86,27 @@ def test_null_census(spark):
 def test_top_k_orders_nan_first_nulls_last(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None), ("c", float("nan")), ("d", 1.0)], "n string, v double")
     assert [r.n for r in top_k(df, "v", 3, ["n"]).collect()] == ["c", "a", "d"]
+
+
+def test_dense_key_spreads_a_hot_value(spark):
+    from pyspark.sql import functions as F
+
+    # a third of the rows share one value: they must not all sort in one task
+    df = spark.range(0, 30000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("v"))
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keyed = assign_dense_key(df, ["v"], "k")
+        # each sort task writes one file of the keyed table
+        per_file = keyed.df.groupBy(F.input_file_name().alias("f")).count().collect()
+        assert len(per_file) >= 4
+        assert max(r["count"] for r in per_file) < 10000
+        agg = keyed.df.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()
+        assert tuple(agg) == (0, 29999, 30000)
+        hot = keyed.df.filter("v = 7").agg(F.min("k"), F.max("k"), F.count("*")).first()
+        # the 10,001 sevens (every third id, and id 7) take consecutive keys
+        # right after the four smaller values 1, 2, 4, 5
+        assert tuple(hot) == (4, 10004, 10001)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
