@@ -9,6 +9,7 @@ per action and they could disagree).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -160,6 +161,21 @@ class Star:
             self._cache[name] = fn()
         return self._cache[name]
 
+    KEYED = ("books", "authors", "genres", "ratings")
+
+    def build(self, *names: str) -> "Star":
+        """Build the named keyed tables that are independent of each other
+        (books, authors, genres, ratings) as concurrent Spark jobs: each is a
+        sort, a write and a count, and small ones leave most task slots idle."""
+        todo = [n for n in names if n in self.KEYED and n not in self._cache]
+        if len(todo) > 1:
+            with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+                for n, keyed in zip(todo, pool.map(lambda n: getattr(self, n), todo)):
+                    self._cache.setdefault(n, keyed)
+        for n in names:
+            getattr(self, n)
+        return self
+
     @property
     def books(self) -> Keyed:
         return self._get("books", lambda: build_books(self.cleaned))
@@ -182,8 +198,10 @@ class Star:
 
     @property
     def book_genres(self) -> DataFrame:
+        self.build("books", "genres")
         return self._get("book_genres", lambda: build_book_genres(self.books, self.genres, self.trim_genres))
 
     @property
     def book_ratings(self) -> DataFrame:
+        self.build("books", "ratings")
         return self._get("book_ratings", lambda: build_book_ratings(self.books, self.ratings, self.attach))
