@@ -90,8 +90,16 @@ def assign_dense_key(
     key: str,
     start: int = 0,
     front: bool = True,
+    bucket_rows: int | None = None,
 ) -> Keyed:
-    """Add a dense, deterministic 64-bit key ordered by ``order`` (asc, nulls first)."""
+    """Add a dense, deterministic 64-bit key ordered by ``order`` (asc, nulls first).
+
+    With ``bucket_rows`` a table of at least two buckets' worth of rows is
+    also written bucketed by the key (one bucket per ``bucket_rows`` rows): one
+    more shuffle now, and later joins and groupings on the key read the table
+    without shuffling it.  A smaller table is cheaper to re-shuffle per use
+    than to write twice, so it stays as it is.
+    """
     spark: SparkSession = df.sparkSession
     cols = df.columns
     path = scratch_path(spark, f"keyed-{key}")
@@ -114,9 +122,29 @@ def assign_dense_key(
     key_col = (F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_ROW_MASK))).alias(key)
     out_cols = [F.col(f"`{c}`") for c in cols if c != key]
     out = keyed.select(key_col, *out_cols) if front else keyed.select(*out_cols, key_col)
+    if bucket_rows and running >= 2 * bucket_rows and _session_catalog(spark) == "in-memory":
+        out = _bucketed_by_key(out, key, max(1, -(-running // bucket_rows)))
     return Keyed(out, key, running, start)
 
 
+def _session_catalog(spark: SparkSession) -> str:
+    """Bucketing metadata lives in the session catalog; only the in-memory one
+    is used here, so that no metastore database is ever created by us."""
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory")
+
+
+def _bucketed_by_key(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as an external table bucketed (and sorted) by ``key`` below
+    the shared checkpoint folder and return a scan of it.  The repartition
+    uses the bucketing hash, so each task writes exactly one bucket file."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"bucketed-{key}")
+    name = "starloom_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def hash_key(*cols) -> "F.Column":
     """Shuffle-free alternative: a 64-bit hash of the natural key (not dense,
     collisions possible in principle)."""

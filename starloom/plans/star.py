@@ -48,8 +48,15 @@ def books_rows(cleaned: DataFrame) -> DataFrame:
     )
 
 
+# Rows per bucket of the books table, which is written bucketed by book_id:
+# the views join it on book_id up to four times, and the bridges built from it
+# keep its partitioning, so the wide book rows are shuffled once, not per view.
+BOOK_BUCKET_ROWS = 1_000_000
+
+
 def build_books(cleaned: DataFrame) -> Keyed:
-    return assign_dense_key(books_rows(cleaned), BOOK_ORDER + _record(cleaned), "book_id")
+    return assign_dense_key(books_rows(cleaned), BOOK_ORDER + _record(cleaned), "book_id",
+                            bucket_rows=BOOK_BUCKET_ROWS)
 
 
 def build_authors(cleaned: DataFrame) -> Keyed:

@@ -110,3 +110,33 @@ def test_dense_key_spreads_a_hot_value(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_bucketed_keyed_table_joins_without_shuffling_it(spark):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 5000).select((F.col("id") * 7 % 5000).alias("v"), F.lit("x").alias("pad"))
+    keyed = assign_dense_key(df, ["v"], "k", bucket_rows=1000)
+    assert keyed.rows == 5000
+    assert sorted(r.k for r in keyed.df.select("k").collect()) == list(range(5000))
+    other = spark.range(0, 5000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("w"))
+    joined = keyed.df.join(other, "k")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        joined.explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "Bucketed: true" in plan
+    # only the other side is shuffled
+    import re
+
+    assert len(re.findall(r"^\(\d+\) Exchange", plan, flags=re.M)) == 1
+    assert joined.count() == 5000
+    # below two buckets' worth of rows the table is not rewritten
+    small = assign_dense_key(df.limit(100), ["v"], "k", bucket_rows=1000)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        small.df.join(other, "k").explain(mode="formatted")
+    assert "Bucketed: true" not in buf.getvalue()
