@@ -273,6 +273,14 @@ def oracle_sql() -> dict[str, str]:
   COALESCE(CAST(try_strptime(replace(date_text, 'First published ', ''), {_DATE_FORMATS}) AS DATE),
            DATE '1900-01-01') AS publish_date
 FROM (SELECT o_orderkey, {_ORDER_DATE_TEXT} AS date_text FROM orders)"""
+    lead = [(r"^([A-Za-z]+ [0-9]{1,2}, [0-9]+)", "%B %-d, %Y"), (r"^([0-9]+)", "%Y"),
+            (r"^([A-Za-z]+ [0-9]+)", "%B %Y")]
+    legacy = ", ".join(f"CAST(try_strptime(NULLIF(regexp_extract(t, '{rx}', 1), ''), '{fmt}') AS DATE)"
+                       for rx, fmt in lead)
+    q["date_cascade_legacy"] = f"""SELECT o_orderkey, date_text,
+  COALESCE({legacy}, DATE '1900-01-01') AS publish_date
+FROM (SELECT o_orderkey, date_text, replace(date_text, 'First published ', '') AS t
+      FROM (SELECT o_orderkey, {_ORDER_DATE_TEXT} AS date_text FROM orders))"""
     q["date_roundtrip"] = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
   strftime(o_orderdate, '%d-%m-%Y') AS dmy_text,
   CAST(try_strptime(strftime(o_orderdate, '%d-%m-%Y'), '%d-%m-%Y') AS DATE) AS dmy_date,

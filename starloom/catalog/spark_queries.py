@@ -106,6 +106,15 @@ def q_date_cascade(spark, sf_dir):
     )
 
 
+def q_date_cascade_legacy(spark, sf_dir):
+    """The cascade as the reference's legacy parser read it: a leading date
+    parses and trailing words are ignored."""
+    orders = read_testdata(spark, sf_dir, "orders")
+    txt = orders.select("o_orderkey", _order_date_text().alias("date_text"))
+    cleaned = text.remove_phrase("date_text", dates.PUBLISHED_PREFIX)
+    return txt.select("o_orderkey", "date_text", dates.parse_publish_date(cleaned, prefix=True).alias("publish_date"))
+
+
 def q_date_roundtrip(spark, sf_dir):
     orders = read_testdata(spark, sf_dir, "orders")
     dmy = dates.format_day_month_year("o_orderdate")

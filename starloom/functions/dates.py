@@ -3,12 +3,13 @@
 Spark 4 runs with ANSI on, where ``to_date(c, fmt)`` raises on a bad value, so
 every parse here goes through ``try_to_timestamp`` and yields null instead.
 The parser policy is Spark's default (CORRECTED, strict); trailing text after
-a date is a failed parse.
+a date is a failed parse unless ``prefix=True`` asks for the legacy reading.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,14 +40,50 @@ def try_parse_date(c, fmt: str | None = None) -> Column:
     return ts.cast("date")
 
 
-def parse_date_cascade(c, formats=DATE_FORMATS) -> Column:
-    """DAT1: the first format that parses wins."""
-    return F.coalesce(*[try_parse_date(c, f) for f in formats])
-
-
-def parse_publish_date(c, formats=DATE_FORMATS, default: _dt.date = DEFAULT_DATE) -> Column:
+_LEADING = [  # pattern letters -> (regex for the text, relaxed pattern)
+    ("MMMM", "[A-Za-z]+", "MMMM"), ("MMM", "[A-Za-z]{3}", "MMM"), ("MM", "[0-9]{1,2}", "M"),
+    ("M", "[0-9]{1,2}", "M"), ("dd", "[0-9]{1,2}", "d"), ("d", "[0-9]{1,2}", "d"),
+    ("yyyy", "[0-9]+", "y"), ("yy", "[0-9]+", "y"), ("y", "[0-9]+", "y"),
+]
+
+
+def _leading_form(fmt: str) -> tuple[str, str]:
+    """For a date pattern made of M, d, y and literal characters, the regex of
+    its leading text and a pattern that accepts any year width."""
+    regex, relaxed, i = "^(", "", 0
+    while i < len(fmt):
+        for letters, rx, rel in _LEADING:
+            if fmt.startswith(letters, i):
+                regex, relaxed, i = regex + rx, relaxed + rel, i + len(letters)
+                break
+        else:
+            regex += re.escape(fmt[i])
+            relaxed += fmt[i] if not fmt[i].isalpha() else f"'{fmt[i]}'"
+            i += 1
+    return regex + ")", relaxed
+
+
+def parse_date_cascade(c, formats=DATE_FORMATS, prefix: bool = False) -> Column:
+    """DAT1: the first format that parses wins.
+
+    ``prefix=True`` reproduces the legacy parser the reference ran with: a
+    date at the start of the text is parsed and anything after it ignored
+    ('2022 foo' -> 2022-01-01), and years of any width parse ('January 1, 1'
+    -> 0001-01-01).  The default is Spark's strict parser.
+    """
+    if not prefix:
+        return F.coalesce(*[try_parse_date(c, f) for f in formats])
+    parsed = []
+    for f in formats:
+        regex, relaxed = _leading_form(f)
+        lead = F.regexp_extract(as_col(c), regex, 1)
+        parsed.append(F.when(lead != "", try_parse_date(lead, relaxed)))
+    return F.coalesce(*parsed)
+
+
+def parse_publish_date(c, formats=DATE_FORMATS, default: _dt.date = DEFAULT_DATE, prefix: bool = False) -> Column:
     """DAT1 + DAT2 + DAT3: cascade, then the default date for failures."""
-    return F.coalesce(parse_date_cascade(c, formats), F.lit(default))
+    return F.coalesce(parse_date_cascade(c, formats, prefix), F.lit(default))
 
 
 def format_day_month_year(c) -> Column:

@@ -38,7 +38,7 @@ CLEAN_COLUMNS = [
 ]
 
 
-def clean_record_columns(id_col: str | None = "_id") -> list:
+def clean_record_columns(id_col: str | None = "_id", date_prefix: bool = False) -> list:
     """The per-row cleaning of a raw record as a list of named expressions."""
     cleaned_date = text.remove_phrase("Date", dates.PUBLISHED_PREFIX)
     cols = [] if id_col is None else [F.col(id_col)]
@@ -56,7 +56,7 @@ def clean_record_columns(id_col: str | None = "_id") -> list:
         text.clean_text_first_pass("Description").alias("description"),
         F.col("Genres").alias("genres"),
         cleaned_date.alias("cleaned_date"),
-        dates.parse_publish_date(cleaned_date).alias("publish_date"),
+        dates.parse_publish_date(cleaned_date, prefix=date_prefix).alias("publish_date"),
     ]
 
 
@@ -73,7 +73,8 @@ def fill_defaults(df: DataFrame, as_of=None) -> DataFrame:
 
 
 def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str = "_id",
-                  id_unique: bool = True, fill: bool = True, keep_id: bool = False) -> DataFrame:
+                  id_unique: bool = True, fill: bool = True, keep_id: bool = False,
+                  date_prefix: bool = False) -> DataFrame:
     """JOB1.
 
     ``dedupe``: ``"exact"`` drops rows equal on every column including the
@@ -83,9 +84,11 @@ def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str
     that differ only in it.  ``"none"`` keeps every row.  ``keep_id`` keeps
     the document id as ``record_id`` (the reference drops it), so facts can
     attach to their own record instead of by title (``Star(attach="record")``).
+    ``date_prefix`` parses dates the legacy way (leading date, trailing text
+    ignored), as the reference's session did.
     """
     has_id = id_col in raw.columns
-    out = raw.select(*clean_record_columns(id_col if has_id else None))
+    out = raw.select(*clean_record_columns(id_col if has_id else None, date_prefix))
     if dedupe == "content":
         out = drop_exact_duplicates(out, ignore=[id_col] if has_id else [])
     elif dedupe == "exact" and not (has_id and id_unique):

@@ -29,6 +29,25 @@ def test_date_cascade_strict(spark):
     assert [r.p for r in got] == [r[1] for r in rows]
 
 
+def test_date_cascade_legacy_prefix(spark):
+    rows = [
+        ("First published July 15, 2022", dt.date(2022, 7, 15)),
+        ("First published 1960", dt.date(1960, 1, 1)),
+        ("First published June 2001", dt.date(2001, 6, 1)),
+        ("First published 0800", dt.date(800, 1, 1)),
+        ("Published July 15, 2022", dt.date(1900, 1, 1)),
+        ("First published January 1, 1", dt.date(1, 1, 1)),
+        ("2022 foo", dt.date(2022, 1, 1)),
+        ("July 15, 2022 extra", dt.date(2022, 7, 15)),
+        ("Expected publication 2024", dt.date(1900, 1, 1)),
+        ("", dt.date(1900, 1, 1)),
+        (None, dt.date(1900, 1, 1)),
+    ]
+    df = spark.createDataFrame([(r[0],) for r in rows], "d string")
+    parsed = dates.parse_publish_date(text.remove_phrase("d", dates.PUBLISHED_PREFIX), prefix=True)
+    assert [r.p for r in df.select(parsed.alias("p")).collect()] == [r[1] for r in rows]
+
+
 def test_date_defaults_and_roundtrip(spark):
     df = spark.createDataFrame([(None, None), ("x", "y")], "a string, b string")
     got = df.select(
