@@ -29,16 +29,36 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, task_slots: int, partition_bytes: int = 128 << 20,
+               max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Settings sized for one run over ``input_bytes`` of input on
+    ``task_slots`` cores: scan splits and post-shuffle partitions of about
+    ``partition_bytes`` (so a task's share fits executor memory and spills
+    little), enough shuffle partitions for the whole input (AQE coalesces
+    the small ones), skew splitting above four target partitions."""
+    shuffle = max(2 * task_slots, min(max_shuffle_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "starloom",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    task_slots: int | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes:
+        conf.update(scale_conf(input_bytes, task_slots or 8))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
