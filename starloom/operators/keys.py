@@ -104,12 +104,12 @@ def assign_dense_key(
     cols = df.columns
     path = scratch_path(spark, f"keyed-{key}")
     sort_keys = [F.col(f"`{c}`").asc_nulls_first() for c in order] + [F.col("__tie")]
-    (df.withColumn("__tie", F.monotonically_increasing_id())
-       .orderBy(*sort_keys)
-       .drop("__tie")
-       .withColumn("__mid", F.monotonically_increasing_id())
-       .write.parquet(path))
-    ordered = spark.read.parquet(path)
+    ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
+                 .orderBy(*sort_keys)
+                 .drop("__tie")
+                 .withColumn("__mid", F.monotonically_increasing_id()))
+    ordered.write.parquet(path)
+    ordered = spark.read.schema(ordered.schema).parquet(path)
     pid = F.shiftright("__mid", _ROW_BITS)
     counts = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, running = [], 0
