@@ -323,7 +323,10 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
     q["fact_ratings"] = with_ctes(["ratings"], f"SELECT {', '.join(RATING_COLS)} FROM ratings")
     q["fact_reviews"] = with_ctes(["reviews"], "SELECT * FROM reviews")
     q["bridge_book_ratings"] = with_ctes(["book_ratings"], "SELECT * FROM book_ratings")
-    q["bridge_valid_count"] = with_ctes(["book_ratings"], "SELECT count(*) AS row_count FROM book_ratings")
+    q["bridge_valid_count"] = with_ctes(["books", "ratings"], """SELECT
+  count(*) FILTER (WHERE ok) AS valid_rows, count(*) FILTER (WHERE NOT ok) AS rejected_rows
+FROM (SELECT (b.book_id IN (SELECT book_id FROM books) AND r.rating_id IN (SELECT rating_id FROM ratings)) AS ok
+      FROM books b JOIN ratings r ON b.book_title = r.book_title)""")
     q["books_left_ratings"] = with_ctes(["books", "ratings"], f"""SELECT b.*, r.rating_id, {_R_PREFIXED}
 FROM books b LEFT JOIN ratings r ON b.book_title = r.book_title""")
     q["ratings_left_books"] = with_ctes(["books", "ratings"], f"""SELECT r.rating_id, {_R_PREFIXED}, b.*

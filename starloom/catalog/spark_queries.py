@@ -21,14 +21,14 @@ from ..operators import (
     drop_existing,
     keep_existing,
     null_census,
-    row_count,
+    referential_counts,
     schema_report,
     spread,
 )
 from ..plans import load as ld
 from ..plans import reports, views
 from ..plans.clean import clean_records
-from ..plans.star import Star
+from ..plans.star import Star, title_pairs
 from ..session import scratch_path
 from ..sources import (
     raw_records_from_part,
@@ -253,7 +253,12 @@ def q_bridge_book_ratings(spark, sf_dir):
 
 
 def q_bridge_valid_count(spark, sf_dir):
-    return row_count(star(spark, sf_dir).book_ratings)
+    """DQ3: valid pairs after the referential filter, and the pairs before it
+    that a parent check rejects (none when both parents are the keyed
+    tables themselves)."""
+    s = star(spark, sf_dir).build("books", "ratings")
+    checked = referential_counts(title_pairs(s.books, s.ratings), {"book_id": s.books, "rating_id": s.ratings})
+    return checked
 
 
 def q_books_left_ratings(spark, sf_dir):

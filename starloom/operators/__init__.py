@@ -5,7 +5,7 @@ from .joins import broadcast_budget, lookup, maybe_broadcast
 from .keys import Keyed, assign_dense_key, hash_key, renumber
 from .membership import drop_existing, keep_existing, rejected_rows
 from .parallel import spread
-from .quality import null_census, null_census_tall, row_count, schema_report
+from .quality import null_census, null_census_tall, referential_counts, row_count, schema_report
 from .topk import sort_desc, top_k
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "maybe_broadcast",
     "null_census",
     "null_census_tall",
+    "referential_counts",
     "rejected_rows",
     "renumber",
     "row_count",

@@ -49,6 +49,29 @@ def schema_report(df: DataFrame, expected: T.StructType | None = None) -> DataFr
     return out
 
 
+def referential_counts(df: DataFrame, parents: dict) -> DataFrame:
+    """DQ3 both ways: one row with the rows whose every checked column has a
+    parent (``valid_rows``) and the rest (``rejected_rows``).
+
+    ``parents`` maps a column of ``df`` to its parent: a ``Keyed`` table (its
+    key set is a dense range, so the check is a predicate) or a DataFrame of
+    parent keys under the same column name (checked by a left join to the
+    distinct keys, which never multiplies rows).
+    """
+    from .keys import Keyed
+
+    ok = F.lit(True)
+    out = df
+    for i, (col, parent) in enumerate(parents.items()):
+        if isinstance(parent, Keyed) and parent.key == col:
+            ok = ok & F.coalesce(parent.key_in_range(F.col(col)), F.lit(False))
+        else:
+            keys = parent.select(F.col(col)).distinct().withColumn(f"__has{i}", F.lit(True))
+            out = out.join(keys, col, "left")
+            ok = ok & F.col(f"__has{i}").isNotNull()
+    return out.agg(F.count_if(ok).alias("valid_rows"), F.count_if(~ok).alias("rejected_rows"))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     """AGG5/AGG9 as a one-row frame (lazy, unlike ``df.count()``)."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))

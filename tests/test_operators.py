@@ -140,3 +140,13 @@ def test_bucketed_keyed_table_joins_without_shuffling_it(spark):
     with contextlib.redirect_stdout(buf):
         small.df.join(other, "k").explain(mode="formatted")
     assert "Bucketed: true" not in buf.getvalue()
+
+
+def test_referential_counts_with_keyed_and_plain_parents(spark):
+    from starloom.operators import referential_counts
+
+    parent = assign_dense_key(spark.createDataFrame([("a",), ("b",)], "n string"), ["n"], "pid")
+    other = spark.createDataFrame([(10,), (10,), (11,)], "oid int")
+    df = spark.createDataFrame([(0, 10), (1, 12), (5, 11), (None, 10)], "pid long, oid int")
+    got = referential_counts(df, {"pid": parent, "oid": other}).first()
+    assert (got.valid_rows, got.rejected_rows) == (1, 3)
