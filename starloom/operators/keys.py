@@ -94,6 +94,12 @@ def assign_dense_key(
 ) -> Keyed:
     """Add a dense, deterministic 64-bit key ordered by ``order`` (asc, nulls first).
 
+    With an empty ``order`` the key follows the input's own partition and row
+    order (what ``monotonically_increasing_id`` numbers, made dense) and the
+    input is never shuffled: the cheapest key for a large table whose natural
+    order does not matter.  It is fixed once written, and it repeats for the
+    same input files and split size.
+
     With ``bucket_rows`` a table of at least two buckets' worth of rows is
     also written bucketed by the key (one bucket per ``bucket_rows`` rows): one
     more shuffle now, and later joins and groupings on the key read the table
@@ -103,11 +109,15 @@ def assign_dense_key(
     spark: SparkSession = df.sparkSession
     cols = df.columns
     path = scratch_path(spark, f"keyed-{key}")
-    sort_keys = [F.col(f"`{c}`").asc_nulls_first() for c in order] + [F.col("__tie")]
-    ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
-                 .orderBy(*sort_keys)
-                 .drop("__tie")
-                 .withColumn("__mid", F.monotonically_increasing_id()))
+    if order:
+        sort_keys = [F.col(f"`{c}`").asc_nulls_first() for c in order] + [F.col("__tie")]
+        ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
+                     .orderBy(*sort_keys)
+                     .drop("__tie")
+                     .withColumn("__mid", F.monotonically_increasing_id()))
+    else:
+        # input order: no shuffle at all (see the docstring)
+        ordered = df.withColumn("__mid", F.monotonically_increasing_id())
     ordered.write.parquet(path)
     ordered = spark.read.schema(ordered.schema).parquet(path)
     pid = F.shiftright("__mid", _ROW_BITS)

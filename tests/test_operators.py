@@ -150,3 +150,18 @@ def test_referential_counts_with_keyed_and_plain_parents(spark):
     df = spark.createDataFrame([(0, 10), (1, 12), (5, 11), (None, 10)], "pid long, oid int")
     got = referential_counts(df, {"pid": parent, "oid": other}).first()
     assert (got.valid_rows, got.rejected_rows) == (1, 3)
+
+
+def test_dense_key_in_input_order_without_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    keyed = assign_dense_key(li, [], "row_id")
+    assert keyed.rows == 60000
+    agg = keyed.df.agg(F.min("row_id"), F.max("row_id"), F.countDistinct("row_id")).first()
+    assert tuple(agg) == (0, 59999, 60000)
+    # same rows, and a single-file input keeps the file's row order
+    assert keyed.df.drop("row_id").exceptAll(li).count() == 0
+    firsts = [tuple(r) for r in li.limit(5).collect()]
+    head = [tuple(r)[1:] for r in keyed.df.filter("row_id < 5").orderBy("row_id").collect()]
+    assert head == firsts
