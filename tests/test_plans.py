@@ -68,3 +68,43 @@ def test_books_final_on_bucketed_books_has_no_shuffle(spark, small_buckets):
     assert "Bucketed: true" in p
     assert shuffles(p) == []
     assert views.books_final(s).count() == 2000
+
+
+def test_hot_title_join_is_split_by_aqe(spark):
+    """A title shared by a third of all rows: the title join's hot partition
+    is split across tasks at run time (no rows dropped or capped)."""
+    from pyspark.sql import functions as F
+
+    from starloom.operators import assign_dense_key
+    from starloom.plans.star import title_pairs
+
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        title = F.when(F.col("id") % 3 == 0, F.lit("No title")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
+        books = assign_dense_key(
+            spark.range(0, 30000).select(title.alias("book_title"), F.sha2(F.col("id").cast("string"), 256).alias("pad")),
+            [], "book_id")
+        rt = F.when(F.col("id") % 1000 == 0, F.lit("No title")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
+        ratings = assign_dense_key(spark.range(0, 3000).select(rt.alias("book_title")), [], "rating_id")
+        pairs = title_pairs(books, ratings)
+        rows = pairs.collect()
+        # 10,000 hot books x 3 hot ratings, plus 2,000 one-to-one titles t1..t2999 not multiple of 3
+        expected = 10000 * 3 + sum(1 for i in range(3000) if i % 1000 and i % 3)
+        assert len(rows) == expected
+        assert "SortMergeJoin(skew=true)" in plan(pairs)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -10,6 +10,7 @@ reads were written before the query runs; their build is one range exchange
 from __future__ import annotations
 
 import contextlib
+import os
 import io
 import re
 import sys
@@ -36,7 +37,7 @@ def summarise(plan: str) -> dict:
 
 
 def main() -> None:
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
     from starloom import build_session
     from starloom.catalog import queries
 
