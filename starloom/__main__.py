@@ -31,6 +31,9 @@ def main(argv=None) -> None:
     ap.add_argument("--single-file", action="store_true", help="one CSV part per table")
     ap.add_argument("--trim-genres", action="store_true")
     ap.add_argument("--top", type=int, default=20)
+    ap.add_argument("--jdbc-url", default=None, help="also load the tables into this database (LD1-LD7)")
+    ap.add_argument("--jdbc-prop", action="append", default=[],
+                    help="JDBC connection property key=value (user, password, driver)")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -50,6 +53,12 @@ def main(argv=None) -> None:
     paths = export_star(star, args.out, single_file=args.single_file)
     for name, path in paths.items():
         print(f"{name}: {path}")
+    if args.jdbc_url:
+        from .plans.load import load_star
+
+        props = dict(p.split("=", 1) for p in args.jdbc_prop)
+        for table, mode in load_star(star, args.jdbc_url, props).items():
+            print(f"loaded {table}: {mode}")
 
 
 if __name__ == "__main__":
