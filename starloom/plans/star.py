@@ -54,9 +54,9 @@ def books_rows(cleaned: DataFrame) -> DataFrame:
 BOOK_BUCKET_ROWS = 1_000_000
 
 
-def build_books(cleaned: DataFrame) -> Keyed:
-    return assign_dense_key(books_rows(cleaned), BOOK_ORDER + _record(cleaned), "book_id",
-                            bucket_rows=BOOK_BUCKET_ROWS)
+def build_books(cleaned: DataFrame, key_order: str = "natural") -> Keyed:
+    order = BOOK_ORDER + _record(cleaned) if key_order == "natural" else []
+    return assign_dense_key(books_rows(cleaned), order, "book_id", bucket_rows=BOOK_BUCKET_ROWS)
 
 
 def build_authors(cleaned: DataFrame) -> Keyed:
@@ -88,15 +88,16 @@ def ratings_rows(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def build_ratings(cleaned: DataFrame) -> Keyed:
+def build_ratings(cleaned: DataFrame, key_order: str = "natural") -> Keyed:
     """JOB6: one rating row per record."""
-    return assign_dense_key(ratings_rows(cleaned), RATING_ORDER + _record(cleaned), "rating_id")
+    order = RATING_ORDER + _record(cleaned) if key_order == "natural" else []
+    return assign_dense_key(ratings_rows(cleaned), order, "rating_id")
 
 
 ATTACH_KEYS = {"title": "book_title", "record": "record_id"}
 
 
-def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title") -> Keyed:
+def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title", key_order: str = "natural") -> Keyed:
     """JOB7: review facts, the book found by title.  A title shared by m books
     and n records gives m x n rows, as in the reference; the join is an
     equi-join on the title, so AQE splits a hot title's partition.  With
@@ -106,7 +107,8 @@ def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title") -> Ke
     k = ATTACH_KEYS[attach]
     recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score", *_record(cleaned))
     pairs = recs.join(books.df.select(k, "book_id"), k, "inner")
-    return assign_dense_key(pairs.select("book_id", "reviews", "score"), REVIEW_ORDER, "review_id")
+    order = REVIEW_ORDER if key_order == "natural" else []
+    return assign_dense_key(pairs.select("book_id", "reviews", "score"), order, "review_id")
 
 
 def build_book_genres(books: Keyed, genres: Keyed, trim_items: bool = False) -> DataFrame:
@@ -146,11 +148,20 @@ class Star:
     reviews to books by title; ``attach="record"`` needs ``record_id`` in
     ``cleaned`` (``clean_records(keep_id=True)``) and attaches each to the book
     of its own record.
+
+    ``key_order="natural"`` numbers books, ratings and reviews in the order of
+    their columns (reproducible anywhere, and what the SQL checks use);
+    ``"input"`` numbers them in input order, as the reference's ids did but
+    dense, with no sort: on very large inputs that saves the range sort's
+    sampling pass and its shuffle.  Input-order keys repeat for the same input
+    files; those of reviews (a join's output) are fixed once written.
+    Dimension keys are always in name order.
     """
 
     cleaned: DataFrame
     trim_genres: bool = False
     attach: str = "title"
+    key_order: str = "natural"
     _cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -158,6 +169,8 @@ class Star:
             raise ValueError(f"attach must be one of {sorted(ATTACH_KEYS)}")
         if self.attach == "record" and "record_id" not in self.cleaned.columns:
             raise ValueError("attach='record' needs clean_records(..., keep_id=True)")
+        if self.key_order not in ("natural", "input"):
+            raise ValueError("key_order must be 'natural' or 'input'")
 
     @property
     def attach_key(self) -> str:
@@ -185,7 +198,7 @@ class Star:
 
     @property
     def books(self) -> Keyed:
-        return self._get("books", lambda: build_books(self.cleaned))
+        return self._get("books", lambda: build_books(self.cleaned, self.key_order))
 
     @property
     def authors(self) -> Keyed:
@@ -197,11 +210,11 @@ class Star:
 
     @property
     def ratings(self) -> Keyed:
-        return self._get("ratings", lambda: build_ratings(self.cleaned))
+        return self._get("ratings", lambda: build_ratings(self.cleaned, self.key_order))
 
     @property
     def reviews(self) -> Keyed:
-        return self._get("reviews", lambda: build_reviews(self.cleaned, self.books, self.attach))
+        return self._get("reviews", lambda: build_reviews(self.cleaned, self.books, self.attach, self.key_order))
 
     @property
     def book_genres(self) -> DataFrame:

@@ -80,3 +80,16 @@ def test_attach_by_record_has_no_fan_out(spark):
                 .join(s.ratings.df.select("rating_id", F.col("record_id").alias("r")), "rating_id"))
     assert joined.filter(F.col("record_id") != F.col("r")).count() == 0
     assert views.books_left_ratings(s).count() == 2000
+
+
+def test_input_order_keys_are_dense_and_consistent(spark):
+    s = Star(sq.cleaned(spark, SF01), key_order="input")
+    for keyed in (s.books, s.ratings, s.reviews):
+        agg = keyed.df.agg(F.min(keyed.key), F.max(keyed.key), F.countDistinct(keyed.key)).first()
+        assert tuple(agg) == (0, keyed.rows - 1, keyed.rows)
+    assert s.reviews.rows == 2878
+    assert s.book_ratings.count() == 2878
+    # same content as the natural-order star, only the numbering differs
+    natural = sq.star(spark, SF01)
+    assert s.books.df.drop("book_id").exceptAll(natural.books.df.drop("book_id")).count() == 0
+    assert views.books_final(s).drop("book_id").exceptAll(views.books_final(natural).drop("book_id")).count() == 0
