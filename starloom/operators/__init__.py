@@ -3,6 +3,7 @@
 from .dedupe import dedupe_by_key, distinct_values, drop_exact_duplicates
 from .joins import broadcast_budget, lookup, maybe_broadcast
 from .keys import Keyed, assign_dense_key, hash_key, renumber
+from .materialize import materialize
 from .membership import drop_existing, keep_existing, rejected_rows
 from .parallel import spread
 from .quality import null_census, null_census_tall, referential_counts, row_count, schema_report
@@ -19,6 +20,7 @@ __all__ = [
     "hash_key",
     "keep_existing",
     "lookup",
+    "materialize",
     "maybe_broadcast",
     "null_census",
     "null_census_tall",

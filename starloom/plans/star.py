@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import arrays, text
 from ..operators.joins import maybe_broadcast
 from ..operators.keys import Keyed, assign_dense_key
+from ..operators.materialize import materialize
 from ..operators.membership import keep_existing
 
 # Total orders that define each table's keys.  Rows tied on every listed
@@ -162,6 +163,7 @@ class Star:
     trim_genres: bool = False
     attach: str = "title"
     key_order: str = "natural"
+    materialize_cleaned: bool = True
     _cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -171,6 +173,17 @@ class Star:
             raise ValueError("attach='record' needs clean_records(..., keep_id=True)")
         if self.key_order not in ("natural", "input"):
             raise ValueError("key_order must be 'natural' or 'input'")
+        self._source = self.cleaned
+
+    @property
+    def records(self) -> DataFrame:
+        """The cleaned records every table is built from: written once to the
+        shared folder (``materialize_cleaned``), so the five builds and their
+        sort-sampling passes scan columns of that table instead of each
+        re-running the scan and the text cleaning."""
+        if not self.materialize_cleaned:
+            return self._source
+        return self._get("records", lambda: materialize(self._source, "cleaned"))
 
     @property
     def attach_key(self) -> str:
@@ -188,6 +201,8 @@ class Star:
         (books, authors, genres, ratings) as concurrent Spark jobs: each is a
         sort, a write and a count, and small ones leave most task slots idle."""
         todo = [n for n in names if n in self.KEYED and n not in self._cache]
+        if todo:
+            self.records  # written once, before the builds that read it
         if len(todo) > 1:
             with ThreadPoolExecutor(max_workers=len(todo)) as pool:
                 for n, keyed in zip(todo, pool.map(lambda n: getattr(self, n), todo)):
@@ -198,23 +213,23 @@ class Star:
 
     @property
     def books(self) -> Keyed:
-        return self._get("books", lambda: build_books(self.cleaned, self.key_order))
+        return self._get("books", lambda: build_books(self.records, self.key_order))
 
     @property
     def authors(self) -> Keyed:
-        return self._get("authors", lambda: build_authors(self.cleaned))
+        return self._get("authors", lambda: build_authors(self.records))
 
     @property
     def genres(self) -> Keyed:
-        return self._get("genres", lambda: build_genres(self.cleaned, self.trim_genres))
+        return self._get("genres", lambda: build_genres(self.records, self.trim_genres))
 
     @property
     def ratings(self) -> Keyed:
-        return self._get("ratings", lambda: build_ratings(self.cleaned, self.key_order))
+        return self._get("ratings", lambda: build_ratings(self.records, self.key_order))
 
     @property
     def reviews(self) -> Keyed:
-        return self._get("reviews", lambda: build_reviews(self.cleaned, self.books, self.attach, self.key_order))
+        return self._get("reviews", lambda: build_reviews(self.records, self.books, self.attach, self.key_order))
 
     @property
     def book_genres(self) -> DataFrame:
