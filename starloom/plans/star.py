@@ -163,7 +163,7 @@ class Star:
     trim_genres: bool = False
     attach: str = "title"
     key_order: str = "natural"
-    materialize_cleaned: bool = True
+    materialize_cleaned: bool | None = None
     _cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -177,14 +177,27 @@ class Star:
 
     @property
     def records(self) -> DataFrame:
-        """The cleaned records every table is built from: written once to the
-        shared folder (``materialize_cleaned``), so the five builds and their
-        sort-sampling passes scan columns of that table instead of each
-        re-running the scan and the text cleaning."""
-        if not self.materialize_cleaned:
+        """The cleaned records every table is built from.  On a large source
+        they are written once to the shared folder (``materialize_cleaned``,
+        automatic by default), so the five builds and their sort-sampling
+        passes scan columns of that table instead of each re-running the scan
+        and the text cleaning."""
+        if not self._get("materialize", self._worth_materializing):
             return self._source
         return self._get("records", lambda: materialize(self._source, "cleaned"))
 
+    def _worth_materializing(self) -> bool:
+        """Explicit choice, else: only when the source is more than one wave of
+        tasks (more input splits than task slots); a smaller source is cheaper
+        to re-read and re-clean than to write and read back."""
+        if self.materialize_cleaned is not None:
+            return self.materialize_cleaned
+        try:
+            sc = self._source.sparkSession.sparkContext
+            return self._source.rdd.getNumPartitions() > sc.defaultParallelism
+        except Exception:  # noqa: BLE001 - no RDD view: keep the lineage
+            return False
+
     @property
     def attach_key(self) -> str:
         return ATTACH_KEYS[self.attach]
