@@ -73,3 +73,13 @@ def test_scan_any_format_feeds_cleaning(spark):
     b = clean_records(raw, as_of=None).drop("date_text", "cleaned_date")
     assert a.count() == b.count()
     assert a.select(*b.columns).exceptAll(b).count() == 0
+
+
+def test_skip_long_lines_spark_quoting(spark):
+    d = _tmp()
+    with open(os.path.join(d, "t.csv"), "w") as f:
+        f.write('id,name,val\n1,"a \\"x\\", b",10\n2,"c,d",20,extra\n3,e\n5,"j \\",k,l,m"\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
+                           T.StructField("val", T.IntegerType())])
+    df = read_csv_skip_long_lines(spark, d, schema, quoting="spark")
+    assert sorted(map(tuple, df.collect())) == [(1, 'a "x", b', 10), (3, "e", None), (5, 'j ",k,l,m', None)]
