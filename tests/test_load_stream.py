@@ -31,3 +31,15 @@ def test_stream_clean_equals_batch(spark):
     batch = sq.q_clean_records(spark, SF001)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
+
+
+def test_stream_restart_is_exactly_once(spark):
+    import tempfile
+
+    from starloom.streaming import clean_stream_to_table
+
+    out = tempfile.mkdtemp(prefix="starloom-stream-")
+    first = clean_stream_to_table(spark, SF001, "part.parquet", out_path=out).count()
+    # a restart with the same checkpoint finds nothing new and adds no rows
+    second = clean_stream_to_table(spark, SF001, "part.parquet", out_path=out).count()
+    assert first == second == spark.read.parquet(f"{SF001}/part.parquet").count()
