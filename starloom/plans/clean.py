@@ -38,9 +38,15 @@ CLEAN_COLUMNS = [
 ]
 
 
-def clean_record_columns(id_col: str | None = "_id", date_prefix: bool = False) -> list:
-    """The per-row cleaning of a raw record as a list of named expressions."""
-    cleaned_date = text.remove_phrase("Date", dates.PUBLISHED_PREFIX)
+def clean_record_columns(id_col: str | None = "_id", date_prefix: bool = False,
+                         date_phrases: tuple[str, ...] = (dates.PUBLISHED_PREFIX,)) -> list:
+    """The per-row cleaning of a raw record as a list of named expressions.
+    ``date_phrases`` are removed from the date text before parsing (the
+    reference removes only 'First published ', so 'Published ...' dates fall
+    back to the default)."""
+    cleaned_date = F.col("Date")
+    for phrase in date_phrases:
+        cleaned_date = text.remove_phrase(cleaned_date, phrase)
     cols = [] if id_col is None else [F.col(id_col)]
     return cols + [
         F.col("Rank").alias("rank"),
@@ -74,7 +80,8 @@ def fill_defaults(df: DataFrame, as_of=None) -> DataFrame:
 
 def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str = "_id",
                   id_unique: bool = True, fill: bool = True, keep_id: bool = False,
-                  date_prefix: bool = False) -> DataFrame:
+                  date_prefix: bool = False,
+                  date_phrases: tuple[str, ...] = (dates.PUBLISHED_PREFIX,)) -> DataFrame:
     """JOB1.
 
     ``dedupe``: ``"exact"`` drops rows equal on every column including the
@@ -88,7 +95,7 @@ def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str
     ignored), as the reference's session did.
     """
     has_id = id_col in raw.columns
-    out = raw.select(*clean_record_columns(id_col if has_id else None, date_prefix))
+    out = raw.select(*clean_record_columns(id_col if has_id else None, date_prefix, date_phrases))
     if dedupe == "content":
         out = drop_exact_duplicates(out, ignore=[id_col] if has_id else [])
     elif dedupe == "exact" and not (has_id and id_unique):

@@ -117,3 +117,18 @@ def test_fill_defaults_casts_values(spark):
     df = spark.createDataFrame([(None, None, float("nan"), None)], "pages int, rank string, rating float, score int")
     got = fill_defaults(df).first()
     assert (got.pages, got.rank, got.rating, got.score) == (0, "0", 0.0, 0)
+
+
+def test_date_phrases_parameter(spark):
+    from starloom.plans.clean import clean_records
+
+    raw = spark.createDataFrame(
+        [("a", "Published July 15, 2022"), ("b", "First published 1960")], "_id string, Date string"
+    ).selectExpr("_id", "'1' AS Rank", "'t' AS Title", "'x' AS Author", "'1.0' AS Rating",
+                 "'1' AS `Number of Ratings`", "'1' AS Reviews", "'1' AS Score", "'1' AS Pages",
+                 "'p' AS `Cover Type`", "Date", "'d' AS Description", "'g' AS Genres")
+    literal = {r.date_text: r.publish_date for r in clean_records(raw).collect()}
+    assert literal["Published July 15, 2022"] == dt.date(1900, 1, 1)
+    both = clean_records(raw, date_phrases=("First published ", "Published "))
+    got = {r.date_text: r.publish_date for r in both.collect()}
+    assert got == {"Published July 15, 2022": dt.date(2022, 7, 15), "First published 1960": dt.date(1960, 1, 1)}
