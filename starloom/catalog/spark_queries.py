@@ -352,28 +352,54 @@ def q_load_books(spark, sf_dir):
     return ld.prepare_books(books_csv)
 
 
+def _exported(spark, df: DataFrame, name: str, times: int = 1) -> str:
+    """Export a star table as CSV (EXP1), ``times`` runs appending to one
+    folder, and return the folder; the loads read it back as the reference's
+    loader read its CSV files."""
+    path = scratch_path(spark, f"export-{name}")
+    for _ in range(times):
+        write_csv(df, path, mode="append")
+    return path
+
+
+RATINGS_CSV_SCHEMA = T.StructType([
+    T.StructField("book_title", T.StringType()), T.StructField("rating", T.FloatType()),
+    T.StructField("num_ratings", T.IntegerType()), T.StructField("num_reviews", T.IntegerType()),
+    T.StructField("score", T.IntegerType()), T.StructField("rating_id", T.LongType()),
+])
+
+
 def q_load_ratings(spark, sf_dir):
+    """LD3: the ratings export was appended twice (duplicate keys), and the
+    ratings without a count were loaded before; read with bad-line skipping
+    (SRC4), one row per key, new keys only."""
     s = star(spark, sf_dir)
-    ratings = s.ratings.df
-    exported_twice = ratings.unionByName(ratings)
+    ratings = s.ratings.df.select(*[f.name for f in RATINGS_CSV_SCHEMA.fields])
+    exported = read_csv_skip_long_lines(spark, _exported(spark, ratings, "ratings", times=2), RATINGS_CSV_SCHEMA)
     loaded_before = ratings.filter(F.col("num_ratings") == 0).select("rating_id")
-    return ld.prepare_ratings(exported_twice, loaded_before)
+    return ld.prepare_ratings(exported, loaded_before)
 
 
 def q_load_reviews(spark, sf_dir):
+    """LD4/LD5: the reviews export read back (SRC3), rows with a parent book."""
     s = star(spark, sf_dir)
-    return ld.prepare_reviews(s.reviews.df, s.books.df.select("book_id"))
+    path = _exported(spark, s.reviews.df, "reviews")
+    reviews = read_csv(spark, path, "review_id long, book_id long, reviews int, score int")
+    return ld.prepare_reviews(reviews, s.books.df.select("book_id"))
 
 
 def q_load_book_genres(spark, sf_dir):
+    """LD6: the bridge export read back, pairs whose genre exists."""
     s = star(spark, sf_dir)
-    return ld.prepare_book_genres(s.book_genres, s.genres.df.select("genre_id"))
+    pairs = read_csv(spark, _exported(spark, s.book_genres, "book_genres"), "book_id long, genre_id long")
+    return ld.prepare_book_genres(pairs, s.genres.df.select("genre_id"))
 
 
 def q_load_book_ratings(spark, sf_dir):
+    """LD7: the bridge export read back, renumbered, both parents checked."""
     s = star(spark, sf_dir)
-    return ld.prepare_book_ratings(s.book_ratings, s.ratings.df.select("rating_id"),
-                                   s.books.df.select("book_id"))
+    pairs = read_csv(spark, _exported(spark, s.book_ratings, "book_ratings"), "book_id long, rating_id long")
+    return ld.prepare_book_ratings(pairs, s.ratings.df.select("rating_id"), s.books.df.select("book_id"))
 
 
 # --- streaming ------------------------------------------------------------------------------------
