@@ -83,3 +83,16 @@ def test_skip_long_lines_spark_quoting(spark):
                            T.StructField("val", T.IntegerType())])
     df = read_csv_skip_long_lines(spark, d, schema, quoting="spark")
     assert sorted(map(tuple, df.collect())) == [(1, 'a "x", b', 10), (3, "e", None), (5, 'j ",k,l,m', None)]
+
+
+def test_cli_end_to_end(spark, capsys):
+    from starloom.__main__ import main
+
+    out = os.path.join(_tmp(), "cli")
+    main(["--part", "/root/testdata/sf0.001/part.parquet", "--out", out, "--as-of", "2025-01-15",
+          "--single-file", "--top", "1"])
+    printed = capsys.readouterr().out
+    assert "== books per genre" in printed
+    for name in ("authors", "books", "ratings", "genres", "reviews", "book_genres", "book_ratings"):
+        parts = [f for f in os.listdir(os.path.join(out, name)) if f.startswith("part-")]
+        assert len(parts) == 1
