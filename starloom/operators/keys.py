@@ -91,6 +91,7 @@ def assign_dense_key(
     start: int = 0,
     front: bool = True,
     bucket_rows: int | None = None,
+    measure_bytes: bool = False,
 ) -> Keyed:
     """Add a dense, deterministic 64-bit key ordered by ``order`` (asc, nulls first).
 
@@ -104,7 +105,9 @@ def assign_dense_key(
     also written bucketed by the key (one bucket per ``bucket_rows`` rows): one
     more shuffle now, and later joins and groupings on the key read the table
     without shuffling it.  A smaller table is cheaper to re-shuffle per use
-    than to write twice, so it stays as it is.
+    than to write twice, so it stays as it is.  ``measure_bytes`` measures the
+    table's size in the counting pass (for tables that may be broadcast),
+    instead of in a separate job later.
     """
     spark: SparkSession = df.sparkSession
     cols = df.columns
@@ -121,11 +124,17 @@ def assign_dense_key(
     ordered.write.parquet(path)
     ordered = spark.read.schema(ordered.schema).parquet(path)
     pid = F.shiftright("__mid", _ROW_BITS)
-    counts = ordered.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, running = [], 0
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if measure_bytes:
+        # size of the rows as they will be read: the key's 8 bytes included
+        key_field = T.StructType([T.StructField(key, T.LongType())] + [f for f in df.schema.fields if f.name != key])
+        aggs.append(F.sum(_row_bytes(key_field)).alias("b"))
+    counts = ordered.groupBy(pid.alias("__pid")).agg(*aggs).collect()
+    offsets, running, measured = [], 0, 0
     for r in sorted(counts, key=lambda r: r["__pid"]):
         offsets.append((r["__pid"], running + start))
         running += r["n"]
+        measured += (r["b"] or 0) if measure_bytes else 0
     off_schema = "__pid long, __off long"
     off_df = spark.createDataFrame(offsets, off_schema) if offsets else spark.createDataFrame([], off_schema)
     keyed = ordered.withColumn("__pid", pid).join(F.broadcast(off_df), "__pid")
@@ -134,7 +143,7 @@ def assign_dense_key(
     out = keyed.select(key_col, *out_cols) if front else keyed.select(*out_cols, key_col)
     if bucket_rows and running >= 2 * bucket_rows and _session_catalog(spark) == "in-memory":
         out = _bucketed_by_key(out, key, max(1, -(-running // bucket_rows)))
-    return Keyed(out, key, running, start)
+    return Keyed(out, key, running, start, measured if measure_bytes else None)
 
 
 def _session_catalog(spark: SparkSession) -> str:

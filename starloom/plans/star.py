@@ -63,7 +63,7 @@ def build_books(cleaned: DataFrame, key_order: str = "natural") -> Keyed:
 def build_authors(cleaned: DataFrame) -> Keyed:
     """JOB3: distinct author names, keyed in name order."""
     names = cleaned.select(F.col("author").alias("author_name")).distinct()
-    return assign_dense_key(names, ["author_name"], "author_id")
+    return assign_dense_key(names, ["author_name"], "author_id", measure_bytes=True)
 
 
 def genre_names(df: DataFrame, col: str = "genres", trim_items: bool = False) -> DataFrame:
@@ -75,7 +75,7 @@ def build_genres(cleaned: DataFrame, trim_items: bool = False) -> Keyed:
     order.  Items are not trimmed by default, so ' Crime' and 'Crime' are two
     genres, as in the reference."""
     names = genre_names(cleaned, trim_items=trim_items).distinct()
-    return assign_dense_key(names, ["genre_name"], "genre_id")
+    return assign_dense_key(names, ["genre_name"], "genre_id", measure_bytes=True)
 
 
 def ratings_rows(cleaned: DataFrame) -> DataFrame:

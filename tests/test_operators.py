@@ -191,3 +191,10 @@ def test_hash_key_is_stable_and_shuffle_free(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 1)], "s string, n int")
     keys = [r.k for r in df.select(hash_key("s", "n").alias("k")).collect()]
     assert keys[0] == keys[2] and keys[0] != keys[1]
+
+
+def test_measured_bytes_in_the_counting_pass_match_a_separate_measure(spark):
+    df = spark.createDataFrame([("alpha",), ("be",), ("gamma delta",)], "name string")
+    measured = assign_dense_key(df, ["name"], "id", measure_bytes=True)
+    later = assign_dense_key(df, ["name"], "id")
+    assert measured.data_bytes == later.data_bytes > 0
