@@ -133,6 +133,22 @@ def title_pairs(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFram
     return b.join(r, b[k] == r["__r_key"], "inner").select("book_id", "rating_id")
 
 
+def title_fan_out(books: Keyed, ratings: Keyed) -> DataFrame:
+    """Size of the title join before running it: per shared title m books and
+    n ratings give m x n pairs.  One row: shared titles, total pairs, and the
+    largest single title's pairs (a placeholder title held by a third of all
+    records shows up here).  Two partial aggregations over narrow title
+    columns and a join of per-title counts; no pair is materialised."""
+    m = books.df.groupBy("book_title").agg(F.count(F.lit(1)).alias("m"))
+    n = ratings.df.groupBy(F.col("book_title")).agg(F.count(F.lit(1)).alias("n"))
+    per_title = m.join(n, "book_title").select((F.col("m") * F.col("n")).alias("pairs"))
+    return per_title.agg(
+        F.count(F.lit(1)).alias("shared_titles"),
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("total_pairs"),
+        F.coalesce(F.max("pairs"), F.lit(0)).alias("max_title_pairs"),
+    )
+
+
 def build_book_ratings(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFrame:
     """JOB8: the bridge, then the referential filter on both parents (JOIN6).
     Parents are dense-keyed, so membership is a range test, not a join."""

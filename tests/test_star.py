@@ -103,3 +103,13 @@ def test_materialized_records_give_the_same_star(spark):
     assert files and all("/cleaned-" in f and f.endswith(".parquet") for f in files)
     assert forced.books.df.exceptAll(plain.books.df).count() == 0
     assert forced.reviews.df.exceptAll(plain.reviews.df).count() == 0
+
+
+def test_title_fan_out_predicts_the_join_size(star):
+    from starloom.plans.star import title_fan_out
+
+    r = title_fan_out(star.books, star.ratings).first()
+    assert r.total_pairs == star.book_ratings.count() == 2878
+    assert r.shared_titles == 1771
+    assert r.max_title_pairs == max(
+        row["c"] ** 2 for row in star.books.df.groupBy("book_title").agg(F.count("*").alias("c")).collect())
