@@ -12,6 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -233,8 +234,12 @@ class Star:
         if todo:
             self.records  # written once, before the builds that read it
         if len(todo) > 1:
+            # the worker threads inherit the caller's job group and local
+            # properties, so cancelling the caller's jobs cancels these too
+            session = self._source.sparkSession
+            build_one = inheritable_thread_target(session)(lambda n: getattr(self, n))
             with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-                for n, keyed in zip(todo, pool.map(lambda n: getattr(self, n), todo)):
+                for n, keyed in zip(todo, pool.map(build_one, todo)):
                     self._cache.setdefault(n, keyed)
         for n in names:
             getattr(self, n)
