@@ -1,7 +1,7 @@
 """Relational operators built from DataFrame primitives."""
 
 from .dedupe import dedupe_by_key, distinct_values, drop_exact_duplicates
-from .joins import broadcast_budget, lookup, maybe_broadcast
+from .joins import broadcast_budget, lookup, maybe_broadcast, salted_join, skew_handled_by_aqe
 from .keys import Keyed, assign_dense_key, hash_key, renumber
 from .materialize import materialize
 from .membership import drop_existing, keep_existing, rejected_rows
@@ -28,7 +28,9 @@ __all__ = [
     "rejected_rows",
     "renumber",
     "row_count",
+    "salted_join",
     "schema_report",
+    "skew_handled_by_aqe",
     "sort_desc",
     "spread",
     "top_k",

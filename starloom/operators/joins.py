@@ -53,3 +53,47 @@ def lookup(fact: DataFrame, dim: DataFrame, left_on: str, right_on: str, how: st
     """Attach dimension columns by an equi-join; the right key is dropped."""
     d = maybe_broadcast(dim, dim_bytes)
     return fact.join(d, fact[left_on] == d[right_on], how).drop(d[right_on])
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner",
+                max_rows_per_key: int = 1_000_000) -> DataFrame:
+    """Equi-join on ``on`` that splits hot keys across tasks by salting.
+
+    A key with more than ``max_rows_per_key`` rows on the left is given
+    ``ceil(rows / max_rows_per_key)`` salts: its left rows are spread over the
+    salts by a hash of the whole row (deterministic under retries), and its
+    right rows are copied once per salt, so every left row still meets every
+    matching right row exactly once.  Other keys keep salt 0.  The hot-key
+    table has at most ``left rows / max_rows_per_key`` rows; its size is
+    measured (key bytes included) and it is broadcast only when that fits the
+    budget.  Inner and left joins only (the left side is the one split).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = counts.filter(F.col("__rows") > max_rows_per_key).select(
+        on, F.ceil(F.col("__rows") / max_rows_per_key).cast("int").alias("__salts"))
+    size = hot.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.coalesce(F.octet_length(F.col(on).cast("string")), F.lit(0)) + 32).alias("b"),
+    ).first()
+    if not size["n"]:
+        return left.join(right, on, how)
+    hot = maybe_broadcast(hot, int(size["b"]))
+    lcols = left.columns
+    salted_left = left.join(hot, on, "left").withColumn(
+        "__salt",
+        F.when(F.col("__salts").isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in lcols]), F.col("__salts")).cast("int")),
+    ).drop("__salts")
+    salted_right = right.join(hot, on, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))
+    ).drop("__salts")
+    return salted_left.join(salted_right, [on, "__salt"], how).drop("__salt")
+
+
+def skew_handled_by_aqe(spark: SparkSession) -> bool:
+    """Whether AQE will split skewed join partitions at run time."""
+    on = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    skew = spark.conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
+    return on and skew

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
-from ..operators.joins import maybe_broadcast
+from ..operators.joins import maybe_broadcast, salted_join, skew_handled_by_aqe
 from ..operators.keys import Keyed, assign_dense_key
 from ..operators.materialize import materialize
 from ..operators.membership import keep_existing
@@ -127,10 +127,16 @@ def build_book_genres(books: Keyed, genres: Keyed, trim_items: bool = False) ->
 
 
 def title_pairs(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFrame:
-    """Book x rating pairs sharing a title (JOIN2), or the same record."""
+    """Book x rating pairs sharing a title (JOIN2), or the same record.
+
+    AQE splits a hot title's partition at run time; where the session has
+    that turned off, the join salts hot titles explicitly."""
     k = ATTACH_KEYS[attach]
     b = books.df.select("book_id", k)
-    r = ratings.df.select("rating_id", F.col(k).alias("__r_key"))
+    r = ratings.df.select("rating_id", k)
+    if attach == "title" and not skew_handled_by_aqe(books.df.sparkSession):
+        return salted_join(b, r, k).select("book_id", "rating_id")
+    r = r.withColumnRenamed(k, "__r_key")
     return b.join(r, b[k] == r["__r_key"], "inner").select("book_id", "rating_id")
 
 

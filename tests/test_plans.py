@@ -108,3 +108,33 @@ def test_hot_title_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_salted_join_equals_plain_join_and_splits_hot_keys(spark):
+    from pyspark.sql import functions as F
+
+    from starloom.operators import salted_join
+
+    title = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), (F.col("id") % 500).cast("string")))
+    left = spark.range(0, 6000).select(title.alias("k"), F.col("id").alias("a"))
+    right = spark.range(0, 700).select(title.alias("k"), F.col("id").alias("b"))
+    for how in ("inner", "left"):
+        plain = left.join(right, "k", how)
+        salted = salted_join(left, right, "k", how, max_rows_per_key=300)
+        assert salted.count() == plain.count()
+        assert salted.select(*plain.columns).exceptAll(plain).count() == 0
+    p = plan(salted_join(left, right, "k", "inner", max_rows_per_key=300))
+    assert "__salt" in p
+
+
+def test_title_pairs_salts_when_aqe_skew_is_off(spark):
+    from starloom.plans.star import title_pairs
+
+    s = sq.star(spark, SF01)
+    expected = sorted(map(tuple, title_pairs(s.books, s.ratings).collect()))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        pairs = title_pairs(s.books, s.ratings)
+        assert sorted(map(tuple, pairs.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
