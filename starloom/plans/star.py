@@ -99,6 +99,15 @@ def build_ratings(cleaned: DataFrame, key_order: str = "natural") -> Keyed:
 ATTACH_KEYS = {"title": "book_title", "record": "record_id"}
 
 
+def key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Equi-join on a column both sides name ``key`` (kept once).  AQE splits
+    a hot key's partition at run time; where the session has AQE skew handling
+    off, hot keys are salted explicitly (``salted_join``)."""
+    if not skew_handled_by_aqe(left.sparkSession):
+        return salted_join(left, right, key, how)
+    return left.join(right, key, how)
+
+
 def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title", key_order: str = "natural") -> Keyed:
     """JOB7: review facts, the book found by title.  A title shared by m books
     and n records gives m x n rows, as in the reference; the join is an
@@ -108,7 +117,7 @@ def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title", key_o
     placeholder)."""
     k = ATTACH_KEYS[attach]
     recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score", *_record(cleaned))
-    pairs = recs.join(books.df.select(k, "book_id"), k, "inner")
+    pairs = key_join(recs, books.df.select(k, "book_id"), k, "inner")
     order = REVIEW_ORDER if key_order == "natural" else []
     return assign_dense_key(pairs.select("book_id", "reviews", "score"), order, "review_id")
 
@@ -134,10 +143,7 @@ def title_pairs(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFram
     k = ATTACH_KEYS[attach]
     b = books.df.select("book_id", k)
     r = ratings.df.select("rating_id", k)
-    if attach == "title" and not skew_handled_by_aqe(books.df.sparkSession):
-        return salted_join(b, r, k).select("book_id", "rating_id")
-    r = r.withColumnRenamed(k, "__r_key")
-    return b.join(r, b[k] == r["__r_key"], "inner").select("book_id", "rating_id")
+    return key_join(b, r, k, "inner").select("book_id", "rating_id")
 
 
 def title_fan_out(books: Keyed, ratings: Keyed) -> DataFrame:
