@@ -302,6 +302,12 @@ FROM raw""")
   {_second_pass(_first_pass('text'))} AS cleaned_text
 FROM documents"""
     q["clean_records"] = with_ctes(["cleaned"], "SELECT * FROM cleaned")
+    fill_cols = ["rank", "title", "author", "rating", "num_ratings", "description", "reviews", "pages",
+                 "cover_type", "score", "genres", "date_text", "cleaned_date"]
+    fills = ", ".join(
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c == 'rating' else ''}) AS BIGINT) "
+        f"AS {c}_filled" for c in fill_cols)
+    q["fill_defaults"] = with_ctes(["clean0"], f"SELECT {fills} FROM clean0")
     q["null_census_raw"] = with_ctes(["raw"], _census(_RAW_NAMES, "raw"))
     q["null_census_clean"] = with_ctes(["cleaned"], _census(_CLEAN_NAMES, "cleaned"))
     q["schema_report"] = _schema_report_sql()

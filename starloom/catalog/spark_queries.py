@@ -27,7 +27,7 @@ from ..operators import (
 )
 from ..plans import load as ld
 from ..plans import reports, views
-from ..plans.clean import clean_records
+from ..plans.clean import clean_records, fill_report
 from ..plans.star import Star, title_pairs
 from ..session import scratch_path
 from ..sources import (
@@ -168,6 +168,11 @@ def q_clean_records(spark, sf_dir):
     return cleaned(spark, sf_dir)
 
 
+def q_fill_defaults(spark, sf_dir):
+    """DQ4: how many values each default replaced."""
+    return fill_report(clean_records(raw(spark, sf_dir), fill=False))
+
+
 def q_null_census_raw(spark, sf_dir):
     return null_census(raw(spark, sf_dir))
 

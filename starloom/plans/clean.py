@@ -78,6 +78,21 @@ def fill_defaults(df: DataFrame, as_of=None) -> DataFrame:
     return out.withColumns(extra) if extra else out
 
 
+def fill_report(unfilled: DataFrame) -> DataFrame:
+    """DQ4 as numbers: how many values each default replaced (nulls, and NaN
+    in floating columns, as ``na.fill`` treats them), in one global aggregate
+    over cleaned-but-unfilled records."""
+    cols = [c for c in list(FILL_DEFAULTS) + ["date_text", "cleaned_date"] if c in unfilled.columns]
+    types = dict(unfilled.dtypes)
+    aggs = []
+    for c in cols:
+        missing = F.col(c).isNull()
+        if types[c] in ("float", "double"):
+            missing = missing | F.isnan(F.col(c))
+        aggs.append(F.count_if(missing).alias(f"{c}_filled"))
+    return unfilled.agg(*aggs)
+
+
 def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str = "_id",
                   id_unique: bool = True, fill: bool = True, keep_id: bool = False,
                   date_prefix: bool = False,

@@ -113,3 +113,9 @@ def test_title_fan_out_predicts_the_join_size(star):
     assert r.shared_titles == 1771
     assert r.max_title_pairs == max(
         row["c"] ** 2 for row in star.books.df.groupBy("book_title").agg(F.count("*").alias("c")).collect())
+
+
+def test_fill_report_counts(spark):
+    r = sq.q_fill_defaults(spark, SF01).first()
+    assert (r.pages_filled, r.num_ratings_filled) == (29, 50)
+    assert r.description_filled == 0  # text cleaning already replaced missing text
