@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import license_scan, line_dedup, quality_rules
+from . import license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, token_counts
 from .common import read
 
 _DOCS = {
+    "op1_sentencepiece_codec": sentencepiece_codec.query,
     "op2_license_scan": license_scan.query,
+    "op3_token_counts": token_counts.query,
+    "op5_mixing": mixing.query,
     "op6_quality_rules": quality_rules.query,
     "op10_line_dedup": line_dedup.query,
 }
@@ -17,4 +20,5 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_scan.sql(), "op6_quality_rules": quality_rules.SQL, "op10_line_dedup": line_dedup.SQL}
+    return {"op2_license_scan": license_scan.sql(), "op5_mixing": mixing.SQL,
+            "op6_quality_rules": quality_rules.SQL, "op10_line_dedup": line_dedup.SQL}
