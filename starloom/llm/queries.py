@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash_dedup, token_counts
+from . import embedding_dedup, language_id, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash_dedup, token_counts
 from .common import read
 
 _DOCS = {
@@ -11,15 +11,17 @@ _DOCS = {
     "op3_token_counts": token_counts.query,
     "op5_mixing": mixing.query,
     "op6_quality_rules": quality_rules.query,
+    "op8_language_id": language_id.query,
     "op9_simhash_dedup": simhash_dedup.query,
     "op10_line_dedup": line_dedup.query,
 }
 
 
 def queries():
-    return {name: (lambda spark, sf_dir, f=f: f(read(spark, sf_dir, "documents"))) for name, f in _DOCS.items()}
+    found = {name: (lambda spark, sf_dir, f=f: f(read(spark, sf_dir, "documents"))) for name, f in _DOCS.items()}
+    return found | {"op4_embedding_dedup": lambda spark, sf_dir: embedding_dedup.query(read(spark, sf_dir, "embeddings"))}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": license_scan.sql(), "op5_mixing": mixing.SQL,
+    return {"op2_license_scan": license_scan.sql(), "op4_embedding_dedup": embedding_dedup.SQL, "op5_mixing": mixing.SQL,
             "op6_quality_rules": quality_rules.SQL, "op10_line_dedup": line_dedup.SQL}
