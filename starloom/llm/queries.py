@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, language_id, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash_dedup, token_counts
+from . import embedding_dedup, language_id, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash_dedup, suffix_dedup, token_counts
 from .common import read
 
 _DOCS = {
@@ -11,6 +11,7 @@ _DOCS = {
     "op3_token_counts": token_counts.query,
     "op5_mixing": mixing.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_suffix_dedup": suffix_dedup.query,
     "op8_language_id": language_id.query,
     "op9_simhash_dedup": simhash_dedup.query,
     "op10_line_dedup": line_dedup.query,

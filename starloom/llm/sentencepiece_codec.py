@@ -247,14 +247,14 @@ def decode_ids(ids: list[int], spelling: list[bytes]) -> str:
 BATCH_CHARS = 4_000_000
 
 
-def _groups(column):
-    """Runs of rows of about BATCH_CHARS characters."""
+def _groups(column, chars: int = BATCH_CHARS):
+    """Runs of rows of about ``chars`` characters."""
     group, held = [], 0
     for value in column:
         text = value.as_py()
         group.append(text)
         held += len(text or "")
-        if held >= BATCH_CHARS:
+        if held >= chars:
             yield group
             group, held = [], 0
     if group:
