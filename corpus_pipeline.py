@@ -1,7 +1,7 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again.
+"""The corpus pipeline: five stages over ``documents``, each written and read again.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame; all but the last
-return the columns of ``documents``.
+return the columns of ``documents``.  ``run`` applies them to ``documents``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import read
 from starloom.llm.line_dedup import line_dedup
+from starloom.llm.mixing import copies, mix
 from starloom.llm.quality_rules import quality_rules
+from starloom.llm.sentencepiece_codec import decode, encode
+from starloom.llm.simhash_dedup import keep_one
 from starloom.session import scratch_path
 
 
@@ -23,7 +26,7 @@ def _with_text(rows: DataFrame, docs: DataFrame, clean: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass, without the lines above their host's limits."""
+    """Documents that pass the rules, without the lines above their host's limits."""
     return _with_text(quality_rules(docs).filter("kept"), docs, "clean_text")
 
 
@@ -33,9 +36,31 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(rows, docs, "clean_text")
 
 
-STAGES = [("quality rules", quality), ("line dedup", dedup_lines)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return keep_one(docs)
 
-#: Some stages have no SQL form; tests/llm holds them against brute force.
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix to target weights: a row per epoch of a taken document; the one at
+    a source's cut keeps its words up to the budget."""
+    rows = copies(mix(docs))
+    cut = F.col("taken") < (F.col("epoch") + 1) * F.col("size")
+    return rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and whether they decode to the text again."""
+    rows = decode(encode(docs))
+    # a marker in the text itself stands for a blank
+    same = F.coalesce(F.col("decoded") == F.replace(F.col("text"), F.lit("▁"), F.lit(" ")), F.col("n_tokens") == 0)
+    return rows.withColumn("round_trip", same).drop("decoded")
+
+
+STAGES = [("quality rules", quality), ("line dedup", dedup_lines), ("SimHash near-dedup", near_dedup),
+          ("mixing to target weights", mixture), ("SentencePiece codec", tokens)]
+
+#: SimHash grouping and the codec have no SQL form; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
