@@ -18,22 +18,35 @@ from starloom.llm.simhash_dedup import keep_one
 from starloom.session import scratch_path
 
 
-def _with_text(rows: DataFrame, docs: DataFrame, clean: str) -> DataFrame:
-    """The columns of ``docs`` with ``clean`` as the text; the length follows a changed text."""
+_OWN = ("doc_id", "text", "source", "n_chars")
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The columns the stages use, and all others as one, out of the operators' way."""
+    rest = [c for c in docs.columns if c not in _OWN]
+    return docs.select(*_OWN, F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("__none")).alias("__others"))
+
+
+def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(c) if c in _OWN else F.col("__others").getField(c).alias(c) for c in docs.columns])
+
+
+def _with_text(rows: DataFrame, clean: str) -> DataFrame:
+    """The text replaced by ``clean``; the length follows a changed text."""
     changed = ~F.col(clean).eqNullSafe(F.col("text"))
-    rows = rows.withColumn("n_chars", F.when(changed, F.char_length(clean).cast("long")).otherwise(F.col("n_chars")))
-    return rows.withColumn("text", F.col(clean)).select(*docs.columns)
+    return rows.withColumn("n_chars", F.when(changed, F.char_length(clean).cast("long")).otherwise(F.col("n_chars"))).withColumn(
+        "text", F.col(clean))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines above their host's limits."""
-    return _with_text(quality_rules(docs).filter("kept"), docs, "clean_text")
+    return _unpacked(_with_text(quality_rules(_packed(docs)).filter("kept"), "clean_text"), docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without cross-site boilerplate; a text that loses its last word goes."""
-    rows = line_dedup(docs).filter((F.col("n_removed") == 0) | (F.col("n_words_left") > 0))
-    return _with_text(rows, docs, "clean_text")
+    rows = line_dedup(_packed(docs)).filter((F.col("n_removed") == 0) | (F.col("n_words_left") > 0))
+    return _unpacked(_with_text(rows, "clean_text"), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +57,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix to target weights: a row per epoch of a taken document; the one at
     a source's cut keeps its words up to the budget."""
-    rows = copies(mix(docs))
+    rows = copies(mix(_packed(docs)))
     cut = F.col("taken") < (F.col("epoch") + 1) * F.col("size")
-    return rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return _unpacked(rows.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

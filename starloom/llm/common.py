@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import maybe_broadcast
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -58,6 +58,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a parquet table in the shared checkpoint folder.
+
+    For loops: a checkpoint keeps the size Spark once estimated for the plan it
+    cuts, and joins multiply the sizes of their sides, round by round without
+    end; a table is as large as its files."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
     """A written frame, marked for broadcast if rows x ``row_bytes`` fit the
     session's broadcast budget; else Spark joins it by a shuffle."""

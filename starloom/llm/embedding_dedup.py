@@ -83,6 +83,8 @@ def dual_pairs(a: CoverTree, b: CoverTree, reach: float):
             i, j = np.repeat(a.members[p], len(b.members[q])), np.tile(b.members[q], len(a.members[p]))
             if same and p == q:
                 i, j = i[i < j], j[i < j]
+            elif same:
+                i, j = np.minimum(i, j), np.maximum(i, j)
             yield i, j
             continue
         ka = np.array([p]) if ka is None else ka

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import stored
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,21 +41,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     jumps), replaces the ends of the links by it and drops what became a loop,
     so the links shrink geometrically.  Hot nodes are plain equi-join keys whose
     partitions AQE splits; minima are combined before they are shuffled."""
-    links = written(links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter(F.col("a") != F.col("b")).distinct())
+    links = stored(links.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter(F.col("a") != F.col("b")).distinct())
     rounds = []
     while not links.isEmpty():
         both = links.select(F.col("a").alias("node"), F.col("b").alias("near")).unionByName(
             links.select(F.col("b").alias("node"), F.col("a").alias("near")))
-        up = written(both.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("root")))
+        up = stored(both.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("root")))
         for _ in range(2):
             jump = up.withColumnsRenamed({"node": "via", "root": "root2"})
             up = up.join(jump, up["root"] == jump["via"]).select("node", F.col("root2").alias("root"))
-        up = written(up)
+        up = stored(up)
         rounds.append(up)
         for end in ("a", "b"):
             m = up.withColumnsRenamed({"node": "node2", "root": "root2"})
             links = links.join(m, links[end] == m["node2"]).withColumn(end, F.col("root2")).drop("node2", "root2")
-        links = written(links.filter(F.col("a") != F.col("b")).select(
+        links = stored(links.filter(F.col("a") != F.col("b")).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -63,4 +63,4 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for later in rounds[1:]:
         m = later.withColumnsRenamed({"node": "node2", "root": "root2"})
         out = out.join(m, out["root"] == m["node2"], "left").select("node", F.coalesce("root2", "root").alias("root"))
-    return written(out) if len(rounds) > 1 else out
+    return stored(out) if len(rounds) > 1 else out

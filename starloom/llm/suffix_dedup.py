@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import stored, written
 from .sentencepiece_codec import _groups
 
 SPAN, GRAIN = 128, 32
@@ -351,10 +351,10 @@ def repeated_intervals(docs: DataFrame, text: str, length: int) -> DataFrame:
     rows = edges(pieces, text, length)
     found, grain = whole, GRAIN
     while True:
-        rows = written(rows)
+        rows = stored(rows)
         sizes = rows.groupBy(F.col("c1").alias("d1"), F.col("c2").alias("d2")).agg(
             F.count(F.lit(1)).alias("n"), F.max((~F.col("many")).cast("int")).alias("some")).filter("n > 1 and some = 1")
-        rows = written(rows.join(sizes, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).drop("d1", "d2", "some"))
+        rows = stored(rows.join(sizes, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).drop("d1", "d2", "some"))
         if grain == 1:  # all members of a class are equal
             return found.unionByName(rows.select("k", F.col("first").alias("lo"), F.col("first").alias("hi")))
         found = found.unionByName(written(sort_classes(rows.filter(F.col("n") <= CLASS), grain)))
@@ -378,11 +378,11 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     """
     from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-    base = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").withColumn("k", F.xxhash64(F.lit("k"), F.col(doc_id), F.col(text)))
-    found = repeated_intervals(base.select("k", text), text, length)
-    per = found.groupBy(F.col("k").alias("k2")).agg(F.collect_set(F.struct("lo", "hi")).alias("gone"))  # within one text
-    rows = base.join(per, base["k"] == per["k2"], "left").drop("k", "k2")
-    keep = [c for c in rows.columns if c not in ("gone", text)]
+    base = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").withColumn("__k", F.xxhash64(F.lit("k"), F.col(doc_id), F.col(text)))
+    found = repeated_intervals(base.select(F.col("__k").alias("k"), F.col(text).alias("text")), "text", length)
+    per = found.groupBy(F.col("k").alias("__k2")).agg(F.collect_set(F.struct("lo", "hi")).alias("__gone"))  # within one text
+    rows = base.join(per, base["__k"] == per["__k2"], "left").drop("__k", "__k2")
+    keep = [c for c in rows.columns if c not in ("__gone", text)]
     schema = StructType([*rows.select(*keep, text).schema.fields, StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
                          StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("kept", BinaryType())])
 
@@ -392,7 +392,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out = []
-                for t, gone in zip(part.column(part.schema.get_field_index(text)), part.column(part.schema.get_field_index("gone"))):
+                for t, gone in zip(part.column(part.schema.get_field_index(text)), part.column(part.schema.get_field_index("__gone"))):
                     raw, left, begin, removed, spans = (t.as_py() or "").encode("utf-8", "surrogatepass"), [], 0, 0, 0
                     end = -1
                     for x, y in sorted((g["lo"], g["hi"]) for g in gone.as_py() or ()):
@@ -414,7 +414,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
                      pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.binary())],
                     [*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return rows.select(*keep, text, "gone").mapInArrow(run, schema)
+    return rows.select(*keep, text, "__gone").mapInArrow(run, schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
