@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, written
+from .common import stored
 from .sentencepiece_codec import _groups
 
 SPAN, GRAIN = 128, 32
@@ -330,20 +330,21 @@ def repeated_intervals(docs: DataFrame, text: str, length: int) -> DataFrame:
     """(k, lo, hi): starts of strings of ``length`` bytes that occur elsewhere."""
     if length < SPAN + GRAIN:
         raise ValueError(f"length must be at least {SPAN + GRAIN}")
-    every = written(runs(docs, text, length))
-    shared = every.groupBy(F.col("a").alias("a2")).agg(
-        F.count(F.lit(1)).alias("n"), (F.min("w") == F.max("w")).alias("alike")).filter("n > 1").drop("n")
-    met = written(every.join(shared, every["a"] == shared["a2"]).drop("a2"))
+    every = stored(runs(docs, text, length))
+    # written, so that the join deals out both sides anew and can split a hot anchor
+    shared = stored(every.groupBy(F.col("a").alias("a2")).agg(
+        F.count(F.lit(1)).alias("n"), (F.min("w") == F.max("w")).alias("alike")).filter("n > 1").drop("n"))
+    met = stored(every.join(shared, every["a"] == shared["a2"]).drop("a2"))
     lo = F.shiftright("place", 16)
     hi = lo + F.shiftright("place", 8).bitwiseAND(255)
     whole = met.filter("alike").select("k", lo.alias("lo"), hi.alias("hi"))
     mixed = met.filter("not alike")
-    each = written(mixed.groupBy(F.col("a").alias("a2"), F.col("w").alias("w2")).agg(
+    each = stored(mixed.groupBy(F.col("a").alias("a2"), F.col("w").alias("w2")).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "place")).alias("one")))
-    many = each.filter("n > 1").select("a2", "w2")
+    many = each.filter("n > 1").select("a2", "w2")  # one row a key on this side
     whole = whole.unionByName(mixed.join(many, (F.col("a") == F.col("a2")) & (F.col("w") == F.col("w2"))).select("k", lo.alias("lo"), hi.alias("hi")))
     # one piece of each kind goes on; a class without any open one is done
-    todo = each.filter("n = 1").select(F.col("a2").alias("a3")).distinct()
+    todo = stored(each.filter("n = 1").select(F.col("a2").alias("a3")).distinct())
     opened = each.join(todo, F.col("a2") == F.col("a3"), "left_semi").select(
         F.col("one.k").alias("k2"), F.col("one.place").alias("place"), (F.col("n") > 1).alias("many"))
     opened = opened.groupBy("k2").agg(F.collect_list(F.struct("place", "many")).alias("open"))  # within one text
@@ -352,12 +353,12 @@ def repeated_intervals(docs: DataFrame, text: str, length: int) -> DataFrame:
     found, grain = whole, GRAIN
     while True:
         rows = stored(rows)
-        sizes = rows.groupBy(F.col("c1").alias("d1"), F.col("c2").alias("d2")).agg(
-            F.count(F.lit(1)).alias("n"), F.max((~F.col("many")).cast("int")).alias("some")).filter("n > 1 and some = 1")
+        sizes = stored(rows.groupBy(F.col("c1").alias("d1"), F.col("c2").alias("d2")).agg(
+            F.count(F.lit(1)).alias("n"), F.max((~F.col("many")).cast("int")).alias("some")).filter("n > 1 and some = 1"))
         rows = stored(rows.join(sizes, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).drop("d1", "d2", "some"))
         if grain == 1:  # all members of a class are equal
             return found.unionByName(rows.select("k", F.col("first").alias("lo"), F.col("first").alias("hi")))
-        found = found.unionByName(written(sort_classes(rows.filter(F.col("n") <= CLASS), grain)))
+        found = found.unionByName(stored(sort_classes(rows.filter(F.col("n") <= CLASS), grain)))
         rows = rows.filter(F.col("n") > CLASS)
         if rows.isEmpty():
             return found
