@@ -13,7 +13,7 @@ from starloom.llm.common import read
 from starloom.llm.line_dedup import line_dedup
 from starloom.llm.mixing import copies, mix
 from starloom.llm.quality_rules import quality_rules
-from starloom.llm.sentencepiece_codec import decode, encode
+from starloom.llm.sentencepiece_codec import encode
 from starloom.llm.simhash_dedup import keep_one
 from starloom.session import scratch_path
 
@@ -64,7 +64,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether they decode to the text again."""
-    rows = decode(encode(docs))
+    rows = encode(docs, decoded="decoded")
     # a marker in the text itself stands for a blank
     same = F.coalesce(F.col("decoded") == F.replace(F.col("text"), F.lit("▁"), F.lit(" ")), F.col("n_tokens") == 0)
     return rows.withColumn("round_trip", same).drop("decoded")

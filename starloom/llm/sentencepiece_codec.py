@@ -16,7 +16,8 @@ its pre-tokens one after another.
 from __future__ import annotations
 
 import re
-from itertools import chain
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stri
 from .token_counts import MARK, check_pieces, default_model, load
 
 UNKNOWN_PENALTY = 10.0
-#: Pre-tokens a task remembers before it starts anew; batch of one Viterbi run.
-REMEMBERED = 300_000
+#: Pre-tokens a task remembers before it starts anew.
+REMEMBERED = 200_000
 #: Longer pre-tokens are searched one by one (their waves would be nearly empty).
 WAVES = 96
 
@@ -131,8 +132,9 @@ class Vocabulary:
         lone = starts[~single[starts]]
         return np.concatenate([s, lone]), np.concatenate([e, reach[lone]]), np.concatenate([p, np.full(len(lone), -1)])
 
-    def segment(self, chunks: list[str]) -> list[tuple[tuple, float]]:
-        """Token ids and log score of the best path of every string."""
+    def segment(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best path of every string: all token ids in a row, tokens and log
+        score of each."""
         raw = [c.encode("utf-8", "surrogatepass") for c in chunks]
         size = np.array([len(r) for r in raw], np.int64)
         first = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
@@ -177,23 +179,18 @@ class Vocabulary:
             cur[live] = s[k]
             live = live[s[k] > first[live]]
         if not who:
-            return [((), 0.0) for _ in raw]
+            return np.zeros(0, np.int32), np.zeros(len(raw), np.int64), np.zeros(len(raw))
         step = np.repeat(np.arange(len(who)), [len(w) for w in who])
         who, edge = np.concatenate(who), np.concatenate(edge)
         order = np.lexsort((-step, who))
         who, edge = who[order], edge[order]
-        count = np.bincount(who, minlength=len(raw))
-        ids, scores = p[edge], best[first + size]
-        flat, out, at = ids.tolist(), [], 0
-        unknown = set(who[ids < 0].tolist())
-        for i, n in enumerate(count.tolist()):
-            mine = flat[at:at + n]
-            if i in unknown:  # spell unknown characters in bytes
-                mine = list(chain.from_iterable(
-                    [t] if t >= 0 else self.byte_id[data[s[k]:e[k]]].tolist() for t, k in zip(mine, edge[at:at + n])))
-            out.append((tuple(mine), float(scores[i]) if n else 0.0))
-            at += n
-        return out
+        # an unknown character is spelled in bytes
+        ids, width = p[edge], np.where(p[edge] >= 0, 1, e[edge] - s[edge])
+        at = np.repeat(np.arange(len(edge)), width)
+        turn = np.arange(len(at)) - np.repeat(np.cumsum(width) - width, width)
+        flat = np.where(ids[at] >= 0, ids[at], self.byte_id[data[s[edge][at] + turn]]).astype(np.int32)
+        count = np.bincount(who, width, len(raw)).astype(np.int64)
+        return flat, count, np.where(size > 0, best[first + size], 0.0)
 
 
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -214,28 +211,44 @@ def pre_tokens(text: str) -> list[str]:
 
 
 class Encoder:
-    """Encodes batches; remembers the pre-tokens it has met."""
+    """Encodes batches; remembers the pre-tokens it has met, by number."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.ids, self.scores = vocabulary, {}, {}
+        self.vocabulary = vocabulary
+        self._forget()
 
-    def __call__(self, texts: list) -> tuple[list[list[int]], list[float]]:
+    def _forget(self) -> None:
+        self.number = defaultdict(count().__next__)
+        self.flat, self.size, self.score = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0)
+
+    def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All token ids in a row, and tokens and log score of each text."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
         cut = [pre_tokens(t) for t in texts]
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-            self.scores.clear()
-        new = list({c for cs in cut for c in cs if c not in self.ids})
-        for a in range(0, len(new), 20_000):
-            part = new[a:a + 20_000]
-            for c, (ids, score) in zip(part, self.vocabulary.segment(part)):
-                self.ids[c], self.scores[c] = ids, score
-        ids = [list(chain.from_iterable(map(self.ids.__getitem__, cs))) for cs in cut]
-        return ids, [sum(map(self.scores.__getitem__, cs)) for cs in cut]
+        known, number = len(self.number), self.number.__getitem__
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(n.sum()))
+        new = list(islice(self.number, known, None))
+        parts = [self.vocabulary.segment(new[a:a + 20_000]) for a in range(0, len(new), 20_000)]
+        self.flat, self.size, self.score = (np.concatenate([mine, *(p[k] for p in parts)])
+                                            for k, mine in enumerate((self.flat, self.size, self.score)))
+        first = np.cumsum(self.size) - self.size
+        width = self.size[at]
+        upto = np.concatenate([[0], np.cumsum(width)])
+        flat = self.flat[np.repeat(first[at] - upto[:-1], width) + np.arange(upto[-1])]
+        ends = np.cumsum(n)
+        owner = np.repeat(np.arange(len(cut)), n)
+        return flat, upto[ends] - upto[ends - n], np.bincount(owner, self.score[at], len(cut)).astype(np.float64)
 
 
 def decode_ids(ids: list[int], spelling: list[bytes]) -> str:
     """The text of token ids; a byte that is no UTF-8 becomes U+FFFD."""
-    data = b"".join(map(spelling.__getitem__, ids))
+    return decode_bytes(b"".join(map(spelling.__getitem__, ids)))
+
+
+def decode_bytes(data: bytes) -> str:
+    """The text of spelled tokens, without the blank that stands for its start."""
     data = data[1:] if data[:1] == b" " else data
     try:
         return data.decode()
@@ -244,7 +257,9 @@ def decode_ids(ids: list[int], spelling: list[bytes]) -> str:
 
 
 #: Characters of text a task encodes together (at least one text).
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 1_000_000
+#: Rows a task decodes together.
+DECODE_ROWS = 64
 
 
 def _groups(column, chars: int = BATCH_CHARS):
@@ -261,8 +276,17 @@ def _groups(column, chars: int = BATCH_CHARS):
         yield group
 
 
-def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scores: str = "zipf") -> DataFrame:
-    """Every row of ``docs`` with ids, n_tokens, n_byte_tokens and score.
+def _texts(flat: np.ndarray, offsets: np.ndarray, spelling: list[bytes], width: np.ndarray) -> list[str]:
+    """The texts of token ids that stand in a row."""
+    data = b"".join(map(spelling.__getitem__, flat.tolist()))
+    ends = np.concatenate([[0], np.cumsum(width[flat])])[offsets].tolist()
+    return [decode_bytes(data[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+
+
+def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scores: str = "zipf",
+           decoded: str | None = None) -> DataFrame:
+    """Every row of ``docs`` with ids, n_tokens, n_byte_tokens and score; with
+    ``decoded`` also, under that name, the text that the ids decode to.
 
     Defined cases: a null or empty text has no tokens and score 0; of equal
     paths the one with the longest last piece wins, alike in every run; repeated
@@ -271,28 +295,28 @@ def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scor
     """
     vocabulary = Vocabulary(model or default_model(), scores)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary: does not grow with the data
-    slim = docs.drop("ids", "n_tokens", "n_byte_tokens", "score")
+    slim = docs.drop("ids", "n_tokens", "n_byte_tokens", "score", *([decoded] if decoded else []))
     schema = StructType([*slim.schema.fields, StructField("ids", ArrayType(IntegerType(), False)),
                          StructField("n_tokens", LongType()), StructField("n_byte_tokens", LongType()),
-                         StructField("score", DoubleType())])
+                         StructField("score", DoubleType())] + ([StructField(decoded, StringType())] if decoded else []))
 
     def run(batches):
         encoder = Encoder(shared.value)
-        is_byte = shared.value.is_byte
+        is_byte, spelling = shared.value.is_byte, shared.value.spelling
+        width = np.array([len(x) for x in spelling])
         for batch in batches:
             done = 0
             for texts in _groups(batch.column(batch.schema.get_field_index(text))):
-                ids, score = encoder(texts)
-                sizes = np.array([len(x) for x in ids], np.int64)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, sizes.sum())
+                flat, sizes, score = encoder(texts)
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
                 spelled = np.concatenate([[0], np.cumsum(is_byte[flat])])
                 part = batch.slice(done, len(texts))
                 done += len(texts)
+                back = [pa.array(_texts(flat, offsets, spelling, width), pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())),
-                     pa.array(sizes), pa.array(spelled[offsets[1:]] - spelled[offsets[:-1]], pa.int64()), pa.array(score, pa.float64())],
-                    [*part.schema.names, "ids", "n_tokens", "n_byte_tokens", "score"])
+                     pa.array(sizes), pa.array(spelled[offsets[1:]] - spelled[offsets[:-1]], pa.int64()), pa.array(score, pa.float64()), *back],
+                    [*part.schema.names, "ids", "n_tokens", "n_byte_tokens", "score", *([decoded] if decoded else [])])
 
     return slim.mapInArrow(run, schema)
 
@@ -305,15 +329,21 @@ def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: bytes
 
     def run(batches):
         spelling = shared.value
+        width = np.array([len(x) for x in spelling])
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            text = [None if (x := v.as_py()) is None else decode_ids(x, spelling) for v in column]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*batch.schema.names, out])
+            for at in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(at, DECODE_ROWS)
+                column = part.column(part.schema.get_field_index(ids))
+                flat = column.flatten().to_numpy(zero_copy_only=False)  # without the ids of null rows
+                size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                found = _texts(flat, np.concatenate([[0], np.cumsum(size)]), spelling, width)
+                text = [t if known else None for known, t in zip(column.is_valid().to_pylist(), found)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], [*part.schema.names, out])
 
     return slim.mapInArrow(run, schema)
 
 
 def query(docs: DataFrame) -> DataFrame:
-    rows = decode(encode(docs.select("doc_id", "text")))
+    rows = encode(docs.select("doc_id", "text"), decoded="decoded")
     same = F.coalesce(F.col("decoded") == F.replace(F.col("text"), F.lit(MARK), F.lit(" ")), F.col("n_tokens") == 0)
     return rows.select("doc_id", "n_tokens", "n_byte_tokens", "score", same.alias("round_trip"), "ids", "decoded")
