@@ -2,8 +2,9 @@
 
 Spark 4 runs with ANSI on, where ``to_date(c, fmt)`` raises on a bad value, so
 every parse here goes through ``try_to_timestamp`` and yields null instead.
-The parser policy is Spark's default (CORRECTED, strict); trailing text after
-a date is a failed parse unless ``prefix=True`` asks for the legacy reading.
+The cascade reads dates as the reference's session did (its LEGACY parser): a
+date at the start of the text, whatever follows; ``prefix=False`` asks for
+Spark's strict parser instead.
 """
 
 from __future__ import annotations
@@ -40,48 +41,53 @@ def try_parse_date(c, fmt: str | None = None) -> Column:
     return ts.cast("date")
 
 
-_LEADING = [  # pattern letters -> (regex for the text, relaxed pattern)
-    ("MMMM", "[A-Za-z]+", "MMMM"), ("MMM", "[A-Za-z]{3}", "MMM"), ("MM", "[0-9]{1,2}", "M"),
-    ("M", "[0-9]{1,2}", "M"), ("dd", "[0-9]{1,2}", "d"), ("d", "[0-9]{1,2}", "d"),
-    ("yyyy", "[0-9]+", "y"), ("yy", "[0-9]+", "y"), ("y", "[0-9]+", "y"),
-]
+_MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+           "November", "December")
+_MONTH_NAMES = "(?i:" + "|".join(_MONTHS + tuple(m[:3] for m in _MONTHS)) + ")"
+_FIELDS = (  # pattern letters -> (regex of the text, letter of the canonical pattern)
+    ("MMMM", _MONTH_NAMES, "MMM"), ("MMM", _MONTH_NAMES, "MMM"), ("MM", "[0-9]+", "M"), ("M", "[0-9]+", "M"),
+    ("dd", "[0-9]+", "d"), ("d", "[0-9]+", "d"), ("yyyy", "[0-9]+", "y"), ("yy", "[0-9]+", "y"), ("y", "[0-9]+", "y"),
+)
 
 
-def _leading_form(fmt: str) -> tuple[str, str]:
-    """For a date pattern made of M, d, y and literal characters, the regex of
-    its leading text and a pattern that accepts any year width."""
-    regex, relaxed, i = "^(", "", 0
+def _parse_leading(c, fmt: str) -> Column:
+    """The date at the start of a text, for a pattern of M, d, y and literal
+    characters, as the legacy parser reads it: blanks before a number are
+    skipped, names of months may be short and in any case, numbers may have any
+    width (but no year is 0), other characters must be there, and what follows
+    the last field is ignored."""
+    regex, fields, real, i = "^", [], F.lit(True), 0
     while i < len(fmt):
-        for letters, rx, rel in _LEADING:
+        for letters, rx, canonical in _FIELDS:
             if fmt.startswith(letters, i):
-                regex, relaxed, i = regex + rx, relaxed + rel, i + len(letters)
+                blanks = "" if canonical == "MMM" else r"[ \t]*"
+                regex, i = regex + rf"{blanks}({rx})", i + len(letters)
+                fields.append(canonical)
                 break
         else:
-            regex += re.escape(fmt[i])
-            relaxed += fmt[i] if not fmt[i].isalpha() else f"'{fmt[i]}'"
-            i += 1
-    return regex + ")", relaxed
+            regex, i = regex + re.escape(fmt[i]), i + 1
+    parts = []
+    for n, canonical in enumerate(fields, 1):
+        found = F.regexp_extract(as_col(c), regex, n)
+        parts.append(F.initcap(F.substring(found, 1, 3)) if canonical == "MMM" else found)
+        if canonical == "y":
+            real = ~found.rlike("^0+$")
+    return F.when((parts[0] != "") & real, try_parse_date(F.concat_ws(" ", *parts), " ".join(fields)))
 
 
-def parse_date_cascade(c, formats=DATE_FORMATS, prefix: bool = False) -> Column:
+def parse_date_cascade(c, formats=DATE_FORMATS, prefix: bool = True) -> Column:
     """DAT1: the first format that parses wins.
 
-    ``prefix=True`` reproduces the legacy parser the reference ran with: a
-    date at the start of the text is parsed and anything after it ignored
-    ('2022 foo' -> 2022-01-01), and years of any width parse ('January 1, 1'
-    -> 0001-01-01).  The default is Spark's strict parser.
+    By default a date at the start of the text is read and anything after it
+    ignored ('2022 foo' -> 2022-01-01, 'Jul 15, 2022' -> 2022-07-15), as the
+    reference's legacy parser did; ``prefix=False`` is Spark's strict parser.
     """
     if not prefix:
         return F.coalesce(*[try_parse_date(c, f) for f in formats])
-    parsed = []
-    for f in formats:
-        regex, relaxed = _leading_form(f)
-        lead = F.regexp_extract(as_col(c), regex, 1)
-        parsed.append(F.when(lead != "", try_parse_date(lead, relaxed)))
-    return F.coalesce(*parsed)
+    return F.coalesce(*[_parse_leading(c, f) for f in formats])
 
 
-def parse_publish_date(c, formats=DATE_FORMATS, default: _dt.date = DEFAULT_DATE, prefix: bool = False) -> Column:
+def parse_publish_date(c, formats=DATE_FORMATS, default: _dt.date = DEFAULT_DATE, prefix: bool = True) -> Column:
     """DAT1 + DAT2 + DAT3: cascade, then the default date for failures."""
     return F.coalesce(parse_date_cascade(c, formats, prefix), F.lit(default))
 

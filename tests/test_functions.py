@@ -25,7 +25,8 @@ def test_date_cascade_strict(spark):
         (None, dt.date(1900, 1, 1)),
     ]
     df = spark.createDataFrame([(r[0],) for r in rows], "d string")
-    got = df.select(dates.parse_publish_date(text.remove_phrase("d", dates.PUBLISHED_PREFIX)).alias("p")).collect()
+    strict = dates.parse_publish_date(text.remove_phrase("d", dates.PUBLISHED_PREFIX), prefix=False)
+    got = df.select(strict.alias("p")).collect()
     assert [r.p for r in got] == [r[1] for r in rows]
 
 
@@ -44,7 +45,7 @@ def test_date_cascade_legacy_prefix(spark):
         (None, dt.date(1900, 1, 1)),
     ]
     df = spark.createDataFrame([(r[0],) for r in rows], "d string")
-    parsed = dates.parse_publish_date(text.remove_phrase("d", dates.PUBLISHED_PREFIX), prefix=True)
+    parsed = dates.parse_publish_date(text.remove_phrase("d", dates.PUBLISHED_PREFIX))
     assert [r.p for r in df.select(parsed.alias("p")).collect()] == [r[1] for r in rows]
 
 
@@ -101,6 +102,44 @@ def test_numbers(spark):
     assert math.isclose(got[0].r, 4.25) and got[1].r is None and got[2].r is None
 
 
+def _with_conf(spark, conf, run):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return run()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_dates_equal_the_legacy_parser(spark):
+    samples = ["Jul 15, 2022", "Jul 2001", "July  15, 2022", "July 15, 2022 (ebook)", "2022 reissue", "july 15, 2022",
+               "JULY 15, 2022", "  July 15, 2022", "July 15,2022", "July 15 2022", "Sept 5, 2020", "Sep 5, 2020", "May 2020",
+               "February 30, 2020", "February 29, 2021", "July 0, 2020", "July 32, 2020", "2022", "  2022", "22", "0", "x 2022",
+               "July", "July 15,", "Julyx 15, 2022", "July\t15, 2022", "July \t15, 2022", "July 15,  2022", "3 July 2022", "",
+               "January 1, 1", "December 31, 999", "2022-01-05", "July 015, 2022", "Augustus 3, 2020", None]
+    df = spark.createDataFrame([(s,) for s in samples], "d string")
+    legacy = F.coalesce(*[F.to_date("d", f) for f in dates.DATE_FORMATS])
+    want = _with_conf(spark, {"spark.sql.legacy.timeParserPolicy": "LEGACY", "spark.sql.ansi.enabled": "false"},
+                      lambda: [r.p for r in df.select(legacy.cast("string").alias("p")).collect()])
+    got = [r.p for r in df.select(dates.parse_date_cascade("d").cast("string").alias("p")).collect()]
+    assert dict(zip(samples, got)) == dict(zip(samples, want))
+
+
+def test_integers_equal_the_lenient_cast(spark):
+    samples = [".5", ".", "\x0112", "12\u0085", "12", " 12 ", "+4", "-4", "-", "+", "", " ", "-.5", "+.", "12.", "12.7", "1.2.3", "1e2",
+               "12 3", "\t7\n", "\x7f8", "2147483647", "2147483648", "-2147483648", "-2147483649", "2147483647.9", "007", "--1", "1-",
+               "n/a", "\u00a05", "٣", "1_0", "0x1", None]
+    df = spark.createDataFrame([(s,) for s in samples], "n string")
+    want = _with_conf(spark, {"spark.sql.ansi.enabled": "false"}, lambda: [r.i for r in df.select(F.col("n").cast("int").alias("i")).collect()])
+    got = [r.i for r in df.select(numbers.to_int("n").alias("i")).collect()]
+    assert dict(zip(samples, got)) == dict(zip(samples, want))
+
+
 def test_split_and_join(spark):
     df = spark.createDataFrame([("Fiction, Crime,, ",), ("",)], "g string")
     got = [r.a for r in df.select(arrays.split_items("g").alias("a")).collect()]
