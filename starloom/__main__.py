@@ -30,7 +30,7 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", default=None, help="date used for missing dates (default: today)")
     ap.add_argument("--single-file", action="store_true", help="one CSV part per table")
     ap.add_argument("--trim-genres", action="store_true")
-    ap.add_argument("--legacy-dates", action="store_true", help="read a leading date, ignore trailing text")
+    ap.add_argument("--strict-dates", action="store_true", help="reject a date with text after it")
     ap.add_argument("--attach", choices=["title", "record"], default="title",
                     help="attach ratings and reviews to books by title (reference) or by record")
     ap.add_argument("--key-order", choices=["natural", "input"], default="natural")
@@ -47,8 +47,9 @@ def main(argv=None) -> None:
         opts = dict(o.split("=", 1) for o in args.option)
         raw = read_table(spark, args.input, fmt=args.format, options=opts)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
-    cleaned = clean_records(raw, as_of=as_of, keep_id=args.attach == "record", date_prefix=args.legacy_dates)
+    cleaned = clean_records(raw, as_of=as_of, keep_id=args.attach == "record", date_prefix=not args.strict_dates)
     star = Star(cleaned, trim_genres=args.trim_genres, attach=args.attach, key_order=args.key_order)
+    cleaned = star.records
     for title, report in (("books per author", author_counts(cleaned)),
                           ("books per genre", genre_counts(cleaned, args.trim_genres)),
                           ("ratings per title", title_ratings(cleaned))):
@@ -63,6 +64,7 @@ def main(argv=None) -> None:
         props = dict(p.split("=", 1) for p in args.jdbc_prop)
         for table, mode in load_star(star, args.jdbc_url, props).items():
             print(f"loaded {table}: {mode}")
+    star.close()
 
 
 if __name__ == "__main__":

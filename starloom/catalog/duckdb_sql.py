@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from .params import AS_OF
 
+# fixed values: character classes, placeholder and default texts that must equal the reference for equal results;
+# the default texts of the other columns stand in CLEANED below
 WS = r"[ \t\n\x0B\f\r]"
 EOL = r"(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])?$"
 PLACEHOLDER = "No description available"
@@ -48,8 +50,37 @@ def _second_pass(c: str) -> str:
     return _classify(_strip(c))
 
 
+# what a lenient cast trims: characters up to the blank, and DEL
+_TRIMMED = "concat(" + ", ".join(f"chr({i})" for i in [*range(1, 33), 127]) + ")"
+
+
 def _to_int(c: str) -> str:
-    return rf"TRY_CAST(regexp_extract({c}, '^\s*([+-]?\d+)(\.\d*)?\s*$', 1) AS INTEGER)"
+    """The lenient cast by its steps: trim, sign, digits, optional fraction."""
+    s = f"trim({c}, {_TRIMMED})"
+    bare = f"(CASE WHEN left({s}, 1) IN ('+', '-') THEN substr({s}, 2) ELSE {s} END)"
+    whole, rest = f"split_part({bare}, '.', 1)", f"substr({bare}, strpos({bare} || '.', '.') + 1)"
+    digits = lambda x: f"translate({x}, '0123456789', '') = ''"
+    return (f"(CASE WHEN {bare} = '' OR NOT ({digits(whole)}) OR NOT ({digits(rest)}) THEN NULL WHEN {whole} = '' THEN 0 "
+            f"ELSE TRY_CAST((CASE WHEN left({s}, 1) = '-' THEN '-' ELSE '' END) || {whole} AS INTEGER) END)")
+
+
+# fixed values: the months of the legacy date parser, by their short names
+_MONTHS = "['jan', 'feb', 'mar', 'apr', 'may', 'jun', 'jul', 'aug', 'sep', 'oct', 'nov', 'dec']"
+_LONG_MONTHS = ("['january', 'february', 'march', 'april', 'may', 'june', 'july', 'august', 'september', 'october', "
+                "'november', 'december']")
+
+
+def _legacy_date(t: str) -> str:
+    """The first of 'month d, yyyy', 'yyyy', 'month yyyy' that a text starts
+    with: short or long month names in any case, blanks before a number
+    skipped, any width of numbers, what follows ignored, real days only."""
+    name = rf"lower(regexp_extract({t}, '^([A-Za-z]+) ', 1))"
+    month = f"(CASE WHEN list_contains({_MONTHS}, {name}) OR list_contains({_LONG_MONTHS}, {name}) THEN list_position({_MONTHS}, {name}[1:3]) END)"
+    number = lambda rx, g: rf"TRY_CAST(regexp_extract({t}, '{rx}', {g}) AS INTEGER)"
+    full = "^[A-Za-z]+ [ ]*([0-9]+), [ ]*([0-9]+)"
+    made = lambda y, m, d: f"TRY_CAST(printf('%04d-%02d-%02d', NULLIF({y}, 0), {m}, {d}) AS DATE)"
+    return (f"COALESCE({made(number(full, 2), month, number(full, 1))}, {made(number('^[ ]*([0-9]+)', 1), 1, 1)}, "
+            f"{made(number('^[A-Za-z]+ [ ]*([0-9]+)', 1), month, 1)}, DATE '1900-01-01')")
 
 
 def _comma(x: str) -> str:
@@ -60,10 +91,9 @@ _DAY = "(DATE '1900-01-01' + CAST(p_partkey % 36000 AS INTEGER))"
 _D1 = f"strftime({_DAY}, '%B %-d, %Y')"
 _D2 = f"strftime({_DAY}, '%Y')"
 _D3 = f"strftime({_DAY}, '%B %Y')"
-_DATE_FORMATS = "['%B %-d, %Y', '%Y', '%B %Y']"
 AS_OF_SQL = f"DATE '{AS_OF.isoformat()}'"
 
-RAW = f"""raw AS (
+RAW = f"""raw0 AS (
   SELECT 'id' || CAST(p_partkey AS VARCHAR) AS "_id",
     CAST(p_partkey AS VARCHAR) AS "Rank",
     CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE p_name || ' ' || p_brand || ' ' || p_type END AS "Title",
@@ -74,6 +104,8 @@ RAW = f"""raw AS (
     {_comma('p_partkey * 31')} AS "Reviews",
     {_comma('p_partkey * 1009')} AS "Score",
     CASE WHEN p_partkey % 71 = 0 THEN 'unknown' WHEN p_partkey % 73 = 0 THEN CAST(p_size AS VARCHAR) || '.7'
+         WHEN p_partkey % 59 = 0 THEN '.5' WHEN p_partkey % 61 = 0 THEN chr(1) || CAST(p_size AS VARCHAR) || ' '
+         WHEN p_partkey % 53 = 0 THEN CAST(p_size AS VARCHAR) || chr(133)
          ELSE CAST(p_size AS VARCHAR) END AS "Pages",
     CASE p_partkey % 4 WHEN 0 THEN 'Hardcover' WHEN 1 THEN 'Paperback' WHEN 2 THEN 'Kindle Edition' END AS "Cover Type",
     CASE p_partkey % 6 WHEN 0 THEN 'First published ' || {_D1} WHEN 1 THEN 'First published ' || {_D2}
@@ -84,11 +116,12 @@ RAW = f"""raw AS (
     CASE WHEN p_partkey % 67 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN p_type || ',' || p_type
          WHEN p_partkey % 2 = 0 THEN p_type || ', ' || replace(p_name, ' ', ',')
          ELSE replace(p_name, ' ', ', ') || ', ' || p_type END AS "Genres"
-  FROM part)"""
+  FROM part),
+raw AS (SELECT * FROM raw0 UNION ALL SELECT * FROM raw0 WHERE CAST("Rank" AS BIGINT) % 50 = 0)"""
 
 _CLEANED_DATE = "replace(\"Date\", 'First published ', '')"
 
-CLEAN0 = f"""clean0 AS (
+PARSED = f"""parsed AS (
   SELECT "_id" AS record_id,
     "Rank" AS rank, "Title" AS title, "Author" AS author,
     TRY_CAST("Rating" AS FLOAT) AS rating,
@@ -101,11 +134,13 @@ CLEAN0 = f"""clean0 AS (
     {_first_pass('"Description"')} AS description,
     "Genres" AS genres,
     {_CLEANED_DATE} AS cleaned_date,
-    COALESCE(CAST(try_strptime({_CLEANED_DATE}, {_DATE_FORMATS}) AS DATE), DATE '1900-01-01') AS publish_date
+    {_legacy_date(_CLEANED_DATE)} AS publish_date
   FROM raw)"""
 
+CLEAN0 = "clean0 AS (SELECT DISTINCT * FROM parsed)"
+
 CLEANED = f"""cleaned AS (
-  SELECT COALESCE(rank, '0') AS rank,
+  SELECT record_id, COALESCE(rank, '0') AS rank,
     COALESCE(title, 'No title') AS title,
     COALESCE(author, 'no author') AS author,
     CASE WHEN rating IS NULL OR isnan(rating) THEN CAST(0.0 AS FLOAT) ELSE rating END AS rating,
@@ -122,7 +157,7 @@ CLEANED = f"""cleaned AS (
   FROM clean0)"""
 
 BOOKS = f"""books0 AS (
-  SELECT title AS book_title, pages AS num_pages, cover_type, publish_date, genres, rating, author,
+  SELECT record_id, title AS book_title, pages AS num_pages, cover_type, publish_date, genres, rating, author,
     {_second_pass('description')} AS description
   FROM cleaned),
 books AS (
@@ -174,7 +209,8 @@ books_final AS (
 
 DEPS = {
     "raw": (RAW, []),
-    "clean0": (CLEAN0, ["raw"]),
+    "parsed": (PARSED, ["raw"]),
+    "clean0": (CLEAN0, ["parsed"]),
     "cleaned": (CLEANED, ["clean0"]),
     "books": (BOOKS, ["cleaned"]),
     "authors": (AUTHORS, ["cleaned"]),
@@ -207,15 +243,24 @@ def with_ctes(names: list[str], body: str, extra: list[str] | None = None) -> st
 RATING_VALUES = ["rating", "num_ratings", "num_reviews", "score"]
 BOOK_COLS = ["book_id", "book_title", "num_pages", "cover_type", "publish_date", "genres", "rating",
              "author", "description"]
+BOOK_ORDER = ["book_title", "author", "num_pages", "cover_type", "publish_date", "genres", "rating", "description"]
 RATING_COLS = ["rating_id", "book_title", "rating", "num_ratings", "num_reviews", "score"]
 
 _R_PREFIXED = ", ".join(f"r.{c} AS r_{c}" for c in RATING_VALUES)
-_ORDER_DATE_TEXT = """CASE o_orderkey % 5
+_ORDER_DATE_TEXT = """CASE o_orderkey % 13
       WHEN 0 THEN 'First published ' || strftime(o_orderdate, '%B %-d, %Y')
       WHEN 1 THEN 'First published ' || strftime(o_orderdate, '%Y')
       WHEN 2 THEN 'First published ' || strftime(o_orderdate, '%B %Y')
       WHEN 3 THEN 'Published ' || strftime(o_orderdate, '%B %-d, %Y')
-      ELSE strftime(o_orderdate, '%B %-d, %Y') || ' extra' END"""
+      WHEN 4 THEN strftime(o_orderdate, '%B %-d, %Y') || ' extra'
+      WHEN 5 THEN strftime(o_orderdate, '%b %-d, %Y')
+      WHEN 6 THEN strftime(o_orderdate, '%b %Y')
+      WHEN 7 THEN strftime(o_orderdate, '%B  %-d, %Y')
+      WHEN 8 THEN strftime(o_orderdate, '%B %-d, %Y') || ' (ebook)'
+      WHEN 9 THEN strftime(o_orderdate, '%Y') || ' reissue'
+      WHEN 10 THEN ' ' || upper(strftime(o_orderdate, '%B')) || strftime(o_orderdate, ' %-d, %Y')
+      WHEN 11 THEN strftime(o_orderdate, '%B %-d %Y')
+      ELSE 'February 30, ' || strftime(o_orderdate, '%Y') END"""
 
 _LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -268,28 +313,22 @@ def oracle_sql() -> dict[str, str]:
         "p_size AS size, 'part' AS source_table FROM part"
     )
     q["strip_thousands_cast"] = with_ctes(
-        ["clean0"], "SELECT record_id, rating, num_ratings, reviews, score, pages FROM clean0")
-    q["date_cascade"] = f"""SELECT o_orderkey, date_text,
-  COALESCE(CAST(try_strptime(replace(date_text, 'First published ', ''), {_DATE_FORMATS}) AS DATE),
-           DATE '1900-01-01') AS publish_date
-FROM (SELECT o_orderkey, {_ORDER_DATE_TEXT} AS date_text FROM orders)"""
-    lead = [(r"^([A-Za-z]+ [0-9]{1,2}, [0-9]+)", "%B %-d, %Y"), (r"^([0-9]+)", "%Y"),
-            (r"^([A-Za-z]+ [0-9]+)", "%B %Y")]
-    legacy = ", ".join(f"CAST(try_strptime(NULLIF(regexp_extract(t, '{rx}', 1), ''), '{fmt}') AS DATE)"
-                       for rx, fmt in lead)
-    q["date_cascade_legacy"] = f"""SELECT o_orderkey, date_text,
-  COALESCE({legacy}, DATE '1900-01-01') AS publish_date
+        ["parsed"], "SELECT record_id, rating, num_ratings, reviews, score, pages FROM parsed")
+    q["date_cascade"] = f"""SELECT o_orderkey, date_text, {_legacy_date('t')} AS publish_date
 FROM (SELECT o_orderkey, date_text, replace(date_text, 'First published ', '') AS t
       FROM (SELECT o_orderkey, {_ORDER_DATE_TEXT} AS date_text FROM orders))"""
+    q["date_cascade_legacy"] = f"""SELECT o_orderkey, date_text, {_legacy_date('t')} AS publish_date
+FROM (SELECT o_orderkey, date_text, replace(replace(date_text, 'First published ', ''), 'Published ', '') AS t
+      FROM (SELECT o_orderkey, {_ORDER_DATE_TEXT} AS date_text FROM orders))"""
     q["date_roundtrip"] = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
   strftime(o_orderdate, '%d-%m-%Y') AS dmy_text,
   CAST(try_strptime(strftime(o_orderdate, '%d-%m-%Y'), '%d-%m-%Y') AS DATE) AS dmy_date,
   CAST(TRY_CAST(CAST(o_orderdate AS VARCHAR) AS TIMESTAMP) AS DATE) AS lenient_date
 FROM orders"""
-    q["date_defaults"] = with_ctes(["clean0"], f"""SELECT record_id,
+    q["date_defaults"] = with_ctes(["parsed"], f"""SELECT record_id,
   COALESCE(date_text, strftime({AS_OF_SQL}, '%Y-%m-%d')) AS date_text,
   COALESCE(cleaned_date, 'Published ' || strftime({AS_OF_SQL}, '%B %d, %Y')) AS cleaned_date
-FROM clean0""")
+FROM parsed""")
     q["text_classify"] = f"""SELECT doc_id,
   {_unusable('text')} AS unusable,
   {_classify('text')} AS classified
@@ -301,7 +340,7 @@ FROM raw""")
     q["text_clean_documents"] = f"""SELECT doc_id, lang,
   {_second_pass(_first_pass('text'))} AS cleaned_text
 FROM documents"""
-    q["clean_records"] = with_ctes(["cleaned"], "SELECT * FROM cleaned")
+    q["clean_records"] = with_ctes(["cleaned"], "SELECT * EXCLUDE (record_id) FROM cleaned")
     fill_cols = ["rank", "title", "author", "rating", "num_ratings", "description", "reviews", "pages",
                  "cover_type", "score", "genres", "date_text", "cleaned_date"]
     fills = ", ".join(
@@ -333,9 +372,28 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
   count(*) FILTER (WHERE ok) AS valid_rows, count(*) FILTER (WHERE NOT ok) AS rejected_rows
 FROM (SELECT (b.book_id IN (SELECT book_id FROM books) AND r.rating_id IN (SELECT rating_id FROM ratings)) AS ok
       FROM books b JOIN ratings r ON b.book_title = r.book_title)""")
-    q["books_left_ratings"] = with_ctes(["books", "ratings"], f"""SELECT b.*, r.rating_id, {_R_PREFIXED}
+    q["referential_orphans"] = """SELECT count(*) FILTER (WHERE ok) AS valid_rows, count(*) FILTER (WHERE NOT ok) AS rejected_rows
+FROM (SELECT l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 40)
+         AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0) AS ok FROM lineitem)"""
+    q["rejected_orphans"] = """SELECT * FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 40)"""
+    by_record = {
+        "reviews_by_record": """SELECT row_number() OVER (ORDER BY book_id, reviews NULLS FIRST, score NULLS FIRST) - 1 AS review_id,
+  book_id, reviews, score FROM (SELECT b.book_id, c.reviews, c.score FROM cleaned c JOIN rbooks b USING (record_id))""",
+        "bridge_book_ratings_by_record": "SELECT b.book_id, r.rating_id FROM rbooks b JOIN rratings r USING (record_id)",
+        "books_left_ratings_by_record": f"""SELECT b.*, r.rating_id, {_R_PREFIXED}
+FROM rbooks b LEFT JOIN rratings r ON b.record_id = r.record_id""",
+    }
+    record_tables = [
+        f"rbooks AS (SELECT row_number() OVER (ORDER BY {_nf([*BOOK_ORDER, 'record_id'])}) - 1 AS book_id, * FROM books0)",
+        f"""rratings AS (SELECT row_number() OVER (ORDER BY {_nf([*RATING_COLS[1:], 'record_id'])}) - 1 AS rating_id, *
+  FROM (SELECT record_id, title AS book_title, rating, num_ratings, reviews AS num_reviews, score FROM cleaned))""",
+    ]
+    for name, body in by_record.items():
+        q[name] = with_ctes(["books"], body, record_tables)
+    q["books_left_ratings"] = with_ctes(["books", "ratings"], f"""SELECT b.* EXCLUDE (record_id), r.rating_id, {_R_PREFIXED}
 FROM books b LEFT JOIN ratings r ON b.book_title = r.book_title""")
-    q["ratings_left_books"] = with_ctes(["books", "ratings"], f"""SELECT r.rating_id, {_R_PREFIXED}, b.*
+    q["ratings_left_books"] = with_ctes(["books", "ratings"], f"""SELECT r.rating_id, {_R_PREFIXED}, b.* EXCLUDE (record_id)
 FROM ratings r LEFT JOIN books b ON r.book_title = b.book_title""")
     b_cols = ", ".join(f"b.{c} AS b_{c}" for c in BOOK_COLS)
     r_cols = ", ".join(f"r.{c} AS r_{c}" for c in RATING_COLS)
@@ -347,7 +405,7 @@ FROM book_ratings br JOIN books b ON br.book_id = b.book_id""")
     q["books_genre_names"] = with_ctes(["book_genres"], """SELECT b.book_id, b.book_title, b.num_pages,
   b.cover_type, b.publish_date, b.rating, b.author, b.description, g.genre_name
 FROM books b JOIN book_genres bg ON b.book_id = bg.book_id JOIN genres g ON bg.genre_id = g.genre_id""")
-    q["books_reviews"] = with_ctes(["reviews"], """SELECT b.*, r.review_id, r.reviews, r.score
+    q["books_reviews"] = with_ctes(["reviews"], """SELECT b.* EXCLUDE (record_id), r.review_id, r.reviews, r.score
 FROM books b JOIN reviews r ON b.book_id = r.book_id""")
     q["books_final"] = with_ctes(["books_final"], """SELECT book_id, book_title, author_id, num_pages, cover_type,
   publish_date, description, genre_ids FROM books_final""")
@@ -375,18 +433,29 @@ FROM ratings GROUP BY book_title""")
   NULLIF(COALESCE("Title", ''), '') AS title, NULLIF(COALESCE("Genres", ''), '') AS genres
 FROM raw
 WHERE strpos(COALESCE("_id", '') || COALESCE("Title", '') || COALESCE("Genres", ''), ',') = 0""")
+    counted = {"authors": "authors", "book_genres": "book_genres", "book_ratings": "book_ratings", "books": "books_final",
+               "genres": "genres", "ratings": "ratings", "reviews": "reviews"}
+    q["export_star"] = with_ctes(list(counted.values()), "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, 1::BIGINT AS files FROM {t}" for name, t in counted.items()))
     q["load_authors"] = with_ctes(["authors"], "SELECT author_id, author_name FROM authors")
     sel2 = ", ".join(f"NULLIF({c}, '') AS {c}" if c in str_cols else c for c in bf_cols if c != "book_id")
+    spoiled = ("CASE WHEN book_id % 13 = 0 THEN TRY_CAST('2024-02-3' || substr(CAST(publish_date AS VARCHAR), 10, 1) AS DATE) "
+               "WHEN book_id % 17 = 0 THEN NULL ELSE publish_date END AS publish_date")
+    sel2 = sel2.replace(", publish_date,", f", {spoiled},")
     q["load_books"] = with_ctes(["books_final"], f"SELECT {sel2} FROM books_final")
     q["load_ratings"] = with_ctes(["ratings"], f"""SELECT {', '.join(RATING_COLS)} FROM ratings
 WHERE rating_id NOT IN (SELECT rating_id FROM ratings WHERE num_ratings = 0)""")
     q["load_reviews"] = with_ctes(["reviews"], """SELECT book_id, reviews, score FROM reviews
 WHERE book_id IN (SELECT book_id FROM books)""")
+    q["load_reviews_orphans"] = with_ctes(["reviews"], """SELECT book_id, reviews, score FROM reviews
+WHERE book_id IN (SELECT book_id FROM books WHERE cover_type <> 'Hardcover')""")
+    q["load_book_genres_orphans"] = with_ctes(["book_genres"], """SELECT book_id, genre_id FROM book_genres
+WHERE genre_id IN (SELECT genre_id FROM genres WHERE genre_name NOT LIKE ' %')""")
     q["load_book_genres"] = with_ctes(["book_genres"], """SELECT book_id, genre_id FROM book_genres
 WHERE genre_id IN (SELECT genre_id FROM genres)""")
     q["load_book_ratings"] = with_ctes(["book_ratings"], """SELECT book_id, rating_id FROM (
   SELECT book_id, row_number() OVER (ORDER BY book_id NULLS FIRST, rating_id NULLS FIRST) AS rating_id
   FROM book_ratings) x
 WHERE rating_id IN (SELECT rating_id FROM ratings) AND book_id IN (SELECT book_id FROM books)""")
-    q["stream_clean"] = with_ctes(["cleaned"], "SELECT * FROM cleaned")
+    q["stream_clean"] = with_ctes(["cleaned"], "SELECT * EXCLUDE (record_id) FROM cleaned")
     return q

@@ -22,12 +22,14 @@ from ..operators import (
     keep_existing,
     null_census,
     referential_counts,
+    rejected_rows,
+    row_count,
     schema_report,
-    spread,
 )
 from ..plans import load as ld
 from ..plans import reports, views
 from ..plans.clean import clean_records, fill_report
+from ..plans.export import export_star, star_tables
 from ..plans.star import Star, title_pairs
 from ..session import scratch_path
 from ..sources import (
@@ -56,6 +58,11 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     return Star(cleaned(spark, sf_dir))
 
 
+def record_star(spark: SparkSession, sf_dir: str) -> Star:
+    """Facts attached to the book of their own record: no title fan-out."""
+    return Star(clean_records(raw(spark, sf_dir), as_of=AS_OF, keep_id=True), attach="record")
+
+
 # --- sources, projections, expression library --------------------------------
 
 def q_raw_records(spark, sf_dir):
@@ -85,16 +92,30 @@ def q_strip_thousands_cast(spark, sf_dir):
 
 
 def _order_date_text() -> "F.Column":
+    """Date texts of every kind the legacy parser reads or refuses."""
     d = F.col("o_orderdate")
-    k = F.col("o_orderkey") % 5
     first = F.lit(dates.PUBLISHED_PREFIX)
-    return (
-        F.when(k == 0, F.concat(first, F.date_format(d, "MMMM d, yyyy")))
-        .when(k == 1, F.concat(first, F.date_format(d, "yyyy")))
-        .when(k == 2, F.concat(first, F.date_format(d, "MMMM yyyy")))
-        .when(k == 3, F.concat(F.lit("Published "), F.date_format(d, "MMMM d, yyyy")))
-        .otherwise(F.concat(F.date_format(d, "MMMM d, yyyy"), F.lit(" extra")))
-    )
+    day = lambda fmt: F.date_format(d, fmt)
+    kinds = [
+        F.concat(first, day("MMMM d, yyyy")),
+        F.concat(first, day("yyyy")),
+        F.concat(first, day("MMMM yyyy")),
+        F.concat(F.lit(dates.PLACEHOLDER_DATE_PREFIX), day("MMMM d, yyyy")),
+        F.concat(day("MMMM d, yyyy"), F.lit(" extra")),
+        day("MMM d, yyyy"),
+        day("MMM yyyy"),
+        F.concat(day("MMMM"), F.lit("  "), day("d, yyyy")),
+        F.concat(day("MMMM d, yyyy"), F.lit(" (ebook)")),
+        F.concat(day("yyyy"), F.lit(" reissue")),
+        F.concat(F.lit(" "), F.upper(day("MMMM")), day(" d, yyyy")),
+        day("MMMM d yyyy"),
+        F.concat(F.lit("February 30, "), day("yyyy")),
+    ]
+    k = F.col("o_orderkey") % len(kinds)
+    out = F.when(k == 0, kinds[0])
+    for i, kind in enumerate(kinds[1:], 1):
+        out = out.when(k == i, kind)
+    return out
 
 
 def q_date_cascade(spark, sf_dir):
@@ -107,12 +128,12 @@ def q_date_cascade(spark, sf_dir):
 
 
 def q_date_cascade_legacy(spark, sf_dir):
-    """The cascade as the reference's legacy parser read it: a leading date
-    parses and trailing words are ignored."""
+    """The cascade with both phrases removed first, so that 'Published ...'
+    dates parse as well."""
     orders = read_testdata(spark, sf_dir, "orders")
     txt = orders.select("o_orderkey", _order_date_text().alias("date_text"))
-    cleaned = text.remove_phrase("date_text", dates.PUBLISHED_PREFIX)
-    return txt.select("o_orderkey", "date_text", dates.parse_publish_date(cleaned, prefix=True).alias("publish_date"))
+    bare = text.remove_phrase(text.remove_phrase("date_text", dates.PUBLISHED_PREFIX), dates.PLACEHOLDER_DATE_PREFIX)
+    return txt.select("o_orderkey", "date_text", dates.parse_publish_date(bare, prefix=True).alias("publish_date"))
 
 
 def q_date_roundtrip(spark, sf_dir):
@@ -141,7 +162,7 @@ def q_date_defaults(spark, sf_dir):
 
 
 def q_text_classify(spark, sf_dir):
-    docs = spread(read_testdata(spark, sf_dir, "documents"))
+    docs = read_testdata(spark, sf_dir, "documents")
     return docs.select(
         "doc_id",
         text.is_unusable_text("text").alias("unusable"),
@@ -160,7 +181,7 @@ def q_text_clean(spark, sf_dir):
 
 
 def q_text_clean_documents(spark, sf_dir):
-    docs = spread(read_testdata(spark, sf_dir, "documents"))
+    docs = read_testdata(spark, sf_dir, "documents")
     return docs.select("doc_id", "lang", text.clean_text("text", passes=2).alias("cleaned_text"))
 
 
@@ -212,7 +233,7 @@ LINEITEM_ORDER = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qua
 
 def q_dense_ids(spark, sf_dir):
     li = read_testdata(spark, sf_dir, "lineitem")
-    return assign_dense_key(li, LINEITEM_ORDER, "row_id").df
+    return assign_dense_key(li, LINEITEM_ORDER, "row_id", ties="scan").df
 
 
 def q_semi_filter(spark, sf_dir):
@@ -258,12 +279,40 @@ def q_bridge_book_ratings(spark, sf_dir):
 
 
 def q_bridge_valid_count(spark, sf_dir):
-    """DQ3: valid pairs after the referential filter, and the pairs before it
-    that a parent check rejects (none when both parents are the keyed
-    tables themselves)."""
+    """DQ3 on the bridge: pairs with both parents, and pairs without."""
     s = star(spark, sf_dir).build("books", "ratings")
-    checked = referential_counts(title_pairs(s.books, s.ratings), {"book_id": s.books, "rating_id": s.ratings})
-    return checked
+    return referential_counts(title_pairs(s.books, s.ratings), {"book_id": s.books, "rating_id": s.ratings})
+
+
+def _some_parents(spark, sf_dir):
+    """Parts and orders, a share of each missing, so that line items are orphans."""
+    part = read_testdata(spark, sf_dir, "part").filter("p_size <= 40").select(F.col("p_partkey").alias("l_partkey"))
+    orders = read_testdata(spark, sf_dir, "orders").filter("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    return part, orders
+
+
+def q_referential_orphans(spark, sf_dir):
+    """DQ3 where parents are missing: rows with both parents, and the rest."""
+    part, orders = _some_parents(spark, sf_dir)
+    return referential_counts(read_testdata(spark, sf_dir, "lineitem"), {"l_partkey": part, "l_orderkey": orders})
+
+
+def q_rejected_orphans(spark, sf_dir):
+    """The rows a referential filter rejects."""
+    part, _ = _some_parents(spark, sf_dir)
+    return rejected_rows(read_testdata(spark, sf_dir, "lineitem"), part, "l_partkey")
+
+
+def q_reviews_by_record(spark, sf_dir):
+    return record_star(spark, sf_dir).reviews.df
+
+
+def q_bridge_book_ratings_by_record(spark, sf_dir):
+    return record_star(spark, sf_dir).book_ratings
+
+
+def q_books_left_ratings_by_record(spark, sf_dir):
+    return views.books_left_ratings(record_star(spark, sf_dir))
 
 
 def q_books_left_ratings(spark, sf_dir):
@@ -305,7 +354,8 @@ def q_report_genre_counts(spark, sf_dir):
 
 
 def q_report_title_ratings(spark, sf_dir):
-    return reports.title_ratings(cleaned(spark, sf_dir))
+    # rounded for the comparison only, after the report is made and sorted
+    return reports.title_ratings(cleaned(spark, sf_dir)).withColumn("average_rating", F.round("average_rating", 6))
 
 
 def q_report_top20(spark, sf_dir):
@@ -346,15 +396,45 @@ def q_csv_skip_bad(spark, sf_dir):
     return read_csv_skip_long_lines(spark, path, SKIP_SCHEMA, header=False)
 
 
+def q_export_star(spark, sf_dir):
+    """EXP1, SNK2, PAR1: all seven tables exported as single files, then again
+    over the first export; rows and data files of each as read back."""
+    s = star(spark, sf_dir)
+    out = scratch_path(spark, "export-star")
+    for _ in range(2):
+        paths = export_star(s, out, single_file=True)
+    schemas = {name: df.schema for name, df in star_tables(s).items()}
+    frames = []
+    for name, path in sorted(paths.items()):
+        back = read_csv(spark, path, schemas[name])
+        rows = row_count(back, table_name=name)
+        files = back.select(F.input_file_name().alias("f")).distinct().agg(F.count(F.lit(1)).alias("files"))
+        frames.append(rows.join(files))  # one row with one row
+    out_df = frames[0]
+    for f in frames[1:]:
+        out_df = out_df.unionByName(f)
+    return out_df
+
+
 # --- loads (prepared rows; the JDBC write itself is a thin sink) ------------------------------------
 
 def q_load_authors(spark, sf_dir):
-    return ld.prepare_authors(star(spark, sf_dir).authors.df)
+    """LD1: the authors export read back."""
+    path = _exported(spark, star(spark, sf_dir).authors.df, "authors")
+    return ld.prepare_authors(read_csv(spark, path, "author_id long, author_name string"))
+
+
+BOOKS_TEXT_DATES = T.StructType([T.StructField(f.name, T.StringType() if f.name == "publish_date" else f.dataType)
+                                 for f in BOOKS_CSV_SCHEMA])
 
 
 def q_load_books(spark, sf_dir):
-    books_csv = read_csv_skip_long_lines(spark, _books_csv(spark, sf_dir), BOOKS_CSV_SCHEMA)
-    return ld.prepare_books(books_csv)
+    """LD2: the books export read back with its dates as text, some of them
+    spoiled on the way; descriptions may hold line ends."""
+    books = read_csv_skip_long_lines(spark, _books_csv(spark, sf_dir), BOOKS_TEXT_DATES, multi_line=True)
+    spoiled = F.when(F.col("book_id") % 13 == 0, F.concat(F.lit("2024-02-3"), F.substring("publish_date", 10, 1)))
+    spoiled = spoiled.when(F.col("book_id") % 17 == 0, F.lit("unknown"))
+    return ld.prepare_books(books.withColumn("publish_date", spoiled.otherwise(F.col("publish_date"))))
 
 
 def _exported(spark, df: DataFrame, name: str, times: int = 1) -> str:
@@ -380,7 +460,8 @@ def q_load_ratings(spark, sf_dir):
     (SRC4), one row per key, new keys only."""
     s = star(spark, sf_dir)
     ratings = s.ratings.df.select(*[f.name for f in RATINGS_CSV_SCHEMA.fields])
-    exported = read_csv_skip_long_lines(spark, _exported(spark, ratings, "ratings", times=2), RATINGS_CSV_SCHEMA)
+    exported = read_csv_skip_long_lines(spark, _exported(spark, ratings, "ratings", times=2), RATINGS_CSV_SCHEMA,
+                                        multi_line=True)  # titles are free text
     loaded_before = ratings.filter(F.col("num_ratings") == 0).select("rating_id")
     return ld.prepare_ratings(exported, loaded_before)
 
@@ -389,28 +470,43 @@ def q_load_reviews(spark, sf_dir):
     """LD4/LD5: the reviews export read back (SRC3), rows with a parent book."""
     s = star(spark, sf_dir)
     path = _exported(spark, s.reviews.df, "reviews")
-    reviews = read_csv(spark, path, "review_id long, book_id long, reviews int, score int")
+    reviews = read_csv(spark, path, "review_id long, book_id long, reviews int, score int", multi_line=False)
     return ld.prepare_reviews(reviews, s.books.df.select("book_id"))
 
 
+def q_load_reviews_orphans(spark, sf_dir):
+    """LD4/LD5 where some books are not loaded: their reviews stay out."""
+    s = star(spark, sf_dir)
+    path = _exported(spark, s.reviews.df, "reviews")
+    reviews = read_csv(spark, path, "review_id long, book_id long, reviews int, score int", multi_line=False)
+    return ld.prepare_reviews(reviews, s.books.df.filter("cover_type <> 'Hardcover'").select("book_id"))
+
+
 def q_load_book_genres(spark, sf_dir):
     """LD6: the bridge export read back, pairs whose genre exists."""
     s = star(spark, sf_dir)
-    pairs = read_csv(spark, _exported(spark, s.book_genres, "book_genres"), "book_id long, genre_id long")
+    pairs = read_csv(spark, _exported(spark, s.book_genres, "book_genres"), "book_id long, genre_id long", multi_line=False)
     return ld.prepare_book_genres(pairs, s.genres.df.select("genre_id"))
 
 
+def q_load_book_genres_orphans(spark, sf_dir):
+    """LD6 where some genres are not loaded: their pairs stay out."""
+    s = star(spark, sf_dir)
+    pairs = read_csv(spark, _exported(spark, s.book_genres, "book_genres"), "book_id long, genre_id long", multi_line=False)
+    return ld.prepare_book_genres(pairs, s.genres.df.filter("genre_name NOT LIKE ' %'").select("genre_id"))
+
+
 def q_load_book_ratings(spark, sf_dir):
     """LD7: the bridge export read back, renumbered, both parents checked."""
     s = star(spark, sf_dir)
-    pairs = read_csv(spark, _exported(spark, s.book_ratings, "book_ratings"), "book_id long, rating_id long")
+    pairs = read_csv(spark, _exported(spark, s.book_ratings, "book_ratings"), "book_id long, rating_id long", multi_line=False)
     return ld.prepare_book_ratings(pairs, s.ratings.df.select("rating_id"), s.books.df.select("book_id"))
 
 
 # --- streaming ------------------------------------------------------------------------------------
 
 def q_stream_clean(spark, sf_dir):
-    return clean_stream_to_table(spark, sf_dir, "part.parquet", as_of=AS_OF)
+    return clean_stream_to_table(spark, sf_dir, "part.parquet", as_of=AS_OF, within="1 hour")
 
 
 QUERIES: dict[str, Query] = {

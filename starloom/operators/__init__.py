@@ -1,8 +1,8 @@
 """Relational operators built from DataFrame primitives."""
 
 from .dedupe import dedupe_by_key, distinct_values, drop_exact_duplicates
-from .joins import broadcast_budget, lookup, maybe_broadcast, salted_join, skew_handled_by_aqe
-from .keys import Keyed, assign_dense_key, hash_key, renumber
+from .joins import broadcast_budget, hot_pairs, lookup, maybe_broadcast, salted_join
+from .keys import Keyed, assign_dense_key, renumber
 from .materialize import materialize
 from .membership import drop_existing, keep_existing, rejected_rows
 from .parallel import spread
@@ -17,7 +17,7 @@ __all__ = [
     "distinct_values",
     "drop_exact_duplicates",
     "drop_existing",
-    "hash_key",
+    "hot_pairs",
     "keep_existing",
     "lookup",
     "materialize",
@@ -30,7 +30,6 @@ __all__ = [
     "row_count",
     "salted_join",
     "schema_report",
-    "skew_handled_by_aqe",
     "sort_desc",
     "spread",
     "top_k",

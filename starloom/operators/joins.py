@@ -3,8 +3,9 @@
 All joins of the reference are equi-joins (inner, left, semi, anti).  A side
 is broadcast only when its real size is known (``Keyed.data_bytes`` is
 measured while keys are assigned) and fits the session's broadcast budget;
-beyond that the join is left to the planner (sort-merge, with AQE splitting
-skewed partitions of hot keys).
+beyond that the join is left to the planner (sort-merge).  AQE splits skewed
+partitions by their bytes; keys whose *output* is large are cut by
+``salted_join``, from measured pair counts.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .materialize import materialize
+
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
@@ -55,45 +58,56 @@ def lookup(fact: DataFrame, dim: DataFrame, left_on: str, right_on: str, how: st
     return fact.join(d, fact[left_on] == d[right_on], how).drop(d[right_on])
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner",
-                max_rows_per_key: int = 1_000_000) -> DataFrame:
-    """Equi-join on ``on`` that splits hot keys across tasks by salting.
-
-    A key with more than ``max_rows_per_key`` rows on the left is given
-    ``ceil(rows / max_rows_per_key)`` salts: its left rows are spread over the
-    salts by a hash of the whole row (deterministic under retries), and its
-    right rows are copied once per salt, so every left row still meets every
-    matching right row exactly once.  Other keys keep salt 0.  The hot-key
-    table has at most ``left rows / max_rows_per_key`` rows; its size is
-    measured (key bytes included) and it is broadcast only when that fits the
-    budget.  Inner and left joins only (the left side is the one split).
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counts.filter(F.col("__rows") > max_rows_per_key).select(
-        on, F.ceil(F.col("__rows") / max_rows_per_key).cast("int").alias("__salts"))
+#: Output pairs of one key that one task makes, about.
+PAIRS_PER_TASK = 4_000_000
+
+
+def hot_pairs(left: DataFrame, right: DataFrame, on: str, max_pairs: int = PAIRS_PER_TASK) -> DataFrame | None:
+    """Keys whose join makes more than ``max_pairs`` pairs, with the cuts of
+    either side that bring a piece down to that: (on, __cuts_l, __cuts_r);
+    None if there is no such key.
+
+    Measured from per-key counts of both sides (partial aggregates over the key
+    column), not from bytes: m short rows that meet n short rows are small, their
+    m x n pairs are not.  The table has at most total pairs / max_pairs rows; its
+    size is measured and it is broadcast only within the budget."""
+    m = left.groupBy(on).agg(F.count(F.lit(1)).alias("__m"))
+    n = right.groupBy(on).agg(F.count(F.lit(1)).alias("__n"))
+    pairs = F.col("__m").cast("double") * F.col("__n")
+    cells = F.ceil(pairs / max_pairs)
+    cuts_l = F.least(F.col("__m"), F.greatest(F.lit(1), F.ceil(F.sqrt(cells * F.col("__m") / F.col("__n")))))
+    hot = m.join(n, on).filter(pairs > max_pairs).withColumn("__cuts_l", cuts_l.cast("int")).withColumn(
+        "__cuts_r", F.ceil(cells / F.col("__cuts_l")).cast("int")).select(on, "__cuts_l", "__cuts_r")
+    hot = materialize(hot, "hot-keys").df
     size = hot.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.coalesce(F.octet_length(F.col(on).cast("string")), F.lit(0)) + 32).alias("b"),
+        F.sum(F.coalesce(F.octet_length(F.col(on).cast("string")), F.lit(0)) + 40).alias("b"),
     ).first()
-    if not size["n"]:
+    return maybe_broadcast(hot, int(size["b"])) if size["n"] else None
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner",
+                hot: DataFrame | None = None) -> DataFrame:
+    """Equi-join on ``on`` that cuts the hot keys of :func:`hot_pairs` on both
+    sides: a left row is dealt to one of its key's left cuts and copied to every
+    right cut, a right row the other way round, so each pair is made once, in
+    the cell of its two cuts.  Cuts go by a hash of the whole row, alike when a
+    task is repeated.  Inner and left joins."""
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    if hot is None:
         return left.join(right, on, how)
-    hot = maybe_broadcast(hot, int(size["b"]))
-    lcols = left.columns
-    salted_left = left.join(hot, on, "left").withColumn(
-        "__salt",
-        F.when(F.col("__salts").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in lcols]), F.col("__salts")).cast("int")),
-    ).drop("__salts")
-    salted_right = right.join(hot, on, "left").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))
-    ).drop("__salts")
-    return salted_left.join(salted_right, [on, "__salt"], how).drop("__salt")
-
-
-def skew_handled_by_aqe(spark: SparkSession) -> bool:
-    """Whether AQE will split skewed join partitions at run time."""
-    on = spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
-    skew = spark.conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
-    return on and skew
+    one = F.lit(1)
+
+    def dealt(side: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in side.columns])
+        return side.join(hot, on, "left").withColumn(mine, F.pmod(row, F.coalesce(F.col(own), one)).cast("int")).withColumn(
+            theirs, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), one) - 1)))
+
+    cut_left = dealt(left, "__cuts_l", "__cuts_r", "__cell_l", "__cell_r").withColumn(
+        "__hot", F.col("__cuts_l").isNotNull()).drop("__cuts_l", "__cuts_r")
+    cut_right = dealt(right, "__cuts_r", "__cuts_l", "__cell_r", "__cell_l").drop("__cuts_l", "__cuts_r").withColumn("__hit", F.lit(True))
+    out = cut_left.join(cut_right, [on, "__cell_l", "__cell_r"], how)
+    if how == "left":  # a hot key has matches: a cell without any is no missing match
+        out = out.filter(~F.col("__hot") | F.col("__hit").isNotNull())
+    return out.drop("__cell_l", "__cell_r", "__hot", "__hit")

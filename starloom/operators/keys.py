@@ -9,20 +9,22 @@ a total order over natural-key columns, 0-based (or ``start``-based):
    within the partition) off every row;
 3. the sorted rows are written as parquet into the shared checkpoint folder,
    so the counting pass and the numbering pass see the very same rows even if
-   an executor is lost in between, and later reads prune to the columns they
-   need;
+   an executor is lost in between;
 4. rows per partition are counted (one row per partition comes back, a size
    bounded by the partition count, not by the data) and turned into running
    offsets;
-5. the offsets are broadcast-joined back: key = offset + row number.
+5. the offsets are broadcast-joined once and the numbered table is written: later
+   reads prune its columns, push filters on the key into the scan, and join
+   nothing to get it.
 
 When the order columns are a natural key the result equals
 ``row_number() OVER (ORDER BY order) - 1`` exactly; rows tied on every order
 column must be identical for the result to be deterministic, so order by all
 columns when no natural key exists.  Ties are broken by the row's position in
 the input, so that a value shared by a third of all rows is spread over many
-range partitions instead of landing in one sort task; tied rows being
-identical, which of them gets which key does not change the result.
+range partitions instead of landing in one sort task.  A position is only the
+same in a repeated task if the input's rows come in a fixed order: a scan's do,
+a shuffle's do not, so other inputs are written first (``ties``).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -51,6 +53,15 @@ class Keyed:
     rows: int
     start: int = 0
     _bytes: int | None = None
+    path: str | None = None
+    table: str | None = None
+
+    def remove(self) -> None:
+        """Delete the written table; ``df`` cannot be read afterwards."""
+        if self.table:
+            self.df.sparkSession.sql(f"DROP TABLE IF EXISTS {self.table}")
+        if self.path:
+            remove_path(self.df.sparkSession, self.path)
 
     @property
     def data_bytes(self) -> int:
@@ -90,39 +101,48 @@ def assign_dense_key(
     key: str,
     start: int = 0,
     front: bool = True,
-    bucket_rows: int | None = None,
+    buckets: int | None = None,
     measure_bytes: bool = False,
+    ties: str = "write",
 ) -> Keyed:
     """Add a dense, deterministic 64-bit key ordered by ``order`` (asc, nulls first).
 
+    ``ties`` says how rows equal on all of ``order`` are told apart:
+    ``"write"`` (default) writes the input first and takes the position there;
+    ``"scan"`` takes the position in the input, which must be a plain scan or a
+    projection of one; ``"none"`` is for inputs without such rows (a DISTINCT of
+    the order columns).
+
     With an empty ``order`` the key follows the input's own partition and row
     order (what ``monotonically_increasing_id`` numbers, made dense) and the
     input is never shuffled: the cheapest key for a large table whose natural
     order does not matter.  It is fixed once written, and it repeats for the
     same input files and split size.
 
-    With ``bucket_rows`` a table of at least two buckets' worth of rows is
-    also written bucketed by the key (one bucket per ``bucket_rows`` rows): one
-    more shuffle now, and later joins and groupings on the key read the table
-    without shuffling it.  A smaller table is cheaper to re-shuffle per use
-    than to write twice, so it stays as it is.  ``measure_bytes`` measures the
-    table's size in the counting pass (for tables that may be broadcast),
-    instead of in a separate job later.
+    With ``buckets`` the numbered table is written bucketed by the key into that
+    many buckets and registered in the session catalog: later joins and
+    groupings on the key read it without shuffling it.  ``measure_bytes``
+    measures the table's size in the counting pass (for tables that may be
+    broadcast), instead of in a separate job later.
     """
+    if ties not in ("write", "scan", "none"):
+        raise ValueError("ties must be 'write', 'scan' or 'none'")
     spark: SparkSession = df.sparkSession
     cols = df.columns
-    path = scratch_path(spark, f"keyed-{key}")
+    sorted_path = scratch_path(spark, f"sorted-{key}")
+    given = None
     if order:
-        sort_keys = [F.col(f"`{c}`").asc_nulls_first() for c in order] + [F.col("__tie")]
-        ordered = (df.withColumn("__tie", F.monotonically_increasing_id())
-                     .orderBy(*sort_keys)
-                     .drop("__tie")
-                     .withColumn("__mid", F.monotonically_increasing_id()))
-    else:
-        # input order: no shuffle at all (see the docstring)
-        ordered = df.withColumn("__mid", F.monotonically_increasing_id())
-    ordered.write.parquet(path)
-    ordered = spark.read.schema(ordered.schema).parquet(path)
+        if ties == "write":
+            given = scratch_path(spark, f"rows-{key}")
+            df.write.parquet(given)
+            df = spark.read.schema(df.schema).parquet(given)
+        sort_keys = [F.col(f"`{c}`").asc_nulls_first() for c in order]
+        if ties != "none":
+            df, sort_keys = df.withColumn("__tie", F.monotonically_increasing_id()), [*sort_keys, F.col("__tie")]
+        df = df.orderBy(*sort_keys).drop("__tie")
+    ordered = df.withColumn("__mid", F.monotonically_increasing_id())
+    ordered.write.parquet(sorted_path)
+    ordered = spark.read.schema(ordered.schema).parquet(sorted_path)
     pid = F.shiftright("__mid", _ROW_BITS)
     aggs = [F.count(F.lit(1)).alias("n")]
     if measure_bytes:
@@ -141,33 +161,19 @@ def assign_dense_key(
     key_col = (F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_ROW_MASK))).alias(key)
     out_cols = [F.col(f"`{c}`") for c in cols if c != key]
     out = keyed.select(key_col, *out_cols) if front else keyed.select(*out_cols, key_col)
-    if bucket_rows and running >= 2 * bucket_rows and _session_catalog(spark) == "in-memory":
-        out = _bucketed_by_key(out, key, max(1, -(-running // bucket_rows)))
-    return Keyed(out, key, running, start, measured if measure_bytes else None)
-
-
-def _session_catalog(spark: SparkSession) -> str:
-    """Bucketing metadata lives in the session catalog; only the in-memory one
-    is used here, so that no metastore database is ever created by us."""
-    return spark.conf.get("spark.sql.catalogImplementation", "in-memory")
-
-
-def _bucketed_by_key(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Write ``df`` as an external table bucketed (and sorted) by ``key`` below
-    the shared checkpoint folder and return a scan of it.  The repartition
-    uses the bucketing hash, so each task writes exactly one bucket file."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"bucketed-{key}")
-    name = "starloom_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-       .option("path", path).saveAsTable(name))
-    return spark.table(name)
-
-
-def hash_key(*cols) -> "F.Column":
-    """Shuffle-free alternative: a 64-bit hash of the natural key (not dense,
-    collisions possible in principle)."""
-    return F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols])
+    path, table = scratch_path(spark, f"keyed-{key}"), None
+    if buckets:
+        # the repartition uses the bucketing hash: each task writes one bucket
+        table = "starloom_" + path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+        out.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+        numbered = spark.table(table)
+    else:
+        out.write.parquet(path)
+        numbered = spark.read.schema(out.schema).parquet(path)
+    for done in (sorted_path, given):
+        if done:
+            remove_path(spark, done)
+    return Keyed(numbered, key, running, start, measured if measure_bytes else None, path, table)
 
 
 def renumber(df: DataFrame, order: list[str], key: str, start: int = 1) -> Keyed:

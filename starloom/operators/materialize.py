@@ -8,13 +8,23 @@ loss of any executor, and every reader scans only the columns it needs.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from ..session import scratch_path
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+@dataclass
+class Written:
+    """A written frame and the folder it lies in."""
+
+    df: DataFrame
+    path: str
+
+
+def materialize(df: DataFrame, name: str = "table") -> Written:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Written(spark.read.schema(df.schema).parquet(path), path)

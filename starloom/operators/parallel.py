@@ -1,20 +1,12 @@
 """Spread CPU-heavy per-row work over the cluster's cores when the source
-arrives in fewer splits than cores (one large file, one row group).
-
-On large inputs a scan already has at least as many splits as there are task
-slots and this is a no-op; only a source with fewer splits than slots pays one
-round-robin shuffle, which is small next to the regex work it parallelises.
-"""
+arrives in fewer splits than cores (one large file, one row group)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    try:
-        slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave it
-        return df
-    return df if splits >= slots else df.repartition(slots)
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows dealt out to ``partitions`` tasks by one round-robin shuffle;
+    for a caller who knows that the source has too few splits."""
+    return df.repartition(partitions)

@@ -72,6 +72,7 @@ def referential_counts(df: DataFrame, parents: dict) -> DataFrame:
     return out.agg(F.count_if(ok).alias("valid_rows"), F.count_if(~ok).alias("rejected_rows"))
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    """AGG5/AGG9 as a one-row frame (lazy, unlike ``df.count()``)."""
-    return df.agg(F.count(F.lit(1)).alias("row_count"))
+def row_count(df: DataFrame, **labels: str) -> DataFrame:
+    """AGG5/AGG9 as a one-row frame (lazy, unlike ``df.count()``), after the
+    given label columns."""
+    return df.agg(*[F.lit(v).alias(k) for k, v in labels.items()], F.count(F.lit(1)).alias("row_count"))

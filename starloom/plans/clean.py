@@ -1,8 +1,8 @@
 """JOB1: clean raw catalogue records.
 
 One projection does every per-row step (date cascade, number casts, text
-cleaning), so the whole job is a single narrow stage in whole-stage codegen:
-no shuffle unless duplicates must be removed.
+cleaning) in whole-stage codegen; exact duplicates then go in one aggregation,
+which combines map-side before it shuffles.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ CLEAN_COLUMNS = [
 ]
 
 
-def clean_record_columns(id_col: str | None = "_id", date_prefix: bool = False,
+def clean_record_columns(id_col: str | None = "_id", date_prefix: bool = True,
                          date_phrases: tuple[str, ...] = (dates.PUBLISHED_PREFIX,)) -> list:
     """The per-row cleaning of a raw record as a list of named expressions.
     ``date_phrases`` are removed from the date text before parsing (the
@@ -94,26 +94,26 @@ def fill_report(unfilled: DataFrame) -> DataFrame:
 
 
 def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str = "_id",
-                  id_unique: bool = True, fill: bool = True, keep_id: bool = False,
-                  date_prefix: bool = False,
+                  fill: bool = True, keep_id: bool = False,
+                  date_prefix: bool = True,
                   date_phrases: tuple[str, ...] = (dates.PUBLISHED_PREFIX,)) -> DataFrame:
     """JOB1.
 
     ``dedupe``: ``"exact"`` drops rows equal on every column including the
-    document id (the reference's order: de-duplicate, then drop the id); when
-    ``id_unique`` (a document store's primary key is) that removes nothing, so
-    the shuffle is skipped.  ``"content"`` ignores the id and drops documents
-    that differ only in it.  ``"none"`` keeps every row.  ``keep_id`` keeps
+    document id (the reference's order: de-duplicate, then drop the id).
+    ``"content"`` ignores the id and drops documents that differ only in it.
+    ``"none"`` keeps every row, for a caller who knows that no document comes
+    twice.  ``keep_id`` keeps
     the document id as ``record_id`` (the reference drops it), so facts can
     attach to their own record instead of by title (``Star(attach="record")``).
-    ``date_prefix`` parses dates the legacy way (leading date, trailing text
-    ignored), as the reference's session did.
+    ``date_prefix`` parses dates as the reference's session did (a leading
+    date, trailing text ignored); off, Spark's strict parser is used.
     """
     has_id = id_col in raw.columns
     out = raw.select(*clean_record_columns(id_col if has_id else None, date_prefix, date_phrases))
     if dedupe == "content":
         out = drop_exact_duplicates(out, ignore=[id_col] if has_id else [])
-    elif dedupe == "exact" and not (has_id and id_unique):
+    elif dedupe == "exact":
         out = out.dropDuplicates()
     if has_id and id_col in out.columns:
         out = out.withColumnRenamed(id_col, "record_id") if keep_id else out.drop(id_col)

@@ -33,11 +33,11 @@ def genre_counts(cleaned: DataFrame, trim_items: bool = False) -> DataFrame:
     return sort_desc(counts, "book_count", ["genre_name"])
 
 
-def title_ratings(cleaned: DataFrame, digits: int = 6) -> DataFrame:
-    """REP3: per title the average rating (rounded to ``digits``) and the
-    totals of ratings and reviews, descending by average."""
+def title_ratings(cleaned: DataFrame) -> DataFrame:
+    """REP3: per title the average rating and the totals of ratings and
+    reviews, descending by average."""
     agg = cleaned.groupBy(F.col("title").alias("book_title")).agg(
-        F.round(F.avg("rating"), digits).alias("average_rating"),
+        F.avg("rating").alias("average_rating"),
         F.sum("num_ratings").alias("total_ratings"),
         F.sum("reviews").alias("total_reviews"),
     )

@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
-from ..operators.joins import maybe_broadcast, salted_join, skew_handled_by_aqe
+from ..operators.dedupe import distinct_values
+from ..operators.joins import hot_pairs, maybe_broadcast, salted_join
 from ..operators.keys import Keyed, assign_dense_key
 from ..operators.materialize import materialize
-from ..operators.membership import keep_existing
+from ..session import remove_path
 
 # Total orders that define each table's keys.  Rows tied on every listed
 # column are identical, so the numbering is deterministic.
@@ -50,21 +51,16 @@ def books_rows(cleaned: DataFrame) -> DataFrame:
     )
 
 
-# Rows per bucket of the books table, which is written bucketed by book_id:
-# the views join it on book_id up to four times, and the bridges built from it
-# keep its partitioning, so the wide book rows are shuffled once, not per view.
-BOOK_BUCKET_ROWS = 1_000_000
-
-
-def build_books(cleaned: DataFrame, key_order: str = "natural") -> Keyed:
+def build_books(cleaned: DataFrame, key_order: str = "natural", buckets: int | None = None,
+                ties: str = "write") -> Keyed:
     order = BOOK_ORDER + _record(cleaned) if key_order == "natural" else []
-    return assign_dense_key(books_rows(cleaned), order, "book_id", bucket_rows=BOOK_BUCKET_ROWS)
+    return assign_dense_key(books_rows(cleaned), order, "book_id", buckets=buckets, ties=ties)
 
 
 def build_authors(cleaned: DataFrame) -> Keyed:
     """JOB3: distinct author names, keyed in name order."""
-    names = cleaned.select(F.col("author").alias("author_name")).distinct()
-    return assign_dense_key(names, ["author_name"], "author_id", measure_bytes=True)
+    names = distinct_values(cleaned.withColumnRenamed("author", "author_name"), "author_name")
+    return assign_dense_key(names, ["author_name"], "author_id", measure_bytes=True, ties="none")
 
 
 def genre_names(df: DataFrame, col: str = "genres", trim_items: bool = False) -> DataFrame:
@@ -75,8 +71,8 @@ def build_genres(cleaned: DataFrame, trim_items: bool = False) -> Keyed:
     """JOB4: distinct items of the multi-value genre column, keyed in name
     order.  Items are not trimmed by default, so ' Crime' and 'Crime' are two
     genres, as in the reference."""
-    names = genre_names(cleaned, trim_items=trim_items).distinct()
-    return assign_dense_key(names, ["genre_name"], "genre_id", measure_bytes=True)
+    names = distinct_values(genre_names(cleaned, trim_items=trim_items), "genre_name")
+    return assign_dense_key(names, ["genre_name"], "genre_id", measure_bytes=True, ties="none")
 
 
 def ratings_rows(cleaned: DataFrame) -> DataFrame:
@@ -90,34 +86,44 @@ def ratings_rows(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def build_ratings(cleaned: DataFrame, key_order: str = "natural") -> Keyed:
+def build_ratings(cleaned: DataFrame, key_order: str = "natural", ties: str = "write") -> Keyed:
     """JOB6: one rating row per record."""
     order = RATING_ORDER + _record(cleaned) if key_order == "natural" else []
-    return assign_dense_key(ratings_rows(cleaned), order, "rating_id")
+    return assign_dense_key(ratings_rows(cleaned), order, "rating_id", ties=ties)
 
 
 ATTACH_KEYS = {"title": "book_title", "record": "record_id"}
 
 
-def key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Equi-join on a column both sides name ``key`` (kept once).  AQE splits
-    a hot key's partition at run time; where the session has AQE skew handling
-    off, hot keys are salted explicitly (``salted_join``)."""
-    if not skew_handled_by_aqe(left.sparkSession):
-        return salted_join(left, right, key, how)
-    return left.join(right, key, how)
+MEASURE = "measure"
+
+
+def key_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot=MEASURE) -> DataFrame:
+    """Equi-join on a column both sides name ``key`` (kept once).  ``hot`` is
+    what ``hot_pairs`` found, measured here unless given (None: nothing to cut);
+    keys with many output pairs are cut on both sides, whatever AQE is set to."""
+    if isinstance(hot, str):
+        hot = hot_pairs(left, right, key)
+    return salted_join(left, right, key, how, hot)
+
 
+def _hot(left: DataFrame, right: DataFrame, attach: str, hot):
+    """Records are unique, titles are measured."""
+    if attach == "record":
+        return None
+    return hot_pairs(left, right, ATTACH_KEYS[attach]) if isinstance(hot, str) else hot
 
-def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title", key_order: str = "natural") -> Keyed:
+
+def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title", key_order: str = "natural", hot=MEASURE) -> Keyed:
     """JOB7: review facts, the book found by title.  A title shared by m books
-    and n records gives m x n rows, as in the reference; the join is an
-    equi-join on the title, so AQE splits a hot title's partition.  With
-    ``attach="record"`` each record's review attaches to the book of the same
-    record (1:1, no fan-out, immune to a hot title such as the 'No title'
-    placeholder)."""
+    and n records gives m x n rows, as in the reference; titles with many pairs
+    are cut on both sides.  With ``attach="record"`` each record's review
+    attaches to the book of the same record (1:1, no fan-out, immune to a hot
+    title such as the 'No title' placeholder)."""
     k = ATTACH_KEYS[attach]
     recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score", *_record(cleaned))
-    pairs = key_join(recs, books.df.select(k, "book_id"), k, "inner")
+    other = books.df.select(k, "book_id")
+    pairs = key_join(recs, other, k, "inner", _hot(recs, other, attach, hot))
     order = REVIEW_ORDER if key_order == "natural" else []
     return assign_dense_key(pairs.select("book_id", "reviews", "score"), order, "review_id")
 
@@ -135,15 +141,13 @@ def build_book_genres(books: Keyed, genres: Keyed, trim_items: bool = False) ->
     return exploded.join(dim, "genre_name", "inner").select("book_id", "genre_id")
 
 
-def title_pairs(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFrame:
-    """Book x rating pairs sharing a title (JOIN2), or the same record.
-
-    AQE splits a hot title's partition at run time; where the session has
-    that turned off, the join salts hot titles explicitly."""
+def title_pairs(books: Keyed, ratings: Keyed, attach: str = "title", hot=MEASURE) -> DataFrame:
+    """Book x rating pairs sharing a title (JOIN2), or the same record; titles
+    with many pairs are cut on both sides."""
     k = ATTACH_KEYS[attach]
     b = books.df.select("book_id", k)
     r = ratings.df.select("rating_id", k)
-    return key_join(b, r, k, "inner").select("book_id", "rating_id")
+    return key_join(b, r, k, "inner", _hot(b, r, attach, hot)).select("book_id", "rating_id")
 
 
 def title_fan_out(books: Keyed, ratings: Keyed) -> DataFrame:
@@ -162,12 +166,11 @@ def title_fan_out(books: Keyed, ratings: Keyed) -> DataFrame:
     )
 
 
-def build_book_ratings(books: Keyed, ratings: Keyed, attach: str = "title") -> DataFrame:
-    """JOB8: the bridge, then the referential filter on both parents (JOIN6).
-    Parents are dense-keyed, so membership is a range test, not a join."""
-    pairs = title_pairs(books, ratings, attach)
-    pairs = keep_existing(pairs, books, "book_id")
-    return keep_existing(pairs, ratings, "rating_id")
+def build_book_ratings(books: Keyed, ratings: Keyed, attach: str = "title", hot=MEASURE) -> DataFrame:
+    """JOB8: the bridge.  Both ids are taken from their parents' tables, so the
+    reference's filter against the parents' keys (JOIN6) keeps every pair and is
+    not run; pairs from elsewhere go through ``keep_existing``."""
+    return title_pairs(books, ratings, attach, hot)
 
 
 @dataclass
@@ -186,13 +189,21 @@ class Star:
     sampling pass and its shuffle.  Input-order keys repeat for the same input
     files; those of reviews (a join's output) are fixed once written.
     Dimension keys are always in name order.
+
+    ``materialize_cleaned`` writes the cleaned records once, so that the five
+    builds scan columns of that table instead of each re-running the scan, the
+    cleaning and the de-duplication.  ``book_buckets`` writes the books table
+    bucketed by ``book_id`` and registers it in the session catalog; joins of
+    the views on ``book_id`` then do not shuffle it.  ``close`` (or use as a
+    context manager) deletes every written table.
     """
 
     cleaned: DataFrame
     trim_genres: bool = False
     attach: str = "title"
     key_order: str = "natural"
-    materialize_cleaned: bool | None = None
+    materialize_cleaned: bool = True
+    book_buckets: int | None = None
     _cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -204,28 +215,44 @@ class Star:
             raise ValueError("key_order must be 'natural' or 'input'")
         self._source = self.cleaned
 
+    def __enter__(self) -> "Star":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the written tables; frames made from them cannot be read
+        afterwards."""
+        for item in self._cache.values():
+            if isinstance(item, Keyed):
+                item.remove()
+        if "records_path" in self._cache:
+            remove_path(self._source.sparkSession, self._cache["records_path"])
+        self._cache.clear()
+
     @property
     def records(self) -> DataFrame:
-        """The cleaned records every table is built from.  On a large source
-        they are written once to the shared folder (``materialize_cleaned``,
-        automatic by default), so the five builds and their sort-sampling
-        passes scan columns of that table instead of each re-running the scan
-        and the text cleaning."""
-        if not self._get("materialize", self._worth_materializing):
-            return self._source
-        return self._get("records", lambda: materialize(self._source, "cleaned"))
-
-    def _worth_materializing(self) -> bool:
-        """Explicit choice, else: only when the source is more than one wave of
-        tasks (more input splits than task slots); a smaller source is cheaper
-        to re-read and re-clean than to write and read back."""
-        if self.materialize_cleaned is not None:
-            return self.materialize_cleaned
-        try:
-            sc = self._source.sparkSession.sparkContext
-            return self._source.rdd.getNumPartitions() > sc.defaultParallelism
-        except Exception:  # noqa: BLE001 - no RDD view: keep the lineage
-            return False
+        """The cleaned records every table is built from."""
+        return self._get("records", self._records) if self.materialize_cleaned else self._source
+
+    def _records(self) -> DataFrame:
+        written = materialize(self._source, "cleaned")
+        self._cache["records_path"] = written.path
+        return written.df
+
+    @property
+    def _ties(self) -> str:
+        """Projections of the written records are scans; others are written first."""
+        return "scan" if self.materialize_cleaned else "write"
+
+    @property
+    def hot_titles(self) -> DataFrame | None:
+        """Titles whose m books and m records make many pairs, measured once."""
+        if self.attach == "record":
+            return None
+        titles = lambda: self.books.df.select("book_title")
+        return self._get("hot_titles", lambda: hot_pairs(titles(), titles(), "book_title"))
 
     @property
     def attach_key(self) -> str:
@@ -259,7 +286,7 @@ class Star:
 
     @property
     def books(self) -> Keyed:
-        return self._get("books", lambda: build_books(self.records, self.key_order))
+        return self._get("books", lambda: build_books(self.records, self.key_order, self.book_buckets, self._ties))
 
     @property
     def authors(self) -> Keyed:
@@ -271,11 +298,11 @@ class Star:
 
     @property
     def ratings(self) -> Keyed:
-        return self._get("ratings", lambda: build_ratings(self.records, self.key_order))
+        return self._get("ratings", lambda: build_ratings(self.records, self.key_order, self._ties))
 
     @property
     def reviews(self) -> Keyed:
-        return self._get("reviews", lambda: build_reviews(self.records, self.books, self.attach, self.key_order))
+        return self._get("reviews", lambda: build_reviews(self.records, self.books, self.attach, self.key_order, self.hot_titles))
 
     @property
     def book_genres(self) -> DataFrame:
@@ -285,4 +312,4 @@ class Star:
     @property
     def book_ratings(self) -> DataFrame:
         self.build("books", "ratings")
-        return self._get("book_ratings", lambda: build_book_ratings(self.books, self.ratings, self.attach))
+        return self._get("book_ratings", lambda: build_book_ratings(self.books, self.ratings, self.attach, self.hot_titles))

@@ -1,9 +1,9 @@
 """Session helpers: sane defaults, and the shared folder for written state.
 
-Lineage is cut with reliable ``DataFrame.checkpoint`` into the folder the
-cluster names in ``spark.checkpoint.dir``.  A folder of our own is created only
-when the setting is absent *and* the master is local (tests, laptops); on a
-cluster a missing setting is an error, never a machine-local fallback.
+Lineage is cut by tables written into the folder the cluster names in
+``spark.checkpoint.dir``.  A folder of our own is created only when the setting
+is absent *and* the master is local (tests, laptops); on a cluster a missing
+setting is an error, never a machine-local fallback.
 """
 
 from __future__ import annotations
@@ -30,13 +30,16 @@ DEFAULT_CONF = {
 
 
 def scale_conf(input_bytes: int, task_slots: int, partition_bytes: int = 128 << 20,
-               max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+               max_shuffle_partitions: int | None = None) -> dict[str, str]:
     """Settings sized for one run over ``input_bytes`` of input on
     ``task_slots`` cores: scan splits and post-shuffle partitions of about
     ``partition_bytes`` (so a task's share fits executor memory and spills
     little), enough shuffle partitions for the whole input (AQE coalesces
-    the small ones), skew splitting above four target partitions."""
-    shuffle = max(2 * task_slots, min(max_shuffle_partitions, -(-input_bytes // partition_bytes)))
+    the small ones), skew splitting above four target partitions.
+    ``max_shuffle_partitions`` bounds the partition count (none by default)."""
+    shuffle = max(2 * task_slots, -(-input_bytes // partition_bytes))
+    if max_shuffle_partitions:
+        shuffle = min(shuffle, max_shuffle_partitions)
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -91,3 +94,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

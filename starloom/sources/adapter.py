@@ -4,8 +4,9 @@ The reference reads crawled book documents (``_id, Rank, Title, Author,
 Rating, Number of Ratings, Date, Pages, Cover Type, Description, Reviews,
 Score, Genres``, all text).  This adapter derives records of that shape from
 ``part`` with Spark expressions only, so its size grows with the table: every
-part row becomes one record, with shared titles, comma-grouped numbers, three
-date layouts, unparseable values and every free-text edge class.
+part row becomes a record, with shared titles, comma-grouped numbers, three
+date layouts, unparseable values, numbers only a lenient cast reads and every
+free-text edge class; one document in fifty is delivered twice.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dates
+
 RAW_COLUMNS = [
     "_id", "Rank", "Title", "Author", "Rating", "Number of Ratings", "Reviews",
     "Score", "Pages", "Cover Type", "Date", "Description", "Genres",
@@ -39,9 +42,10 @@ def raw_records_from_part(part: DataFrame) -> DataFrame:
     d1 = F.date_format(day, "MMMM d, yyyy")
     d2 = F.date_format(day, "yyyy")
     d3 = F.date_format(day, "MMMM yyyy")
-    first = F.lit("First published ")
+    first = F.lit(dates.PUBLISHED_PREFIX)
 
-    return part.select(
+    copies = F.array_repeat(F.lit(0), F.when(k % 50 == 0, 2).otherwise(1))
+    return part.withColumn("__copy", F.explode(copies)).select(
         F.concat(F.lit("id"), k.cast("string")).alias("_id"),
         k.cast("string").alias("Rank"),
         F.when(k % 97 == 0, F.lit(None).cast("string"))
@@ -56,11 +60,14 @@ def raw_records_from_part(part: DataFrame) -> DataFrame:
         comma(k * 1009).alias("Score"),
         F.when(k % 71 == 0, F.lit("unknown"))
         .when(k % 73 == 0, F.concat(size.cast("string"), F.lit(".7")))
+        .when(k % 59 == 0, F.lit(".5"))
+        .when(k % 61 == 0, F.concat(F.lit("\x01"), size.cast("string"), F.lit(" ")))
+        .when(k % 53 == 0, F.concat(size.cast("string"), F.lit("\x85")))
         .otherwise(size.cast("string")).alias("Pages"),
         _case(k % 4, [(0, F.lit("Hardcover")), (1, F.lit("Paperback")),
                       (2, F.lit("Kindle Edition"))]).alias("Cover Type"),
         _case(k % 6, [(0, F.concat(first, d1)), (1, F.concat(first, d2)),
-                      (2, F.concat(first, d3)), (3, F.concat(F.lit("Published "), d1)),
+                      (2, F.concat(first, d3)), (3, F.concat(F.lit(dates.PLACEHOLDER_DATE_PREFIX), d1)),
                       (4, d1)]).alias("Date"),
         _case(k % 10, [
             (1, F.lit("   ")), (2, F.lit("12345")), (3, F.lit("1st place")),

@@ -10,11 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def read_columns(spark: SparkSession, url: str, table: str, columns: list[str],
+                 properties: dict[str, str] | None = None, connections: int = 1) -> DataFrame:
+    """Columns of a database table (the projection is pruned into the remote
+    query).  With several ``connections`` the rows are read in that many ranges
+    of the first column, which must then be an integer; its bounds are asked of
+    the database first."""
+    props = properties or {}
+    if connections > 1:
+        bounds = spark.read.jdbc(url, f"(SELECT MIN({columns[0]}) AS lo, MAX({columns[0]}) AS hi FROM {table}) bounds",
+                                 properties=props).first()
+        if bounds is not None and bounds[0] is not None and bounds[0] < bounds[1]:
+            return spark.read.jdbc(url, table, column=columns[0], lowerBound=bounds[0], upperBound=bounds[1] + 1,
+                                   numPartitions=connections, properties=props).select(*columns)
+    return spark.read.jdbc(url, table, properties=props).select(*columns)
+
+
 def read_key_column(spark: SparkSession, url: str, table: str, key: str,
-                    properties: dict[str, str] | None = None) -> DataFrame:
-    """SRC5: the key column of a database table (the projection is pruned into
-    the remote query)."""
-    return spark.read.jdbc(url, table, properties=properties or {}).select(key)
+                    properties: dict[str, str] | None = None, connections: int = 1) -> DataFrame:
+    """SRC5: the key column of a database table."""
+    return read_columns(spark, url, table, [key], properties, connections)
 
 
 def append_rows(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
@@ -26,10 +41,32 @@ def append_rows(df: DataFrame, url: str, table: str, properties: dict[str, str]
     df.write.jdbc(url, table, mode="append", properties=props)
 
 
+def run_statement(spark: SparkSession, url: str, statement: str, properties: dict[str, str] | None = None) -> None:
+    """One SQL statement over a connection of the driver's own (no rows pass)."""
+    props = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.createStatement().executeUpdate(statement)
+    finally:
+        connection.close()
+
+
 def refresh_rows(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-                 num_partitions: int | None = None) -> None:
-    """SNK5: full refresh; the table is truncated (keeping its definition and
-    constraints) and the rows inserted."""
+                 num_partitions: int | None = None, clear: str = "truncate") -> None:
+    """SNK5: full refresh; the table keeps its definition, its rows are replaced.
+
+    ``clear="truncate"`` is quick, but some databases (SQL Server among them)
+    refuse to truncate a table that a foreign key points at, even an empty one;
+    ``clear="delete"`` deletes the rows, as the reference did, and is what such
+    parents (authors, genres) need."""
+    if clear not in ("truncate", "delete"):
+        raise ValueError("clear must be 'truncate' or 'delete'")
+    if clear == "delete":
+        run_statement(df.sparkSession, url, f"DELETE FROM {table}", properties)
+        append_rows(df, url, table, properties, num_partitions)
+        return
     props = dict(properties or {})
     props["truncate"] = "true"
     if num_partitions:

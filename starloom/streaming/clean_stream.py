@@ -1,37 +1,47 @@
 """JOB1 on a stream: the per-row cleaning of raw records applied to a
 Structured Streaming source.
 
-The cleaning is stateless (one projection), so it runs unchanged on a
-streaming frame; exact de-duplication is skipped because the document id is a
-unique key (see ``clean_records``).  Results go to a parquet sink with its own
-checkpoint in the shared folder, so a restarted query resumes exactly once.
+The cleaning is one projection, so it runs unchanged on a streaming frame.  A
+stream cannot hold the ids of all documents ever seen as state; documents that
+come twice are removed if the second copy arrives within a time the caller
+names (``within``), and kept otherwise.  Results go to a parquet sink with its
+own checkpoint in the shared folder, so a restarted query resumes exactly once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.clean import clean_records
 from ..session import scratch_path
 from ..sources.adapter import raw_records_from_part
 
 
-def clean_stream(stream: DataFrame, as_of=None) -> DataFrame:
-    """Clean a streaming frame of raw records (no state is kept)."""
-    return clean_records(stream, as_of=as_of, dedupe="exact", id_unique=True)
+def clean_stream(stream: DataFrame, as_of=None, within: str | None = None) -> DataFrame:
+    """Clean a streaming frame of raw records; with ``within`` (e.g. ``"1 hour"``,
+    by arrival) exact duplicates go, without it no state is kept."""
+    if within:
+        seen = stream.columns
+        stream = (stream.withColumn("__seen", F.current_timestamp()).withWatermark("__seen", within)
+                  .dropDuplicatesWithinWatermark(seen).drop("__seen"))
+    return clean_records(stream, as_of=as_of, dedupe="none")
 
 
 def clean_stream_to_table(spark: SparkSession, source_dir: str, file_glob: str = "*.parquet", as_of=None,
-                          out_path: str | None = None) -> DataFrame:
+                          out_path: str | None = None, within: str | None = None,
+                          max_files: int | None = None) -> DataFrame:
     """Stream the part files matching ``file_glob`` in ``source_dir`` through
     the raw adapter and the cleaning into a parquet table (trigger
     availableNow: process what is there, then stop), and return the written
-    table."""
+    table.  ``max_files`` bounds the files of one micro-batch (default: all
+    there are)."""
     src = source_dir.rstrip("/")
     schema = spark.read.option("pathGlobFilter", file_glob).parquet(src).schema
-    source = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", 64).parquet(src))
-    cleaned = clean_stream(raw_records_from_part(source), as_of)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    cleaned = clean_stream(raw_records_from_part(reader.parquet(src)), as_of, within)
     out = out_path or scratch_path(spark, "stream-clean")
     query = (
         cleaned.writeStream.format("parquet")

@@ -96,3 +96,34 @@ def test_cli_end_to_end(spark, capsys):
     for name in ("authors", "books", "ratings", "genres", "reviews", "book_genres", "book_ratings"):
         parts = [f for f in os.listdir(os.path.join(out, name)) if f.startswith("part-")]
         assert len(parts) == 1
+
+
+def test_unclosed_quote_costs_one_record(spark):
+    d = _tmp()
+    with open(os.path.join(d, "t.csv"), "w") as f:
+        f.write('id,name\n1,a\n2,"b\n3,c\n4,d\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    got = sorted(map(tuple, read_csv_skip_long_lines(spark, d, schema).collect()))
+    assert [r for r in got if r[0] != 2] == [(1, "a"), (3, "c"), (4, "d")]
+
+
+def test_line_oriented_files_are_split(spark):
+    d = _tmp()
+    with open(os.path.join(d, "t.csv"), "w") as f:
+        f.write("id,name\n" + "".join(f"{i},name{i}\n" for i in range(60_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        assert read_csv(spark, d, "id int, name string", multi_line=False).rdd.getNumPartitions() > 4
+        assert read_csv(spark, d, "id int, name string").rdd.getNumPartitions() == 1
+        assert read_csv(spark, d, "id int, name string", multi_line=False).count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_second_export_replaces_the_first(spark):
+    path = os.path.join(_tmp(), "out")
+    write_csv(spark.range(100), path)
+    write_csv(spark.range(7), path, single_file=True)
+    assert read_csv(spark, path, "id long").count() == 7
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1

@@ -7,10 +7,11 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.catalog import spark_queries as sq
-from starloom.plans import star as star_mod
-from starloom.plans import views
+from starloom.plans import reports, views
+from starloom.plans.star import Star
 
 from conftest import SF01
 
@@ -33,7 +34,10 @@ def test_filter_and_projection_reach_the_scan(spark):
 
 
 def test_reports_aggregate_partially_before_the_shuffle(spark):
-    p = plan(sq.q_report_genre_counts(spark, SF01))
+    # removing duplicates is a shuffle of its own, on all columns; the report
+    # adds the shuffle of its counts and that of the sort
+    assert sorted(shuffles(plan(sq.q_report_genre_counts(spark, SF01)))) == ["hashpartitioning"] * 2 + ["rangepartitioning"]
+    p = plan(reports.genre_counts(sq.clean_records(sq.raw(spark, SF01), as_of=sq.AS_OF, dedupe="none")))
     kinds = shuffles(p)
     assert kinds == ["hashpartitioning", "rangepartitioning"]
     assert p.index("partial_count") < p.index("hashpartitioning")
@@ -57,84 +61,86 @@ def test_no_broadcast_of_unmeasured_sides(spark):
     assert "BroadcastExchange" not in p
 
 
-@pytest.fixture
-def small_buckets(monkeypatch):
-    monkeypatch.setattr(star_mod, "BOOK_BUCKET_ROWS", 500)
-
-
-def test_books_final_on_bucketed_books_has_no_shuffle(spark, small_buckets):
-    s = sq.star(spark, SF01)
-    p = plan(views.books_final(s))
-    assert "Bucketed: true" in p
-    assert shuffles(p) == []
-    assert views.books_final(s).count() == 2000
-
-
-def test_hot_title_join_is_split_by_aqe(spark):
-    """A title shared by a third of all rows: the title join's hot partition
-    is split across tasks at run time (no rows dropped or capped)."""
-    from pyspark.sql import functions as F
-
-    from starloom.operators import assign_dense_key
-    from starloom.plans.star import title_pairs
-
-    conf = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "8",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
+def test_views_shuffle_no_more_than_they_need(spark):
+    s = sq.star(spark, SF01).build(*Star.KEYED)
+    s.hot_titles  # measured before
+    assert shuffles(plan(views.books_genre_names(s))) == []
+    assert "Join" not in plan(views.books_genre_names(s))
+    assert shuffles(plan(views.book_rating_details(s))) == ["hashpartitioning"] * 2
+    final = plan(views.books_final(s))
+    assert len(shuffles(final)) == 2
+    # the wide rows are scanned once, and no view joins offsets to get keys
+    assert final.count("description:string") == 1
+    assert "__off" not in final and "__mid" not in final
+
+
+def test_filter_on_a_key_reaches_the_scan(spark):
+    p = plan(sq.star(spark, SF01).books.df.filter("book_id = 7").select("book_title"))
+    assert "EqualTo(book_id,7)" in p
+
+
+def test_books_final_on_bucketed_books_has_no_shuffle(spark):
+    with Star(sq.cleaned(spark, SF01), book_buckets=4) as s:
+        p = plan(views.books_final(s))
+        assert "Bucketed: true" in p
+        assert shuffles(p) == []
+        assert views.books_final(s).count() == 2000
+
+
+HOT_SIZES = {"left": (12_000, 600), "right": (600, 12_000), "both": (3_000, 3_000)}
+
+
+@pytest.mark.parametrize("side", sorted(HOT_SIZES))
+@pytest.mark.parametrize("aqe_skew", ["true", "false"])
+def test_hot_title_is_cut_by_its_pairs(spark, side, aqe_skew):
+    """'No title' with millions of pairs, at default thresholds: no task makes
+    much more than its share, no pair is lost or doubled."""
+    from starloom.operators import hot_pairs
+    from starloom.operators.joins import PAIRS_PER_TASK
+    from starloom.plans.star import key_join
+
+    def rows(hot, other, name):
+        title = F.when(F.col("id") < hot, F.lit("No title")).otherwise(F.concat(F.lit("t"), (F.col("id") - hot).cast("string")))
+        return spark.range(0, hot + other).select(title.alias("book_title"), F.col("id").alias(name))
+
+    m, n = HOT_SIZES[side]
+    left, right = rows(m, 2000, "a"), rows(n, 1000, "b")
+    hot = hot_pairs(left, right, "book_title")
+    (cut,) = hot.collect()
+    assert cut.book_title == "No title"
+    assert (m / cut["__cuts_l"]) * (n / cut["__cuts_r"]) <= PAIRS_PER_TASK
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", aqe_skew)
     try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        title = F.when(F.col("id") % 3 == 0, F.lit("No title")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
-        books = assign_dense_key(
-            spark.range(0, 30000).select(title.alias("book_title"), F.sha2(F.col("id").cast("string"), 256).alias("pad")),
-            [], "book_id")
-        rt = F.when(F.col("id") % 1000 == 0, F.lit("No title")).otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
-        ratings = assign_dense_key(spark.range(0, 3000).select(rt.alias("book_title")), [], "rating_id")
-        pairs = title_pairs(books, ratings)
-        rows = pairs.collect()
-        # 10,000 hot books x 3 hot ratings, plus 2,000 one-to-one titles t1..t2999 not multiple of 3
-        expected = 10000 * 3 + sum(1 for i in range(3000) if i % 1000 and i % 3)
-        assert len(rows) == expected
-        assert "SortMergeJoin(skew=true)" in plan(pairs)
+        for how, more in (("inner", 1000), ("left", 2000)):
+            out = key_join(left, right, "book_title", how, hot)
+            assert out.columns == ["book_title", "a", "b"]
+            got = out.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            plain = left.join(right, "book_title", how).agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            assert tuple(got) == tuple(plain) and got[0] == m * n + more
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
+
+
+def test_pairs_below_the_limit_join_plainly(spark):
+    from starloom.operators import hot_pairs
 
+    df = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    assert hot_pairs(df, df, "k") is None
+    assert "__cell" not in plan(sq.q_bridge_book_ratings(spark, SF01))
 
-def test_salted_join_equals_plain_join_and_splits_hot_keys(spark):
-    from pyspark.sql import functions as F
 
-    from starloom.operators import salted_join
+def test_left_join_with_cut_keys_keeps_unmatched_rows(spark):
+    from starloom.operators import hot_pairs, salted_join
 
-    title = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), (F.col("id") % 500).cast("string")))
-    left = spark.range(0, 6000).select(title.alias("k"), F.col("id").alias("a"))
-    right = spark.range(0, 700).select(title.alias("k"), F.col("id").alias("b"))
+    title = lambda n: F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), (F.col("id") % n).cast("string")))
+    left = spark.range(0, 3000).select(title(500).alias("k"), F.col("id").alias("a"))
+    left = left.unionByName(spark.createDataFrame([(None, -1), ("alone", -2)], "k string, a long"))
+    right = spark.range(0, 700).select(title(400).alias("k"), F.col("id").alias("b"))
+    hot = hot_pairs(left, right, "k", max_pairs=300)
+    assert hot.filter("__cuts_r > 1").count() > 0
     for how in ("inner", "left"):
         plain = left.join(right, "k", how)
-        salted = salted_join(left, right, "k", how, max_rows_per_key=300)
+        salted = salted_join(left, right, "k", how, hot)
         assert salted.count() == plain.count()
         assert salted.select(*plain.columns).exceptAll(plain).count() == 0
-    p = plan(salted_join(left, right, "k", "inner", max_rows_per_key=300))
-    assert "__salt" in p
-
-
-def test_title_pairs_salts_when_aqe_skew_is_off(spark):
-    from starloom.plans.star import title_pairs
-
-    s = sq.star(spark, SF01)
-    expected = sorted(map(tuple, title_pairs(s.books, s.ratings).collect()))
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-    try:
-        pairs = title_pairs(s.books, s.ratings)
-        assert sorted(map(tuple, pairs.collect())) == expected
-    finally:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
