@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from .params import AS_OF
 
-# fixed values: character classes, placeholder and default texts that must equal the reference for equal results;
-# the default texts of the other columns stand in CLEANED below
+# Character classes, placeholder and default texts that must equal the reference for equal results.
 WS = r"[ \t\n\x0B\f\r]"
 EOL = r"(?:\r\n|[\n\r\x{85}\x{2028}\x{2029}])?$"
 PLACEHOLDER = "No description available"
+NO_TITLE, NO_AUTHOR, NO_COVER, NO_GENRES = "No title", "no author", "No cover type", "No genres"
 
 
 def _unusable(c: str) -> str:
@@ -141,17 +141,17 @@ CLEAN0 = "clean0 AS (SELECT DISTINCT * FROM parsed)"
 
 CLEANED = f"""cleaned AS (
   SELECT record_id, COALESCE(rank, '0') AS rank,
-    COALESCE(title, 'No title') AS title,
-    COALESCE(author, 'no author') AS author,
+    COALESCE(title, '{NO_TITLE}') AS title,
+    COALESCE(author, '{NO_AUTHOR}') AS author,
     CASE WHEN rating IS NULL OR isnan(rating) THEN CAST(0.0 AS FLOAT) ELSE rating END AS rating,
     COALESCE(num_ratings, 0) AS num_ratings,
     COALESCE(reviews, 0) AS reviews,
     COALESCE(score, 0) AS score,
     COALESCE(pages, 0) AS pages,
-    COALESCE(cover_type, 'No cover type') AS cover_type,
+    COALESCE(cover_type, '{NO_COVER}') AS cover_type,
     COALESCE(date_text, strftime({AS_OF_SQL}, '%Y-%m-%d')) AS date_text,
     COALESCE(description, '{PLACEHOLDER}') AS description,
-    COALESCE(genres, 'No genres') AS genres,
+    COALESCE(genres, '{NO_GENRES}') AS genres,
     COALESCE(cleaned_date, 'Published ' || strftime({AS_OF_SQL}, '%B %d, %Y')) AS cleaned_date,
     publish_date
   FROM clean0)"""

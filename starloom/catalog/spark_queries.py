@@ -25,6 +25,7 @@ from ..operators import (
     rejected_rows,
     row_count,
     schema_report,
+    spread,
 )
 from ..plans import load as ld
 from ..plans import reports, views
@@ -162,7 +163,7 @@ def q_date_defaults(spark, sf_dir):
 
 
 def q_text_classify(spark, sf_dir):
-    docs = read_testdata(spark, sf_dir, "documents")
+    docs = spread(read_testdata(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism)
     return docs.select(
         "doc_id",
         text.is_unusable_text("text").alias("unusable"),
@@ -181,7 +182,7 @@ def q_text_clean(spark, sf_dir):
 
 
 def q_text_clean_documents(spark, sf_dir):
-    docs = read_testdata(spark, sf_dir, "documents")
+    docs = spread(read_testdata(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism)
     return docs.select("doc_id", "lang", text.clean_text("text", passes=2).alias("cleaned_text"))
 
 

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, partitions: int) -> DataFrame:
-    """The rows dealt out to ``partitions`` tasks by one round-robin shuffle;
-    for a caller who knows that the source has too few splits."""
-    return df.repartition(partitions)
+def spread(df: DataFrame, slots: int) -> DataFrame:
+    """``df`` over at least ``slots`` tasks: a source of fewer splits is dealt
+    out by one round-robin shuffle, small next to the work it parallelises; any
+    other source is read as it is, since moving it would gain nothing.  The rows
+    are the same either way."""
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
