@@ -62,17 +62,17 @@ def main() -> None:
         scans = "; ".join(f"{','.join(c)}" + (f" [{f}]" if f else "") for c, f in s["scans"]) or "-"
         out.append(f"| `{name}` | {shuffles} | {s['broadcasts']} | {joins} | {s['aggregates']} | {scans} |")
     out += ["", "## Notes", "",
-            "* Keyed tables (`__mid` columns above) are parquet written by `assign_dense_key`; a query",
-            "  reads only the columns it needs from them, plus a broadcast of per-partition offsets",
-            "  (one row per partition).",
-            "* `bridge_book_genres`: no shuffle: genre lists are de-duplicated inside each book row and",
+            "* Keyed tables are parquet written by `assign_dense_key` with their key in it; a query
+  reads only the columns it needs from them.
+* `bridge_book_genres`: no shuffle: genre lists are de-duplicated inside each book row and",
             "  the measured genre dictionary is broadcast.",
             "* Reports: one hash shuffle after a partial aggregate, then a range shuffle for the order",
             "  (a `TakeOrderedAndProject` for the top 20).",
-            "* Views joining books by `book_id` shuffle both sides at this size; a books table of two or",
-            "  more buckets' worth of rows is bucketed by `book_id` and those joins shuffle only the",
-            "  narrow side (`books_final` then has no shuffle at all; see `tests/test_plans.py`).",
-            "* `semi_filter` / `anti_filter`: sort-merge semi/anti joins here because static broadcasts",
+            "* `books_genre_names`: no join; `book_rating_details`: one join that makes the pairs and
+  carries the book columns; `books_final`: the wide rows meet the regrouped genre ids once
+  (no shuffle at all on a star built with `book_buckets`; see `tests/test_plans.py`).
+* JOB1's de-duplication is the hash shuffle of `clean_records` and of the reports.
+* `semi_filter` / `anti_filter`: sort-merge semi/anti joins here because static broadcasts",
             "  are off; AQE turns them into broadcast joins at run time when the measured side is small.",
             "* `text_classify` / `text_clean_documents`: the round-robin shuffle spreads a single-split",
             "  source over the task slots; with as many splits as slots it is not added."]
