@@ -95,6 +95,9 @@ def test_dense_key_spreads_a_hot_value(spark):
     df = spark.range(0, 30000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))).alias("v"))
     spark.conf.set("spark.sql.shuffle.partitions", "6")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # one task per sorted file, so that the keyed table shows how the sort dealt
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
     try:
         keyed = assign_dense_key(df, ["v"], "k")
         # the sorted hot rows lie in several files of the keyed table
@@ -110,6 +113,7 @@ def test_dense_key_spreads_a_hot_value(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
 
 
 def test_bucketed_keyed_table_joins_without_shuffling_it(spark):
