@@ -27,27 +27,29 @@ def _occurrences(docs: DataFrame, site: str, text: str, doc_id: str) -> DataFram
         "__site", "__id", "__th", "__pos")
 
 
-def boilerplate_lines(docs: DataFrame, site: str = "source", text: str = "text", doc_id: str = "doc_id",
-                      min_sites: int = 10, lg_k: int = 12) -> DataFrame:
-    """Keys (``__k1``, ``__k2``) of the lines on ``min_sites`` distinct sites or
-    more, with the first occurrence ``__first`` (id, text hash, place).
+def boilerplate_occurrences(docs: DataFrame, site: str = "source", text: str = "text", doc_id: str = "doc_id",
+                            min_sites: int = 10, lg_k: int = 12) -> DataFrame:
+    """Occurrences (``__id``, ``__th``, ``__pos``) of the lines on ``min_sites``
+    distinct sites or more, all but the first (by id, text hash, place).
 
     The sketch error is 1.04 / sqrt(2^lg_k); lines whose estimate is within four
-    of it (and within one site) of the limit are decided by an exact count."""
+    of it (and within one site) of the limit are decided by an exact count over
+    their occurrences."""
     occ = _occurrences(docs, site, text, doc_id)
     sketch = occ.groupBy("__k1", "__k2").agg(
         F.hll_sketch_agg("__site", F.lit(lg_k)).alias("__sk"), F.count(F.lit(1)).alias("__n"),
         F.min(F.struct("__id", "__th", "__pos")).alias("__first"))
     slack = max(1.0, 4 * 1.04 / math.sqrt(2 ** lg_k) * min_sites)
     seen = written(sketch.filter(F.col("__n") >= min_sites)
-                   .withColumn("__est", F.hll_sketch_estimate("__sk")).drop("__sk", "__n")
-                   .filter(F.col("__est") >= min_sites - slack))
-    sure = seen.filter(F.col("__est") > min_sites + slack).drop("__est")
-    near = seen.filter(F.col("__est") <= min_sites + slack).drop("__est")
-    exact = (occ.join(broadcast_if_small(near.select("__k1", "__k2"), 48), ["__k1", "__k2"], "left_semi")
-             .groupBy("__k1", "__k2").agg(F.count_distinct("__site").alias("__n"))
-             .filter(F.col("__n") >= min_sites).select("__k1", "__k2"))
-    return sure.unionByName(near.join(exact, ["__k1", "__k2"], "left_semi"))
+                   .withColumn("__est", F.hll_sketch_estimate("__sk"))
+                   .filter(F.col("__est") >= min_sites - slack)
+                   .select("__k1", "__k2", "__first", (F.col("__est") <= min_sites + slack).alias("__near")))
+    hits = written(occ.join(broadcast_if_small(seen, 104), ["__k1", "__k2"]))
+    near = hits.filter("__near")
+    exact = (near.groupBy("__k1", "__k2").agg(F.count_distinct("__site").alias("__sites"))
+             .filter(F.col("__sites") >= min_sites).select("__k1", "__k2"))
+    found = hits.filter("not __near").unionByName(near.join(exact, ["__k1", "__k2"], "left_semi"))
+    return found.filter(F.struct("__id", "__th", "__pos") != F.col("__first")).select("__id", "__th", "__pos")
 
 
 def line_dedup(docs: DataFrame, site: str = "source", text: str = "text", doc_id: str = "doc_id",
@@ -65,10 +67,7 @@ def line_dedup(docs: DataFrame, site: str = "source", text: str = "text", doc_id
     empty result; input columns named like an added one are replaced; a very
     long text is one row's array of lines.
     """
-    boiler = written(boilerplate_lines(docs, site, text, doc_id, min_sites, lg_k))
-    hits = _occurrences(docs, site, text, doc_id).join(
-        broadcast_if_small(boiler, 96), ["__k1", "__k2"])
-    out = (hits.filter(F.struct("__id", "__th", "__pos") != F.col("__first"))
+    out = (boilerplate_occurrences(docs, site, text, doc_id, min_sites, lg_k)
            .groupBy("__id", "__th").agg(F.collect_set("__pos").alias("__gone"))
            .withColumnsRenamed({"__id": "__id2", "__th": "__th2"}))
     mine = docs.withColumn("__th", F.xxhash64(F.col(text))).withColumn("__id", F.col(doc_id).cast("string"))
