@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import maybe_broadcast
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, remove_path, scratch_path
 
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -58,15 +58,28 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame as a parquet table in the shared checkpoint folder.
+def stored(df: DataFrame, *done: DataFrame) -> DataFrame:
+    """The frame as a parquet table in the shared checkpoint folder; tables that
+    are ``done`` once it is written are deleted.
 
     For loops: a checkpoint keeps the size Spark once estimated for the plan it
     cuts, and joins multiply the sizes of their sides, round by round without
     end; a table is as large as its files."""
-    path = scratch_path(df.sparkSession, "table")
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    for old in done:
+        remove_path(spark, old.table_path)
+    return out
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key to as many tasks as the session shuffles to.  For
+    work that costs much time per byte: without the number, Spark would join
+    partitions of few bytes into few long tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:

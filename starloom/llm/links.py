@@ -47,20 +47,22 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = links.select(F.col("a").alias("node"), F.col("b").alias("near")).unionByName(
             links.select(F.col("b").alias("node"), F.col("a").alias("near")))
         up = stored(both.groupBy("node").agg(F.min("near").alias("near")).select("node", F.least("node", "near").alias("root")))
+        one = up
         for _ in range(2):
             jump = up.withColumnsRenamed({"node": "via", "root": "root2"})
             up = up.join(jump, up["root"] == jump["via"]).select("node", F.col("root2").alias("root"))
-        up = stored(up)
+        up = stored(up, one)
         rounds.append(up)
+        before = links
         for end in ("a", "b"):
             m = up.withColumnsRenamed({"node": "node2", "root": "root2"})
             links = links.join(m, links[end] == m["node2"]).withColumn(end, F.col("root2")).drop("node2", "root2")
         links = stored(links.filter(F.col("a") != F.col("b")).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), before)
     if not rounds:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = rounds[0]
     for later in rounds[1:]:
         m = later.withColumnsRenamed({"node": "node2", "root": "root2"})
         out = out.join(m, out["root"] == m["node2"], "left").select("node", F.coalesce("root2", "root").alias("root"))
-    return stored(out) if len(rounds) > 1 else out
+    return stored(out, *rounds) if len(rounds) > 1 else out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dealt, stored
 from .sentencepiece_codec import _groups
 
 SPAN, GRAIN = 128, 32
@@ -322,7 +322,8 @@ def sort_classes(rows: DataFrame, grain: int) -> DataFrame:
         if held:
             yield settle(held)
 
-    met = rows.select("c1", "c2", "left", "right", "k", "first", "many").repartition("c1", "c2").sortWithinPartitions("c1", "c2")
+    met = rows.select("c1", "c2", "left", "right", "k", "first", "many")
+    met = dealt(met, "c1", "c2").sortWithinPartitions("c1", "c2")
     return met.mapInArrow(run, "k long, lo long, hi long")
 
 
@@ -334,7 +335,7 @@ def repeated_intervals(docs: DataFrame, text: str, length: int) -> DataFrame:
     # written, so that the join deals out both sides anew and can split a hot anchor
     shared = stored(every.groupBy(F.col("a").alias("a2")).agg(
         F.count(F.lit(1)).alias("n"), (F.min("w") == F.max("w")).alias("alike")).filter("n > 1").drop("n"))
-    met = stored(every.join(shared, every["a"] == shared["a2"]).drop("a2"))
+    met = stored(every.join(shared, every["a"] == shared["a2"]).drop("a2"), every, shared)
     lo = F.shiftright("place", 16)
     hi = lo + F.shiftright("place", 8).bitwiseAND(255)
     whole = met.filter("alike").select("k", lo.alias("lo"), hi.alias("hi"))
@@ -355,7 +356,7 @@ def repeated_intervals(docs: DataFrame, text: str, length: int) -> DataFrame:
         rows = stored(rows)
         sizes = stored(rows.groupBy(F.col("c1").alias("d1"), F.col("c2").alias("d2")).agg(
             F.count(F.lit(1)).alias("n"), F.max((~F.col("many")).cast("int")).alias("some")).filter("n > 1 and some = 1"))
-        rows = stored(rows.join(sizes, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).drop("d1", "d2", "some"))
+        rows = stored(rows.join(sizes, (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).drop("d1", "d2", "some"), rows, sizes)
         if grain == 1:  # all members of a class are equal
             return found.unionByName(rows.select("k", F.col("first").alias("lo"), F.col("first").alias("hi")))
         found = found.unionByName(stored(sort_classes(rows.filter(F.col("n") <= CLASS), grain)))
