@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import written
+from .common import dealt, written
 from .links import components, forest
 
 #: Rows of one side of a probed value that meet in one place, about.
@@ -290,7 +290,7 @@ def similar_links(distinct: DataFrame, distance: int = 4, parts: int = 4) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     probes = distinct.mapInArrow(probe, "key long, ib long, qb long, kind long, fp long")
-    met = probes.repartition("key", "ib", "qb").sortWithinPartitions("key", "ib", "qb", "kind")
+    met = dealt(probes, "key", "ib", "qb").sortWithinPartitions("key", "ib", "qb", "kind")
     return met.mapInArrow(verify, "a long, b long")
 
 
