@@ -40,7 +40,10 @@ def _with_text(rows: DataFrame, clean: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines above their host's limits."""
-    return _unpacked(_with_text(quality_rules(_packed(docs)).filter("kept"), "clean_text"), docs)
+    # the row number keeps the filter above the rules: below, Spark would work them out twice
+    rows = quality_rules(_packed(docs)).withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.filter(F.col("kept") & (F.col("__row") >= 0))
+    return _unpacked(_with_text(rows, "clean_text"), docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
