@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,13 @@ def stored(df: DataFrame, *done: DataFrame) -> DataFrame:
     return out
 
 
+def shared(df: DataFrame, value):
+    """A function that gives tasks ``value``, broadcast once; classes of this
+    folder travel with it, so executors need not have them."""
+    held = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt out by key to as many tasks as the session shuffles to.  For
     work that costs much time per byte: without the number, Spark would join

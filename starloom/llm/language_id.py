@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
+from .common import shared
 from .sentencepiece_codec import _groups
 
 CLASSES = 1 << 16
@@ -163,14 +164,14 @@ def label(docs: DataFrame, model: Model, text: str = "text", switch: float = SWI
     table gives an empty result; input columns named like an added one are
     replaced; a very long text is labelled whole.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = shared(docs, model)
     keep = [c for c in docs.columns if c not in (text, "lang_pred", "score", "spans")]
     span = StructType([StructField("lang", StringType()), StructField("first_word", LongType()), StructField("n_words", LongType())])
     schema = StructType([*docs.select(*keep).schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                          StructField("spans", ArrayType(span))])
 
     def run(batches):
-        model = shared.value
+        model = given()
         place: dict[str, int] = {}
         scores, letters = np.zeros((0, len(model.languages))), np.zeros(0, np.int64)
         for batch in batches:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from .common import shared
 from .token_counts import MARK, check_pieces, default_model, load
 
 UNKNOWN_PENALTY = 10.0
@@ -294,15 +295,15 @@ def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scor
     named like an added one are replaced; a very long text is encoded whole.
     """
     vocabulary = Vocabulary(model or default_model(), scores)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary: does not grow with the data
+    given = shared(docs, vocabulary)  # one vocabulary: does not grow with the data
     slim = docs.drop("ids", "n_tokens", "n_byte_tokens", "score", *([decoded] if decoded else []))
     schema = StructType([*slim.schema.fields, StructField("ids", ArrayType(IntegerType(), False)),
                          StructField("n_tokens", LongType()), StructField("n_byte_tokens", LongType()),
                          StructField("score", DoubleType())] + ([StructField(decoded, StringType())] if decoded else []))
 
     def run(batches):
-        encoder = Encoder(shared.value)
-        is_byte, spelling = shared.value.is_byte, shared.value.spelling
+        known = given()
+        encoder, is_byte, spelling = Encoder(known), known.is_byte, known.spelling
         width = np.array([len(x) for x in spelling])
         for batch in batches:
             done = 0
@@ -323,12 +324,12 @@ def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scor
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: bytes | None = None) -> DataFrame:
     """Every row with the text of its token ids; null ids give null, none give ''."""
-    shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(model or default_model()).spelling)
+    given = shared(rows, Vocabulary(model or default_model()).spelling)
     slim = rows.drop(out)
     schema = StructType([*slim.schema.fields, StructField(out, StringType())])
 
     def run(batches):
-        spelling = shared.value
+        spelling = given()
         width = np.array([len(x) for x in spelling])
         for batch in batches:
             for at in range(0, batch.num_rows, DECODE_ROWS):
