@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN, broadcast_if_small, nullable_key, words, written
+from ..operators.keys import assign_dense_key
+from .common import broadcast_if_small, nullable_key, words, written
 
 WEIGHTS = (5, 2, 1)
 _KEY_DIGITS = 16
@@ -27,27 +28,27 @@ def random_key(doc_id: Column, text: Column, seed: int) -> Column:
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, max_epochs: int = 3) -> DataFrame:
-    """From rows (source, __key, source_size) the column target.
-
-    Sources in code-point order, null last, take the weights in turn.  A share
-    stops at ``max_epochs`` times its source's size and the rest is shared again
-    by weight: with sources ordered by cap over weight, the level at which the
-    remaining sources share is the first that does not exceed its own cap.  One
-    row per source is handled here, never documents."""
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
-    w = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), (F.pmod(F.col("__rank") - 1, F.lit(len(weights))) + 1).cast("int"))
-    ranked = sources.withColumn("__rank", F.row_number().over(by_name)).withColumn("__w", w).withColumn(
-        "__cap", max_epochs * F.col("source_size"))
-    by_cap = Window.orderBy(F.col("__cap") / F.col("__w"), "__rank")
-    whole = Window.partitionBy()
-    before = F.coalesce(F.sum("__cap").over(by_cap.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    after = F.sum("__w").over(by_cap.rowsBetween(0, Window.unboundedFollowing))
-    level = (F.sum("source_size").over(whole) - before).cast("double") / after
-    levelled = ranked.withColumn("__level", level).withColumn(
-        "__fits", F.when(F.col("__level") * F.col("__w") <= F.col("__cap"), F.struct(F.col("__cap") / F.col("__w"), F.col("__rank"), F.col("__level").alias("level"))))
-    final = F.min("__fits").over(whole)["level"]
-    return levelled.withColumn("target", F.least(F.col("__cap").cast("double"), final * F.col("__w"))).drop(
-        "__rank", "__w", "__cap", "__level", "__fits")
+    """From rows (source, __source, source_size) the column target.
+
+    Sources in code-point order, null last, take the weights in turn; their
+    places are dense keys, made by a distributed sort.  A share stops at
+    ``max_epochs`` times its source's size and the rest is shared again by
+    weight: the level (share of weight 1) rises until no further source stops.
+    One row comes back per round, whatever the number of sources."""
+    named = sources.withColumn("__none", F.col("source").isNull().cast("int"))
+    ranked = assign_dense_key(named, ["__none", "source"], "__rank", ties="none").df
+    w = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), (F.pmod(F.col("__rank"), F.lit(len(weights))) + 1).cast("int"))
+    ranked = ranked.withColumn("__w", w).withColumn("__cap", max_epochs * F.col("source_size"))
+    level, stopped = 0.0, -1
+    while True:
+        full = F.lit(level) * F.col("__w") > F.col("__cap")
+        now = ranked.agg(F.sum("source_size").alias("size"), F.coalesce(F.sum(F.when(full, F.col("__cap"))), F.lit(0)).alias("capped"),
+                         F.sum(F.when(~full, F.col("__w"))).alias("weight"), F.count_if(full).alias("stopped")).first()
+        if not now["weight"] or now["stopped"] == stopped:
+            break
+        level, stopped = (now["size"] - now["capped"]) / now["weight"], now["stopped"]
+    return ranked.withColumn("target", F.least(F.col("__cap").cast("double"), F.lit(level) * F.col("__w"))).drop(
+        "__rank", "__w", "__cap", "__none")
 
 
 def cuts(keyed: DataFrame, weights=WEIGHTS, max_epochs: int = 3, leaf_rows: int = 5000) -> DataFrame:
