@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN, broadcast_if_small, has_word, let, lines, normal_line, nullable_key, words, written
+from ..operators.joins import maybe_broadcast
+from .common import BLANK_RUN, has_word, let, lines, normal_line, nullable_key, words, written
 
 WINDOW = 8
 
@@ -110,8 +111,6 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     """
     over = written(frequent_lines(docs, host, text, doc_id, max_share, min_docs))
     entries = over.agg(F.coalesce(F.sum(F.size("__over") * 48 + 64), F.lit(0))).first()[0]
-    from ..operators.joins import maybe_broadcast
-
     marked = docs.withColumn("__key", nullable_key(F.col(host)))
     over = maybe_broadcast(over.withColumnRenamed("__host", "__key2"), int(entries))
     rows = marked.join(over, marked["__key"] == over["__key2"], "left").drop("__key", "__key2")

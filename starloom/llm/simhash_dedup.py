@@ -30,8 +30,8 @@ from .links import components, forest
 BLOCK = 1024
 #: Candidate pairs checked at once in a task.
 PAIRS = 2_000_000
-#: Largest threshold of one partition.
-MOST = 3
+#: Largest threshold of one partition; wide partitions have large balls.
+MOST, MOST_WIDE = 3, 2
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -170,9 +170,14 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
 
 def similar_links(distinct: DataFrame, distance: int = 4, parts: int = 4) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of fingerprints
-    within ``distance`` bits.  ``distinct``: one column of signed longs, no repeats."""
-    if not 4 <= parts <= 8:
-        raise ValueError("parts must be 4 to 8: a partition's histogram has 2^(64/parts) values")
+    within ``distance`` bits.  ``distinct``: one column of signed longs, no repeats.
+
+    ``parts``: n fingerprints put about n / 2^(64/parts) of them behind a partition
+    value.  4 suits up to some 10^8; beyond, 3 has values of 21 bits, more of them
+    to probe per fingerprint, and histograms of 8 million values (100 MB broadcast,
+    whatever n is)."""
+    if not 3 <= parts <= 8:
+        raise ValueError("parts must be 3 to 8: a partition's histogram has 2^(64/parts) values")
     groups = bit_partitions(distinct, parts)
 
     def tally(batches):
@@ -192,7 +197,8 @@ def similar_links(distinct: DataFrame, distance: int = 4, parts: int = 4) -> Dat
         count[p][hv[hp == p]] = hn[hp == p]
     budget = distance - parts + 1
     # sums below zero need no probe beyond (-1, ..): every partition may then be skipped but enough of them
-    most = max(0, min(MOST, budget + parts - 1))
+    wide = len(groups[-1]) > 16
+    most = max(0, min(MOST_WIDE if wide else MOST, budget + parts - 1))
     masks = [[_masks(len(g), t) for t in range(most + 1)] for g in groups]
     expected = []
     for p, c in enumerate(count):
@@ -204,19 +210,21 @@ def similar_links(distinct: DataFrame, distance: int = 4, parts: int = 4) -> Dat
                 more += c[every ^ mask]
             at = len(masks[p][t])
             table.append(more)
-        expected.append(table)
+        expected.append([t.astype(np.float32) for t in table] if wide else table)
     shared = distinct.sparkSession.sparkContext.broadcast((groups, expected))
 
     def probe(batches):
         groups, expected = shared.value
-        blocks = [np.maximum(1, -(-t[0] // BLOCK)) for t in expected]
-        queries = [np.maximum(1, -(-t[min(1, len(t) - 1)] // BLOCK)) for t in expected]
+
+        def blocks(p, v, radius):
+            """Blocks of a value: of its index rows (0), of its queries (1)."""
+            t = expected[p][min(radius, len(expected[p]) - 1)]
+            return np.maximum(1, -(-t[v] // BLOCK)).astype(np.int64)
 
         def rows(p, f, v, kind):
             """A row per block of the other side."""
-            own, other = (blocks, queries) if kind == 0 else (queries, blocks)
-            mine = (_mix(f, kind + 1) % own[p][v].astype(np.uint64)).astype(np.int64)
-            copies = other[p][v]
+            mine = (_mix(f, kind + 1) % blocks(p, v, kind).astype(np.uint64)).astype(np.int64)
+            copies = blocks(p, v, 1 - kind)
             at = np.repeat(np.arange(len(f)), copies)
             turn = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
             ib, qb = (mine[at], turn) if kind == 0 else (turn, mine[at])

@@ -88,7 +88,7 @@ def test_simhash_against_brute_force(spark):
     assert got == brute_simhash(rows)
 
 
-@pytest.mark.parametrize("parts,distance", [(4, 4), (4, 2), (5, 6), (6, 4)])
+@pytest.mark.parametrize("parts,distance", [(4, 4), (4, 2), (5, 6), (6, 4), (3, 4)])
 def test_probing_finds_every_link(spark, monkeypatch, parts, distance):
     monkeypatch.setattr(sim, "BLOCK", 16)  # hot values in blocks
     rng = np.random.default_rng(parts)
@@ -249,3 +249,15 @@ def test_repeats_against_brute_force(spark, monkeypatch, most):
 
 def test_repeats_empty(spark):
     assert suf.query(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_repeats_in_very_long_texts(spark):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop \n") for _ in range(n))
+    a, b = text(400_000), text(90_000)
+    rows = [(1, a + b[:700] + a[5_000:5_200]), (2, b), (3, a[250_000:250_199]), (None, b[40_000:40_260])]
+    got = {r["doc_id"]: r for r in suf.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1]["n_removed"], got[1]["n_spans"]) == (700 + 200 + 200, 2)
+    assert (got[2]["n_removed"], got[2]["n_spans"]) == (700 + 260, 2)
+    assert (got[3]["n_removed"], got[None]["n_removed"]) == (0, 260)
+    assert bytes(got[2]["kept"]) == (b[700:40_000] + b[40_260:]).encode()
