@@ -13,7 +13,8 @@ number of languages only.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -127,7 +128,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     part = known.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("id"), F.col("text")), F.lit(steps)) < min(steps, max(1, steps * sample_docs // rows))) if rows > sample_docs else known
     number = {x: i for i, x in enumerate(languages)}
 
-    def count(batches):
+    def tally(batches):
         """One table per task: trigram classes, then scripts, by language."""
         tri, scr = np.zeros((len(number), CLASSES), np.int64), np.zeros((len(number), len(SCRIPTS)), np.int64)
         for batch in batches:
@@ -147,7 +148,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
         yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(k), pa.array(both[x, k])], ["x", "k", "n"])
 
     # languages x (classes + scripts) sums at most, whatever the data
-    sums = part.select("lang", "text").mapInArrow(count, "x long, k long, n long").groupBy("x", "k").agg(F.sum("n").alias("n")).toArrow()
+    sums = part.select("lang", "text").mapInArrow(tally, "x long, k long, n long").groupBy("x", "k").agg(F.sum("n").alias("n")).toArrow()
     both = np.zeros((len(languages), CLASSES + len(SCRIPTS)), np.int64)
     both[sums.column("x").to_numpy(), sums.column("k").to_numpy()] = sums.column("n").to_numpy()
     return Model(languages, both[:, :CLASSES], both[:, CLASSES:], np.array([by[x] for x in languages], float))
@@ -172,23 +173,23 @@ def label(docs: DataFrame, model: Model, text: str = "text", switch: float = SWI
 
     def run(batches):
         model = given()
-        place: dict[str, int] = {}
+        number = defaultdict(count().__next__)  # of the words met so far
         scores, letters = np.zeros((0, len(model.languages))), np.zeros(0, np.int64)
         for batch in batches:
             done = 0
             for texts in _groups(batch.column(batch.schema.get_field_index(text))):
                 cut = [text_words(t) for t in texts] if model.languages else [[] for _ in texts]
-                if len(place) > REMEMBERED:
-                    place.clear()
+                if len(number) > REMEMBERED:
+                    number = defaultdict(count().__next__)
                     scores, letters = scores[:0], letters[:0]
-                new = list({w for ws in cut for w in ws if w not in place})
+                known, size = len(number), np.fromiter(map(len, cut), np.int64, len(cut))
+                every = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, int(size.sum()))
+                new = list(islice(number, known, None))
                 if new:
                     s, n = model.score(new)
-                    place.update(zip(new, range(len(place), len(place) + len(new))))
                     scores, letters = np.concatenate([scores, s]), np.concatenate([letters, n])
                 pred, score, spans = [], [], []
-                for ws in cut:
-                    at = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
+                for at in np.split(every, np.cumsum(size)[:-1]):
                     at_letters = letters[at]
                     if not at_letters.sum():
                         pred.append("und")
