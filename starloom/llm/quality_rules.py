@@ -2,11 +2,15 @@
 
 Two passes.  The first hashes the normalised lines of every document and counts,
 per host and line, the distinct documents (distinct texts: exact copies count
-once).  The lines above a host's limits form a short list per host: a line that
-``max_share`` of the host's documents hold can occur at most 1/max_share times
-the mean number of lines.  The second pass is one projection over the documents
-with that list attached: per-document rules, removed lines, verdict.  Documents
-are never shuffled; only line hashes are, after a map-side pre-aggregation.
+once).  The second pass is one projection over the documents with the lines
+above their host's limits attached: per-document rules, removed lines, verdict.
+
+How they are attached follows from the longest list of a host.  Under a share the
+lists are short: a line that ``max_share`` of the host's documents hold can occur
+at most 1/max_share times the mean number of lines.  Documents are then never
+shuffled; only line hashes are, after a map-side pre-aggregation.  Under a bare
+count a large host's list has no such bound: the occurrences then meet the list by
+host and line, and each document gets the lines it loses itself.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from ..operators.joins import maybe_broadcast
 from .common import BLANK_RUN, has_word, let, lines, normal_line, nullable_key, words, written
 
 WINDOW = 8
+#: Lines of one host that every document of it is compared with, at most.
+LIST = 256
 
 
 def _repeat_positions(hashes: Column) -> Column:
@@ -69,24 +75,50 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(normal_line(line))
 
 
-def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
-                   max_share: float = 0.1, min_docs: int = 10) -> DataFrame:
-    """Per host (``__host``) the array ``__over`` of (h, first) of its lines held
-    by at least ``min_docs`` distinct documents and over ``max_share`` of them;
-    ``first`` is the smallest (doc_id, text hash) that has the line."""
+def _line_hashes(docs: DataFrame, host: str, text: str, doc_id: str) -> DataFrame:
+    """One row per document and distinct line that has a word."""
     base = docs.select(nullable_key(F.col(host)).alias("__host"), F.xxhash64(F.col(text)).alias("__th"),
                        F.col(doc_id).cast("string").alias("__id"), F.col(text).alias("__text"))
-    each = base.select("__host", "__th", "__id", F.explode(F.array_distinct(
+    return base.select("__host", "__th", "__id", F.explode(F.array_distinct(
         F.transform(F.filter(lines(F.col("__text")), has_word), _line_hash))).alias("__h"))
+
+
+def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
+                   max_share: float = 0.1, min_docs: int = 10) -> DataFrame:
+    """Per host (``__host``) its lines (``__h``) held by at least ``min_docs``
+    distinct documents and over ``max_share`` of them; ``__first`` is the smallest
+    (doc_id, text hash) that has the line."""
     first = F.min(F.struct("__id", "__th"))
     # once per distinct text, then per line: both steps combine before they shuffle
-    once = each.groupBy("__host", "__h", "__th").agg(F.min("__id").alias("__id"))
+    once = _line_hashes(docs, host, text, doc_id).groupBy("__host", "__h", "__th").agg(F.min("__id").alias("__id"))
     counts = once.groupBy("__host", "__h").agg(F.count(F.lit(1)).alias("__n"), first.alias("__first"))
-    hosts = (base.select("__host", "__th").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("__all"))
-             .withColumnRenamed("__host", "__host2"))
     counts = counts.filter(F.col("__n") >= min_docs)
-    over = counts.join(hosts, counts["__host"] == hosts["__host2"]).filter(F.col("__n") > max_share * F.col("__all"))
-    return over.groupBy("__host").agg(F.collect_list(F.struct(F.col("__h").alias("h"), F.col("__first").alias("first"))).alias("__over"))
+    if max_share > 0:
+        hosts = (docs.select(nullable_key(F.col(host)).alias("__host2"), F.xxhash64(F.col(text)).alias("__th")).distinct()
+                 .groupBy("__host2").agg(F.count(F.lit(1)).alias("__all")))
+        counts = counts.join(hosts, counts["__host"] == hosts["__host2"]).filter(F.col("__n") > max_share * F.col("__all"))
+    return counts.select("__host", "__h", "__first")
+
+
+def _with_host_lists(docs: DataFrame, over: DataFrame, host: str, n_bytes: int) -> DataFrame:
+    """``docs`` with the array ``__over`` of (h, first) of their host."""
+    lists = over.groupBy("__host").agg(F.collect_list(F.struct(F.col("__h").alias("h"), F.col("__first").alias("first"))).alias("__over"))
+    marked = docs.withColumn("__key", nullable_key(F.col(host)))
+    lists = maybe_broadcast(lists.withColumnRenamed("__host", "__key2"), n_bytes)
+    return marked.join(lists, marked["__key"] == lists["__key2"], "left").drop("__key", "__key2")
+
+
+def _with_own_lines(docs: DataFrame, over: DataFrame, n: int, host: str, text: str, doc_id: str) -> DataFrame:
+    """``docs`` with the array ``__over`` of the line hashes that they lose."""
+    over = maybe_broadcast(over.withColumnsRenamed({"__host": "__host2", "__h": "__h2"}), n * 120)
+    each = _line_hashes(docs, host, text, doc_id)
+    hits = each.join(over, (each["__host"] == over["__host2"]) & (each["__h"] == over["__h2"])).filter(
+        ~F.col("__first").eqNullSafe(F.struct("__id", "__th")))
+    hits = hits.groupBy("__host", "__id", "__th").agg(F.collect_set("__h").alias("__over")).withColumnsRenamed(
+        {"__host": "__key2", "__id": "__id2", "__th": "__th2"})
+    mine = docs.withColumns({"__key": nullable_key(F.col(host)), "__id": F.col(doc_id).cast("string"), "__th": F.xxhash64(F.col(text))})
+    return mine.join(hits, (mine["__key"] == hits["__key2"]) & mine["__id"].eqNullSafe(hits["__id2"]) & (mine["__th"] == hits["__th2"]),
+                     "left").drop("__key", "__id", "__th", "__key2", "__id2", "__th2")
 
 
 def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
@@ -99,7 +131,8 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     n_removed_lines, n_removed_words, clean_text, kept.
 
     A line over its host's limits (see :func:`frequent_lines`) is removed from
-    every document of the host but the first that holds it.  A document is
+    every document of the host but the first that holds it.  With ``max_share`` 0
+    the limit is ``min_docs`` alone and does not grow with the host.  A document is
     depleted if over ``max_removed`` of its words went that way; ``kept`` is
     false for it and for a base failure.
 
@@ -110,16 +143,17 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     gives an empty result.  One very long text is one row's arrays.
     """
     over = written(frequent_lines(docs, host, text, doc_id, max_share, min_docs))
-    entries = over.agg(F.coalesce(F.sum(F.size("__over") * 48 + 64), F.lit(0))).first()[0]
-    marked = docs.withColumn("__key", nullable_key(F.col(host)))
-    over = maybe_broadcast(over.withColumnRenamed("__host", "__key2"), int(entries))
-    rows = marked.join(over, marked["__key"] == over["__key2"], "left").drop("__key", "__key2")
+    per_host = over.groupBy("__host").agg(F.count(F.lit(1)).alias("n"))
+    hosts, n, longest = per_host.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    short = longest <= LIST
+    rows = (_with_host_lists(docs, over, host, n * 48 + hosts * 64) if short
+            else _with_own_lines(docs, over, n, host, text, doc_id))
     t = F.col(text)
     me = F.struct(F.col(doc_id).cast("string").alias("__id"), F.xxhash64(t).alias("__th"))
 
     def strip(over_me: Column) -> Column:
         mine = lambda l: let(_line_hash(l), lambda h: F.exists(  # noqa: E731,E741
-            over_me, lambda o: (o["h"] == h) & ~o["first"].eqNullSafe(me)))
+            over_me, lambda o: (o["h"] == h) & ~o["first"].eqNullSafe(me)) if short else F.array_contains(over_me, h))
         gone = lambda l: has_word(l) & mine(l)  # noqa: E731,E741
         return let(lines(t), lambda all_lines: let(
             F.filter(all_lines, gone), lambda out: F.struct(

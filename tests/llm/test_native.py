@@ -80,6 +80,45 @@ def test_quality_depleted_and_host_limits(spark):
     assert all(out[200 + i]["n_removed_lines"] == 0 and out[200 + i]["kept"] for i in range(5))
 
 
+def _boilerplate_of_a_large_host(spark, n_lines):
+    """400 documents of a host; each of its lines stands in 20 of them, 5 %, and one line in 9."""
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(40 + 4 * n_lines // 20))
+    rows = []
+    for i in range(400):
+        shared = [f"Shared  line {k}" for k in range(n_lines) if k % 20 == i % 20]
+        rows.append((i, "\n".join([own(i), *shared, *(["line of nine"] if i < 9 else [])]), "big" if i % 400 else None))
+    rows += [(None, rows[30][1], "big"), rows[41], rows[41]]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize("n_lines", [40, 400], ids=["short lists", "long lists"])
+def test_quality_count_does_not_grow_with_the_host(spark, n_lines):
+    rows, docs = _boilerplate_of_a_large_host(spark, n_lines)
+    assert (n_lines > quality_rules.LIST) == (n_lines == 400)
+    out = quality_rules.quality_rules(docs, max_share=0.0).collect()
+    assert len(out) == len(rows)
+    first = {}  # the smallest id, as text
+    for i, text, source in rows:
+        for x in text.split("\n")[1:]:
+            first[source, x] = min(first.get((source, x), "~"), "~" if i is None else str(i))
+    for r in out:
+        me = str(r["doc_id"])
+        kept = [x for k, x in enumerate(r["text"].split("\n"))
+                if not k or x == "line of nine" or r["source"] is None or first[r["source"], x] == me]
+        assert r["clean_text"] == "\n".join(kept)
+        assert r["n_removed_lines"] == len(r["text"].split("\n")) - len(kept)
+    assert sum(r["n_removed_lines"] for r in out) > 300
+
+
+def test_pipeline_strips_large_hosts(spark):
+    import corpus_pipeline
+
+    rows, docs = _boilerplate_of_a_large_host(spark, 40)
+    docs = docs.selectExpr("*", "cast(length(text) as long) n_chars", "'en' lang")
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.quality(spark, docs, SF).collect()}
+    assert sum("Shared  line" in x for x in out.values()) <= 41
+
+
 def test_mix_meets_budgets(spark):
     rows = [(i, "w " * (1 + i % 50), "hot" if i % 3 else f"s{i % 5}") for i in range(3000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
