@@ -97,10 +97,10 @@ def viterbi(s: np.ndarray, switch: float) -> np.ndarray:
     """The language index of every word on the best path."""
     total = s.sum(0)
     star = int(total.argmax())
-    # no run of words gains a switch's price over the best single language: then
-    # no number of runs does, and the path stays with it
+    # no run of words gains half a switch's price over the best single language:
+    # k runs then gain at most k / 2 prices and pay k - 1, so the path stays with it
     c = np.concatenate([np.zeros((1, s.shape[1])), np.cumsum(s - s[:, star:star + 1], axis=0)])
-    if (c - np.minimum.accumulate(c, axis=0)).max() <= switch:
+    if (c - np.minimum.accumulate(c, axis=0)).max() <= switch / 2:
         return np.full(len(s), star)
     best, back = s[0].copy(), np.zeros(s.shape, np.int64)
     every = np.arange(s.shape[1])

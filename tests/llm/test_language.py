@@ -37,6 +37,11 @@ def test_best_path_is_exact():
         assert abs(price(lid.viterbi(s, 4.0).tolist()) - best) < 1e-9
 
 
+def test_best_path_without_the_best_single_language():
+    s = np.array([[0, -20, -9.9], [-20, 0, -9.9]])
+    assert lid.viterbi(s, 12.0).tolist() == [0, 1]
+
+
 def test_mixed_text_is_labelled_by_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = lid.learn(docs)
