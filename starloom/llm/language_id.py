@@ -116,8 +116,19 @@ def viterbi(s: np.ndarray, switch: float) -> np.ndarray:
     return path
 
 
+def sample_sizes(by: dict[str, int], sample_docs: int) -> dict[str, int]:
+    """Rows to learn from per language, ``sample_docs`` in all: an equal part each,
+    and what small languages leave of theirs goes to the larger ones; one at least."""
+    out, left = {}, sample_docs
+    for i, x in enumerate(sorted(by, key=lambda x: (by[x], x))):
+        out[x] = min(by[x], max(1, left // (len(by) - i)))
+        left -= out[x]
+    return out
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_docs: int = 20_000) -> Model:
-    """A model from about ``sample_docs`` labelled rows, chosen by a hash of the id."""
+    """A model from about ``sample_docs`` labelled rows, chosen by a hash of the
+    id and text within each language (see :func:`sample_sizes`)."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id"))
     by = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
@@ -125,7 +136,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     if not languages:
         return Model([], np.zeros((0, CLASSES)), np.zeros((0, len(SCRIPTS))), np.zeros(0))
     steps = 1_000_000
-    part = known.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("id"), F.col("text")), F.lit(steps)) < min(steps, max(1, steps * sample_docs // rows))) if rows > sample_docs else known
+    part = known
+    if rows > sample_docs:
+        upto = {x: -(-steps * n // by[x]) for x, n in sample_sizes(by, sample_docs).items()}
+        limit = F.element_at(F.create_map(*[F.lit(v) for v in chain.from_iterable(upto.items())]), F.col("lang"))
+        part = known.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("id"), F.col("text")), F.lit(steps)) < limit)
     number = {x: i for i, x in enumerate(languages)}
 
     def tally(batches):

@@ -42,6 +42,14 @@ def test_best_path_without_the_best_single_language():
     assert lid.viterbi(s, 12.0).tolist() == [0, 1]
 
 
+def test_rare_languages_are_learned_from_large_tables(spark):
+    rows = [(i, "hello world and house", "en") for i in range(3000)] + [(5000 + i, "γεια σου κόσμε", "el") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lid.learn(docs, sample_docs=60)
+    out = lid.label(spark.createDataFrame([(1, "house"), (2, "κόσμε σου")], "doc_id long, text string"), model)
+    assert {r["doc_id"]: r["lang_pred"] for r in out.collect()} == {1: "en", 2: "el"}
+
+
 def test_mixed_text_is_labelled_by_spans(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = lid.learn(docs)
