@@ -30,7 +30,7 @@ from .links import components, forest
 BLOCK = 1024
 #: Candidate pairs checked at once in a task.
 PAIRS = 2_000_000
-#: Largest threshold of one partition; wide partitions have large balls.
+#: Largest threshold of one partition, unless the distance needs more; wide partitions have large balls.
 MOST, MOST_WIDE = 3, 2
 
 
@@ -198,7 +198,8 @@ def similar_links(distinct: DataFrame, distance: int = 4, parts: int = 4) -> Dat
     budget = distance - parts + 1
     # sums below zero need no probe beyond (-1, ..): every partition may then be skipped but enough of them
     wide = len(groups[-1]) > 16
-    most = max(0, min(MOST_WIDE if wide else MOST, budget + parts - 1))
+    # as large as the distance needs: the thresholds must be able to reach the budget
+    most = max(0, min(MOST_WIDE if wide else MOST, budget + parts - 1), -(-budget // parts))
     masks = [[_masks(len(g), t) for t in range(most + 1)] for g in groups]
     expected = []
     for p, c in enumerate(count):

@@ -261,3 +261,14 @@ def test_repeats_in_very_long_texts(spark):
     assert (got[2]["n_removed"], got[2]["n_spans"]) == (700 + 260, 2)
     assert (got[3]["n_removed"], got[None]["n_removed"]) == (0, 260)
     assert bytes(got[2]["kept"]) == (b[700:40_000] + b[40_260:]).encode()
+
+
+def test_simhash_thresholds_reach_a_large_distance(spark):
+    rng = random.Random(3)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    base = [rng.getrandbits(64) for _ in range(20)]
+    pairs = [(x, x ^ sum(1 << b for b in rng.sample(range(64), 16))) for x in base]
+    fps = {signed(x) for p in pairs for x in p}
+    found = sim.similar_links(spark.createDataFrame([(x,) for x in fps], "fp long"), distance=16).collect()
+    got = {frozenset((r["a"], r["b"])) for r in found}
+    assert {frozenset((signed(x), signed(y))) for x, y in pairs} <= got
