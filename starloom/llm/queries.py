@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, language_id, license_scan, line_dedup, mixing, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence,
+from . import (embedding_dedup, language_id, license_scan, line_dedup, merkle_manifest, mixing, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence,
                suffix_dedup, token_counts)
 from .common import read
 
@@ -16,6 +16,7 @@ _DOCS = {
     "op8_language_id": language_id.query,
     "op9_simhash_dedup": simhash_dedup.query,
     "op10_line_dedup": line_dedup.query,
+    "op12_merkle_manifest": merkle_manifest.query,
     "op13_source_divergence": source_divergence.query,
 }
 
@@ -28,4 +29,4 @@ def queries():
 def oracle_sql() -> dict[str, str]:
     return {"op2_license_scan": license_scan.sql(), "op4_embedding_dedup": embedding_dedup.SQL, "op5_mixing": mixing.SQL,
             "op6_quality_rules": quality_rules.SQL, "op10_line_dedup": line_dedup.SQL,
-            "op13_source_divergence": source_divergence.SQL}
+            "op12_merkle_manifest": merkle_manifest.SQL, "op13_source_divergence": source_divergence.SQL}
