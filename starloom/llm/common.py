@@ -84,6 +84,28 @@ def shared(df: DataFrame, value):
     return lambda: pickle.loads(held.value)
 
 
+def quoted(name: str) -> Column:
+    """A column by its own name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def set_aside(docs: DataFrame, used: dict[str, str], added: tuple[str, ...]):
+    """For operators that hand rows to Python: the columns an operator uses, under
+    its own names (``used``: own name -> column), and all others as one, ``__rest``,
+    so that no name of theirs is ever resolved there.  The second result puts the rows
+    together again: the other columns, but for those named like an ``added`` one
+    (as Spark compares names), in order and with their names, and the added ones."""
+    gone = {a.lower() for a in added}
+    rest = [c for c in docs.columns if c.lower() not in gone]
+    slim = docs.select(*[quoted(c).alias(own) for own, c in used.items()],
+                       F.struct(F.lit(0).alias("_"), *[quoted(c).alias(f"_{i}") for i, c in enumerate(rest)]).alias("__rest"))
+
+    def back(rows: DataFrame, *without: str) -> DataFrame:
+        return rows.select(*[F.col("__rest").getField(f"_{i}").alias(c) for i, c in enumerate(rest) if c not in without], *added)
+
+    return slim, back
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt out by key to as many tasks as the session shuffles to.  For
     work that costs much time per byte: without the number, Spark would join

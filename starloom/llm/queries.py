@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (embedding_dedup, language_id, license_scan, line_dedup, merkle_manifest, mixing, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence,
+from . import (embedding_dedup, language_id, license_scan, line_dedup, merkle_manifest, mixing, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence,
                suffix_dedup, token_counts)
 from .common import read
 
@@ -23,7 +23,10 @@ _DOCS = {
 
 def queries():
     found = {name: (lambda spark, sf_dir, f=f: f(read(spark, sf_dir, "documents"))) for name, f in _DOCS.items()}
-    return found | {"op4_embedding_dedup": lambda spark, sf_dir: embedding_dedup.query(read(spark, sf_dir, "embeddings"))}
+    return found | {
+        "op4_embedding_dedup": lambda spark, sf_dir: embedding_dedup.query(read(spark, sf_dir, "embeddings")),
+        "op11_quality_classifier": lambda spark, sf_dir: quality_classifier.query(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
