@@ -11,7 +11,7 @@ on two thirds of each; on the rest the share of unlabelled scores above a thresh
 divided by that of the positives, bounds the prior from above, and is close to it
 where hardly a negative scores as high.  The threshold with the smallest upper
 confidence bound is taken, and once more with the model that this prior gives.  The
-rows held back also set scale and shift of the scores, by the same risk.
+rows held back also turn raw scores into posteriors.
 
 A text's features are shares of its words and of their shapes, in hashed classes,
 and steps of statistics of its bytes, words and lines.  The model is fitted on
@@ -38,11 +38,11 @@ CLASSES = 1 << 14
 STEP_AT = (.005, .01, .02, .03, .045, .06, .08, .11, .15, .25, .5, .75, .85, .89, .92, .94, .955, .97, .98, .99, .995)
 STEPS = len(STEP_AT) + 1
 #: Pull to zero of the weights of steps, words and shapes; words are many and rare.
-STEP_DECAY, WORD_DECAY, SHAPE_DECAY = 1e-4, 0.1, 1e-3
-#: Every third row of the samples is held back to estimate the prior and to set the scale of the scores.
+STEP_DECAY, WORD_DECAY, SHAPE_DECAY = 1e-3, 0.1, 1e-3
+#: Every third row of the samples is held back to estimate the prior and the posteriors.
 HELD_BACK = 3
 #: Rows of either sample, about.
-SAMPLE = 6_000
+SAMPLE = 10_000
 REMEMBERED = 200_000
 #: Bytes of the texts that are cut and looked up together.
 TOGETHER = 1 << 20
@@ -138,7 +138,7 @@ class Model:
 
     def __init__(self, edges: np.ndarray):
         self.edges = edges  # statistics x (STEPS - 1)
-        self.prior, self.slope, self.shift = 0.5, 1.0, 0.0
+        self.prior, self.at, self.posterior = 0.5, np.zeros(0), np.zeros(0)
         self.bias, self.steps, self.classes = 0.0, np.zeros((len(edges), STEPS)), np.zeros(CLASSES)
 
     def step(self, stats: np.ndarray) -> np.ndarray:
@@ -148,7 +148,9 @@ class Model:
         return self.bias + self.steps[np.arange(len(self.edges)), self.step(stats)].sum(1)
 
     def score(self, z: np.ndarray) -> np.ndarray:
-        return sigmoid(self.slope * z + self.shift)
+        """Posteriors by raw score, level within a pool and on a line between two; a hundredth is the plain sigmoid, so that ranks are kept."""
+        plain = sigmoid(z)
+        return 0.99 * np.interp(z, self.at, self.posterior) + 0.01 * plain if len(self.at) else plain
 
     def raw(self, s: Samples) -> np.ndarray:
         return self.of_steps(s.stats) + np.bincount(s.row, self.classes[s.cls] * s.share, len(s.stats))
@@ -221,9 +223,21 @@ def prior_bound(z_p: np.ndarray, z_u: np.ndarray, doubt: float = 0.1) -> float:
 
 
 def calibrate(model: Model, z_p: np.ndarray, z_u: np.ndarray) -> None:
-    """The scale and shift of the scores with the least risk on rows that were not fitted on."""
-    found = min((risk(a * z_p + a * b, a * z_u + a * b, model.prior), a, a * b) for a in np.exp(np.linspace(-1, 2.5, 30)) for b in np.linspace(-5, 5, 81))
-    model.slope, model.shift = float(found[1]), float(found[2])
+    """Posteriors by raw score from rows that were not fitted on: the prior times the share of the
+    positives over that of the unlabelled rows, pooled to rise with the score."""
+    z = np.concatenate([z_p, z_u])
+    order = np.argsort(z, kind="stable")
+    p = np.r_[np.full(len(z_p), model.prior / len(z_p)), np.zeros(len(z_u))][order]
+    u = np.r_[np.zeros(len(z_p)), np.full(len(z_u), 1 / len(z_u))][order]
+    blocks: list[list[float]] = []  # of positives, of unlabelled rows, least and largest score
+    for a, b, x in zip(p, u, z[order]):
+        blocks.append([a, b, x, x])
+        # the ratio must not fall: pool; cross products, as a block may hold no unlabelled row
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            last = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + last[0], blocks[-1][1] + last[1], blocks[-1][2], last[3]]
+    model.at = np.array([x for block in blocks for x in block[2:]])
+    model.posterior = np.repeat([min(1.0, a / b) if b else 1.0 for a, b, _, _ in blocks], 2)
 
 
 def train(positive: Samples, unlabelled: Samples, prior: float | None = None, seed: int = 11) -> Model:

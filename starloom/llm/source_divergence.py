@@ -193,7 +193,7 @@ def pair_values(columns: DataFrame, groups: DataFrame) -> DataFrame:
     last = F.greatest(F.ceil(F.col("v") / SEGMENT), F.lit(1)) - 1
     every = groups.withColumn("seg", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     # a source without a term in a segment is one run of count 0
-    by = F.greatest(F.col("total") + SMOOTH * F.col("v"), F.lit(1))
+    by = F.greatest(F.col("total") + SMOOTH * F.col("v"), F.lit(SMOOTH))  # without a kept term, any
     nothing = F.array(probability_column(F.lit(0), by, F.lit(0)).cast("int"))
     block, blocks = F.floor(F.col("g_lang") / BLOCK), F.ceil(F.col("groups") / BLOCK)
     rows = every.join(encoded, ["g", "seg"], "left").select(
