@@ -361,6 +361,25 @@ FROM documents"""
 WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')"""
     q["anti_filter"] = """SELECT * FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
+    q["semi_filter_bitmap"], q["anti_filter_bitmap"] = q["semi_filter"], q["anti_filter"]
+    q["dedupe_by_id"] = """SELECT DISTINCT * FROM (SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 7 = 0
+UNION ALL SELECT * REPLACE (p_name || ' 2' AS p_name) FROM part WHERE p_partkey % 11 = 0)"""
+    first = "CAST(substr(record_id, 3) AS BIGINT) % 3 <> 0"
+    q["keys_two_deliveries"] = with_ctes(["cleaned"], f"""SELECT kind, natural_key, row_number() OVER (PARTITION BY kind ORDER BY delivery, natural_key) - 1 AS id, delivery
+FROM (SELECT kind, natural_key, CASE WHEN bool_or({first}) THEN 'first' ELSE 'second' END AS delivery
+  FROM (SELECT 'genre' AS kind, unnest(string_split(genres, ',')) AS natural_key, record_id FROM cleaned
+        UNION ALL SELECT 'book', record_id, record_id FROM cleaned) k GROUP BY 1, 2) d""")
+    q["load_books_incremental"] = with_ctes(["books"], f"""SELECT row_number() OVER (ORDER BY delivery, record_id) - 1 AS book_id, * FROM (
+  SELECT record_id, book_title, num_pages, cover_type, publish_date, genres, rating, author, description,
+    CASE WHEN {first} THEN 'first' ELSE 'second' END AS delivery FROM books0) b""")
+    q["reviews_two_deliveries"] = with_ctes(["books"], f"""SELECT row_number() OVER (ORDER BY b.old AND c.old DESC, b.book_id, c.record_id) - 1 AS review_id,
+  b.book_id, c.reviews, c.score, c.record_id
+FROM (SELECT *, {first} AS old, row_number() OVER (ORDER BY {first} DESC, record_id) - 1 AS book_id FROM books0) b
+JOIN (SELECT *, {first} AS old FROM cleaned) c ON c.title = b.book_title""")
+    q["title_pair_report"] = with_ctes(["books", "ratings"], """SELECT b.book_title, count(*) AS pairs, CAST(sum(b.num_pages) AS BIGINT) AS sum_pages,
+  CAST(sum(r.num_ratings) AS BIGINT) AS sum_num_ratings, CAST(sum(r.score) AS BIGINT) AS sum_score
+FROM books b JOIN ratings r ON b.book_title = r.book_title GROUP BY 1""")
+    q["bridge_expanded"] = with_ctes(["book_ratings"], "SELECT * FROM book_ratings")
     q["clean_books"] = with_ctes(["books"], f"SELECT {', '.join(BOOK_COLS)} FROM books")
     q["dim_authors"] = with_ctes(["authors"], "SELECT * FROM authors")
     q["dim_genres"] = with_ctes(["genres"], "SELECT * FROM genres")

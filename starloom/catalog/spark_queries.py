@@ -15,8 +15,11 @@ from pyspark.sql import types as T
 
 from ..functions import dates, numbers, text
 from ..operators import (
+    KeyBitmap,
+    KeyRegistry,
     assign_dense_key,
     dedupe_by_key,
+    drop_duplicates_by_id,
     drop_exact_duplicates,
     drop_existing,
     keep_existing,
@@ -30,8 +33,9 @@ from ..operators import (
 from ..plans import load as ld
 from ..plans import reports, views
 from ..plans.clean import clean_records, fill_report
-from ..plans.export import export_star, star_tables
-from ..plans.star import Star, title_pairs
+from ..plans.export import publish_star, read_published, star_tables
+from ..plans.star import Star, books_rows, build_authors, build_genres, genre_names
+from ..plans.title_blocks import TitleBlocks
 from ..session import scratch_path
 from ..sources import (
     raw_records_from_part,
@@ -51,17 +55,17 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_records_from_part(read_testdata(spark, sf_dir, "part"))
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_records(raw(spark, sf_dir), as_of=AS_OF)
+def cleaned(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return clean_records(raw(spark, sf_dir), as_of=AS_OF, **options)
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(cleaned(spark, sf_dir))
+    return Star(cleaned(spark, sf_dir, store_repeated=False))
 
 
 def record_star(spark: SparkSession, sf_dir: str) -> Star:
     """Facts attached to the book of their own record: no title fan-out."""
-    return Star(clean_records(raw(spark, sf_dir), as_of=AS_OF, keep_id=True), attach="record")
+    return Star(cleaned(spark, sf_dir, keep_id=True, store_repeated=False), attach="record")
 
 
 # --- sources, projections, expression library --------------------------------
@@ -187,12 +191,12 @@ def q_text_clean_documents(spark, sf_dir):
 
 
 def q_clean_records(spark, sf_dir):
-    return cleaned(spark, sf_dir)
+    return cleaned(spark, sf_dir, store_repeated=False)
 
 
 def q_fill_defaults(spark, sf_dir):
     """DQ4: how many values each default replaced."""
-    return fill_report(clean_records(raw(spark, sf_dir), fill=False))
+    return fill_report(clean_records(raw(spark, sf_dir), fill=False, store_repeated=False))
 
 
 def q_null_census_raw(spark, sf_dir):
@@ -200,7 +204,7 @@ def q_null_census_raw(spark, sf_dir):
 
 
 def q_null_census_clean(spark, sf_dir):
-    return null_census(cleaned(spark, sf_dir))
+    return null_census(cleaned(spark, sf_dir, store_repeated=False))
 
 
 EXPECTED_CLEAN_SCHEMA = T.StructType([
@@ -249,18 +253,88 @@ def q_anti_filter(spark, sf_dir):
     return drop_existing(orders, lineitem, "o_orderkey", existing_on="l_orderkey")
 
 
+def q_semi_filter_bitmap(spark, sf_dir):
+    """JOIN6 by bitmap: the parent's rows are not shuffled."""
+    returned = read_testdata(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    return KeyBitmap.of(returned, "l_orderkey").keep(read_testdata(spark, sf_dir, "orders"), "o_orderkey")
+
+
+def q_anti_filter_bitmap(spark, sf_dir):
+    """JOIN7 by bitmap, of two deliveries' bitmaps joined."""
+    lineitem = read_testdata(spark, sf_dir, "lineitem")
+    parts = [KeyBitmap.of(lineitem.filter(F.col("l_linenumber") > 1), "l_orderkey"), KeyBitmap.of(lineitem.filter(F.col("l_linenumber") <= 1), "l_orderkey")]
+    return KeyBitmap.union(*parts).drop(read_testdata(spark, sf_dir, "orders"), "o_orderkey")
+
+
+def q_dedupe_by_id(spark, sf_dir):
+    """AGG7 by id first: part, with exact copies of some rows and rows that share an id only."""
+    part = read_testdata(spark, sf_dir, "part")
+    copies = part.filter(F.col("p_partkey") % 7 == 0)
+    changed = part.filter(F.col("p_partkey") % 11 == 0).withColumn("p_name", F.concat("p_name", F.lit(" 2")))
+    return drop_duplicates_by_id(part.unionByName(copies).unionByName(changed), "p_partkey")
+
+
+# --- ids over several deliveries ------------------------------------------------
+
+def _delivered(spark, sf_dir, name: str) -> DataFrame:
+    """Cleaned records of the first delivery (two thirds of the parts) or of the
+    second, which brings all of them."""
+    rows = raw(spark, sf_dir)
+    if name == "first":
+        rows = rows.filter(F.col("Rank").cast("long") % 3 != 0)
+    return clean_records(rows, as_of=AS_OF, keep_id=True, store_repeated=False)
+
+
+def q_keys_two_deliveries(spark, sf_dir):
+    """KEY1, KEY3 by registry: genres and books of two deliveries, the second
+    extending the first, with the delivery each id came with."""
+    out = None
+    for kind, column, rows_of in (("genre", "genre_name", lambda d: genre_names(d)), ("book", "record_id", lambda d: d.select("record_id"))):
+        registry = KeyRegistry(spark, scratch_path(spark, f"registry-{kind}"), f"{column} string", "id")
+        made = [registry.extend(rows_of(_delivered(spark, sf_dir, d)), d) for d in ("first", "second")]
+        registry.extend(rows_of(_delivered(spark, sf_dir, "second")), "second")  # once more: adds nothing
+        rows = registry.keys().select(F.lit(kind).alias("kind"), F.col(column).alias("natural_key"), "id",
+                                      F.when(F.col("id") < made[1].first, "first").otherwise("second").alias("delivery"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_load_books_incremental(spark, sf_dir):
+    """LD2 over two deliveries: what each appends, ids of the first unmoved."""
+    registry = KeyRegistry(spark, scratch_path(spark, "registry-books"), "record_id string", "book_id")
+    loads = [ld.prepare_books(ld.increment(books_rows(_delivered(spark, sf_dir, d)), registry, d), drop_key=False).withColumn("delivery", F.lit(d))
+             for d in ("first", "second")]
+    return loads[0].unionByName(loads[1])
+
+
+def q_reviews_two_deliveries(spark, sf_dir):
+    """JOB7 with ids from a registry: the reviews of the second delivery's star; those
+    of pairs that the first had keep their ids."""
+    path = scratch_path(spark, "registries")
+    for delivery in ("first", "second"):
+        s = Star(_delivered(spark, sf_dir, delivery), registry=path, delivery=delivery)
+        rows = s.reviews.df
+    return rows
+
+
 # --- star schema ----------------------------------------------------------------
 
 def q_clean_books(spark, sf_dir):
     return star(spark, sf_dir).books.df
 
 
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned records with their duplicates: a dimension is a set of names, so one
+    built alone needs no de-duplication, and reads its one column."""
+    return cleaned(spark, sf_dir, dedupe="none")
+
+
 def q_dim_authors(spark, sf_dir):
-    return star(spark, sf_dir).authors.df
+    return build_authors(names(spark, sf_dir)).df
 
 
 def q_dim_genres(spark, sf_dir):
-    return star(spark, sf_dir).genres.df
+    return build_genres(names(spark, sf_dir)).df
 
 
 def q_bridge_book_genres(spark, sf_dir):
@@ -280,9 +354,22 @@ def q_bridge_book_ratings(spark, sf_dir):
 
 
 def q_bridge_valid_count(spark, sf_dir):
-    """DQ3 on the bridge: pairs with both parents, and pairs without."""
+    """DQ3 on the bridge: pairs with both parents, and pairs without, from the counts
+    of either side."""
+    s = star(spark, sf_dir).build("books", "ratings")
+    return TitleBlocks.of(s.books, s.ratings).pair_count()
+
+
+def q_title_pair_report(spark, sf_dir):
+    """Per title the pairs of the bridge and sums over them, no pair made."""
+    s = star(spark, sf_dir).build("books", "ratings")
+    return TitleBlocks.of(s.books, s.ratings).pair_sums({"sum_pages": "num_pages"}, {"sum_num_ratings": "num_ratings", "sum_score": "score"})
+
+
+def q_bridge_expanded(spark, sf_dir):
+    """The bridge of JOB8, expanded from its blocks."""
     s = star(spark, sf_dir).build("books", "ratings")
-    return referential_counts(title_pairs(s.books, s.ratings), {"book_id": s.books, "rating_id": s.ratings})
+    return TitleBlocks.of(s.books, s.ratings).expanded()
 
 
 def _some_parents(spark, sf_dir):
@@ -398,16 +485,15 @@ def q_csv_skip_bad(spark, sf_dir):
 
 
 def q_export_star(spark, sf_dir):
-    """EXP1, SNK2, PAR1: all seven tables exported as single files, then again
-    over the first export; rows and data files of each as read back."""
+    """EXP1, SNK2, PAR1: all seven tables published as single files, then again as the
+    next generation; rows and data files of each as read back by the manifest."""
     s = star(spark, sf_dir)
     out = scratch_path(spark, "export-star")
     for _ in range(2):
-        paths = export_star(s, out, single_file=True)
+        publish_star(s, out, single_file=True)
     schemas = {name: df.schema for name, df in star_tables(s).items()}
     frames = []
-    for name, path in sorted(paths.items()):
-        back = read_csv(spark, path, schemas[name])
+    for name, back in sorted(read_published(spark, out, schemas).items()):
         rows = row_count(back, table_name=name)
         files = back.select(F.input_file_name().alias("f")).distinct().agg(F.count(F.lit(1)).alias("files"))
         frames.append(rows.join(files))  # one row with one row
@@ -421,7 +507,7 @@ def q_export_star(spark, sf_dir):
 
 def q_load_authors(spark, sf_dir):
     """LD1: the authors export read back."""
-    path = _exported(spark, star(spark, sf_dir).authors.df, "authors")
+    path = _exported(spark, build_authors(names(spark, sf_dir)).df, "authors")
     return ld.prepare_authors(read_csv(spark, path, "author_id long, author_name string"))
 
 

@@ -1,20 +1,28 @@
 """Relational operators built from DataFrame primitives."""
 
-from .dedupe import dedupe_by_key, distinct_values, drop_exact_duplicates
+from .bitmap_membership import KeyBitmap
+from .dedupe import dedupe_by_key, distinct_values, drop_duplicates_by_id, drop_exact_duplicates
 from .joins import broadcast_budget, hot_pairs, lookup, maybe_broadcast, salted_join
+from .key_registry import Delivery, KeyRegistry
 from .keys import Keyed, assign_dense_key, renumber
-from .materialize import materialize
+from .materialize import materialize, observed_write
 from .membership import drop_existing, keep_existing, rejected_rows
 from .parallel import spread
+from .publish import Publication
 from .quality import null_census, null_census_tall, referential_counts, row_count, schema_report
 from .topk import sort_desc, top_k
 
 __all__ = [
+    "Delivery",
+    "KeyBitmap",
+    "KeyRegistry",
     "Keyed",
+    "Publication",
     "assign_dense_key",
     "broadcast_budget",
     "dedupe_by_key",
     "distinct_values",
+    "drop_duplicates_by_id",
     "drop_exact_duplicates",
     "drop_existing",
     "hot_pairs",
@@ -24,6 +32,7 @@ __all__ = [
     "maybe_broadcast",
     "null_census",
     "null_census_tall",
+    "observed_write",
     "referential_counts",
     "rejected_rows",
     "renumber",

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import maybe_broadcast
+from .materialize import Written, materialize
+
 
 def drop_exact_duplicates(df: DataFrame, ignore: list[str] | tuple[str, ...] = (),
                           keep_ignored: bool = False) -> DataFrame:
@@ -27,6 +30,54 @@ def drop_exact_duplicates(df: DataFrame, ignore: list[str] | tuple[str, ...] = (
     return df.groupBy(*[F.col(f"`{c}`") for c in rest]).agg(*aggs).select(*df.columns)
 
 
+#: Repeated ids that are looked up as a set in the plan; more are joined.
+ID_SET = 2000
+
+
+def drop_duplicates_by_id(df: DataFrame, id_col: str, ids: DataFrame | None = None, store: bool = True,
+                          held: list[Written] | None = None) -> DataFrame:
+    """The rows of ``df.dropDuplicates()``, found by id first.
+
+    Equal rows have equal ids, so one narrow aggregation over the id column names
+    all ids held more than once (null counts as an id), and only their rows meet in
+    full; every other row stays where it is.  The ids are counted when this is called:
+    up to ``ID_SET`` of them are told apart by a set in the plan, more are written and
+    joined, by a broadcast if their measured size allows.
+
+    With ``store`` the rows of repeated ids are de-duplicated once and written, so that
+    a reader of few columns scans these and the id only, and shuffles no more than it
+    needs itself.  Without, that is left to each reader: for one that reads all columns
+    once anyway.  ``ids`` is where the ids are counted, if that is cheaper to read than
+    ``df`` (the source before a projection).  Written tables are added to ``held`` for
+    the caller to remove.
+    """
+    key = F.col(f"`{id_col}`")
+    counts = (df if ids is None else ids).groupBy(key.alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = counts.filter(F.col("__n") > 1).select("__id")
+    few = [r[0] for r in repeated.limit(ID_SET + 1).collect()]  # at most ID_SET + 1 values
+    if not few:
+        return df
+    tables = []
+    if len(few) <= ID_SET:
+        named = [v for v in few if v is not None]
+        twice = F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)
+        twice = twice | key.isNull() if len(named) < len(few) else twice
+        single, double = df.filter(~twice), df.filter(twice)
+    else:
+        size = F.sum(F.lit(24) + F.coalesce(F.octet_length(F.col("__id").cast("string")), F.lit(0)))
+        found = materialize(repeated, "repeated-ids", size=size)
+        tables.append(found)
+        there, same = maybe_broadcast(found.df, int(found.metrics["size"])), key.eqNullSafe(F.col("__id"))
+        single, double = df.join(there, same, "left_anti"), df.join(there, same, "left_semi")
+    once = double.dropDuplicates()
+    if store:
+        tables.append(materialize(once, "repeated-rows"))
+        once = tables[-1].df
+    if held is not None:
+        held += tables
+    return single.unionByName(once)
+
+
 def dedupe_by_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """AGG8: one row per key, the first by ``order`` (asc, nulls first), ties
     broken by the remaining columns.

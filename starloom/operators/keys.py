@@ -45,7 +45,8 @@ _ROW_MASK = (1 << _ROW_BITS) - 1
 class Keyed:
     """A keyed table with its row count; its data size is measured on demand.
 
-    The keys of ``df`` are exactly ``start .. start + rows - 1``.
+    The keys of ``df`` are exactly ``start .. start + rows - 1``, unless it is not
+    ``dense``: keys of a registry, of which a table may hold some.
     """
 
     df: DataFrame
@@ -55,6 +56,7 @@ class Keyed:
     _bytes: int | None = None
     path: str | None = None
     table: str | None = None
+    dense: bool = True
 
     def remove(self) -> None:
         """Delete the written table; ``df`` cannot be read afterwards."""
@@ -73,6 +75,8 @@ class Keyed:
 
     def key_in_range(self, c) -> "F.Column":
         """Membership in this table's key set, as a plain predicate."""
+        if not self.dense:
+            raise ValueError("the keys of this table are no whole range: join them")
         col = F.col(c) if isinstance(c, str) else c
         return col.between(F.lit(self.start), F.lit(self.start + self.rows - 1))
 

@@ -10,21 +10,42 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 
 
 @dataclass
 class Written:
-    """A written frame and the folder it lies in."""
+    """A written frame, the folder it lies in, and its metrics if any were asked for."""
 
     df: DataFrame
     path: str
+    metrics: dict
 
+    def remove(self) -> None:
+        """Delete the table; ``df`` cannot be read afterwards."""
+        remove_path(self.df.sparkSession, self.path)
 
-def materialize(df: DataFrame, name: str = "table") -> Written:
+
+def observed_write(df: DataFrame, write, **aggregates: Column) -> dict:
+    """Run ``write(df)`` and return the aggregates over the rows it wrote,
+    gathered in the write pass itself: no second scan, no further job."""
+    if not aggregates:
+        write(df)
+        return {}
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(name) for name, c in aggregates.items()]))
+    return seen.get
+
+
+def materialize(df: DataFrame, name: str = "table", **aggregates: Column) -> Written:
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return Written(spark.read.schema(df.schema).parquet(path), path)
+    metrics = observed_write(df, lambda rows: rows.write.parquet(path), **aggregates)
+    return Written(spark.read.schema(df.schema).parquet(path), path, metrics)
+
+
+def row_count_metric() -> Column:
+    return F.count(F.lit(1))

@@ -1,8 +1,9 @@
 """JOB1: clean raw catalogue records.
 
 One projection does every per-row step (date cascade, number casts, text
-cleaning) in whole-stage codegen; exact duplicates then go in one aggregation,
-which combines map-side before it shuffles.
+cleaning) in whole-stage codegen.  Exact duplicates are found by document id
+first: only the rows of ids delivered more than once meet in full, so what reads
+the cleaned records stays column-pruned down to the scan.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
-from ..operators.dedupe import drop_exact_duplicates
+from ..operators.dedupe import drop_duplicates_by_id, drop_exact_duplicates
 
 # ---------------------------------------------------------------------------
 # These must equal the reference for equal results.
@@ -96,11 +97,17 @@ def fill_report(unfilled: DataFrame) -> DataFrame:
 def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str = "_id",
                   fill: bool = True, keep_id: bool = False,
                   date_prefix: bool = True,
-                  date_phrases: tuple[str, ...] = (dates.PUBLISHED_PREFIX,)) -> DataFrame:
+                  date_phrases: tuple[str, ...] = (dates.PUBLISHED_PREFIX,), store_repeated: bool = True,
+                  held: list | None = None) -> DataFrame:
     """JOB1.
 
     ``dedupe``: ``"exact"`` drops rows equal on every column including the
-    document id (the reference's order: de-duplicate, then drop the id).
+    document id (the reference's order: de-duplicate, then drop the id); ids held
+    more than once are looked for when this is called (one narrow job over the
+    id column) and their rows written, see ``drop_duplicates_by_id``; ``held``
+    collects these tables.  ``store_repeated=False`` leaves these rows to each reader:
+    for a star, which writes all cleaned columns once.  ``"lazy"`` gives the same rows by one aggregation over all
+    columns, with no job before the first action.
     ``"content"`` ignores the id and drops documents that differ only in it.
     ``"none"`` keeps every row, for a caller who knows that no document comes
     twice.  ``keep_id`` keeps
@@ -113,8 +120,12 @@ def clean_records(raw: DataFrame, as_of=None, dedupe: str = "exact", id_col: str
     out = raw.select(*clean_record_columns(id_col if has_id else None, date_prefix, date_phrases))
     if dedupe == "content":
         out = drop_exact_duplicates(out, ignore=[id_col] if has_id else [])
-    elif dedupe == "exact":
+    elif dedupe == "exact" and has_id:
+        out = drop_duplicates_by_id(out, id_col, raw.select(F.col(f"`{id_col}`")), store_repeated, held)
+    elif dedupe in ("exact", "lazy"):
         out = out.dropDuplicates()
+    elif dedupe != "none":
+        raise ValueError("dedupe must be 'exact', 'lazy', 'content' or 'none'")
     if has_id and id_col in out.columns:
         out = out.withColumnRenamed(id_col, "record_id") if keep_id else out.drop(id_col)
     return fill_defaults(out, as_of) if fill else out

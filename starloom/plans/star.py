@@ -15,10 +15,12 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import arrays, text
 from ..operators.dedupe import distinct_values
 from ..operators.joins import hot_pairs, maybe_broadcast, salted_join
+from ..operators.key_registry import KeyRegistry
 from ..operators.keys import Keyed, assign_dense_key
 from ..operators.materialize import materialize
 from ..session import remove_path
@@ -114,18 +116,25 @@ def _hot(left: DataFrame, right: DataFrame, attach: str, hot):
     return hot_pairs(left, right, ATTACH_KEYS[attach]) if isinstance(hot, str) else hot
 
 
+def review_rows(cleaned: DataFrame, books: Keyed, attach: str = "title", hot=MEASURE) -> DataFrame:
+    """JOB7 without keys: the reviews with the books they attach to, and their
+    own record if there is one."""
+    k = ATTACH_KEYS[attach]
+    recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score", *_record(cleaned))
+    other = books.df.select(k, "book_id")
+    pairs = key_join(recs, other, k, "inner", _hot(recs, other, attach, hot))
+    return pairs.select("book_id", "reviews", "score", *_record(cleaned))
+
+
 def build_reviews(cleaned: DataFrame, books: Keyed, attach: str = "title", key_order: str = "natural", hot=MEASURE) -> Keyed:
     """JOB7: review facts, the book found by title.  A title shared by m books
     and n records gives m x n rows, as in the reference; titles with many pairs
     are cut on both sides.  With ``attach="record"`` each record's review
     attaches to the book of the same record (1:1, no fan-out, immune to a hot
     title such as the 'No title' placeholder)."""
-    k = ATTACH_KEYS[attach]
-    recs = cleaned.select(F.col("title").alias("book_title"), "reviews", "score", *_record(cleaned))
-    other = books.df.select(k, "book_id")
-    pairs = key_join(recs, other, k, "inner", _hot(recs, other, attach, hot))
+    rows = review_rows(cleaned, books, attach, hot).select("book_id", "reviews", "score")
     order = REVIEW_ORDER if key_order == "natural" else []
-    return assign_dense_key(pairs.select("book_id", "reviews", "score"), order, "review_id")
+    return assign_dense_key(rows, order, "review_id")
 
 
 def build_book_genres(books: Keyed, genres: Keyed, trim_items: bool = False) -> DataFrame:
@@ -173,6 +182,26 @@ def build_book_ratings(books: Keyed, ratings: Keyed, attach: str = "title", hot=
     return title_pairs(books, ratings, attach, hot)
 
 
+#: Natural keys of the tables in a registry; the type of a record id is the source's.
+REGISTERED = {
+    "books": ("book_id", ["record_id"]), "authors": ("author_id", ["author_name"]), "genres": ("genre_id", ["genre_name"]),
+    "ratings": ("rating_id", ["record_id"]), "reviews": ("review_id", ["book_id", "record_id"]),
+}
+
+
+def registered(rows: DataFrame, table: str, path: str, delivery: str, whole: bool = False) -> Keyed:
+    """``rows`` with ids from the registry of ``table`` below ``path``, which
+    ``delivery`` extends: ids given before stay.  ``whole`` gives all that the registry
+    knows by then (a dimension), not only the names of these rows."""
+    key, natural = REGISTERED[table]
+    types = {f.name: f for f in rows.schema.fields}
+    registry = KeyRegistry(rows.sparkSession, f"{path.rstrip('/')}/{table}", T.StructType([types[c] for c in natural]), key)
+    registry.extend(rows, delivery)
+    made = materialize(registry.keys(delivery).select(key, *natural) if whole else registry.attach(rows), f"registered-{table}", rows=F.count(F.lit(1)))
+    columns = [key, *[c for c in made.df.columns if c != key]]
+    return Keyed(made.df.select(*columns), key, made.metrics["rows"], path=made.path, dense=False)
+
+
 @dataclass
 class Star:
     """Lazily built star schema over one cleaned table.
@@ -196,6 +225,12 @@ class Star:
     bucketed by ``book_id`` and registers it in the session catalog; joins of
     the views on ``book_id`` then do not shuffle it.  ``close`` (or use as a
     context manager) deletes every written table.
+
+    ``registry`` names a folder of key registries that outlives the star: ids of
+    books and ratings go by their document, of names by the name and of reviews by book
+    and document, and a later ``delivery`` gives known ones the ids they have.  Needs
+    ``record_id``.  Without it ids are places in an order, and one new row moves those
+    after it.
     """
 
     cleaned: DataFrame
@@ -204,6 +239,8 @@ class Star:
     key_order: str = "natural"
     materialize_cleaned: bool = True
     book_buckets: int | None = None
+    registry: str | None = None
+    delivery: str = "first"
     _cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
@@ -211,6 +248,8 @@ class Star:
             raise ValueError(f"attach must be one of {sorted(ATTACH_KEYS)}")
         if self.attach == "record" and "record_id" not in self.cleaned.columns:
             raise ValueError("attach='record' needs clean_records(..., keep_id=True)")
+        if self.registry and "record_id" not in self.cleaned.columns:
+            raise ValueError("registry needs clean_records(..., keep_id=True)")
         if self.key_order not in ("natural", "input"):
             raise ValueError("key_order must be 'natural' or 'input'")
         self._source = self.cleaned
@@ -284,25 +323,35 @@ class Star:
             getattr(self, n)
         return self
 
+    def _keyed(self, table: str, rows, build, whole: bool = False) -> Keyed:
+        """From the registry if there is one, else numbered by place."""
+        if self.registry:
+            return self._get(table, lambda: registered(rows(), table, self.registry, self.delivery, whole))
+        return self._get(table, build)
+
     @property
     def books(self) -> Keyed:
-        return self._get("books", lambda: build_books(self.records, self.key_order, self.book_buckets, self._ties))
+        return self._keyed("books", lambda: books_rows(self.records),
+                           lambda: build_books(self.records, self.key_order, self.book_buckets, self._ties))
 
     @property
     def authors(self) -> Keyed:
-        return self._get("authors", lambda: build_authors(self.records))
+        return self._keyed("authors", lambda: self.records.select(F.col("author").alias("author_name")),
+                           lambda: build_authors(self.records), whole=True)
 
     @property
     def genres(self) -> Keyed:
-        return self._get("genres", lambda: build_genres(self.records, self.trim_genres))
+        return self._keyed("genres", lambda: genre_names(self.records, trim_items=self.trim_genres),
+                           lambda: build_genres(self.records, self.trim_genres), whole=True)
 
     @property
     def ratings(self) -> Keyed:
-        return self._get("ratings", lambda: build_ratings(self.records, self.key_order, self._ties))
+        return self._keyed("ratings", lambda: ratings_rows(self.records), lambda: build_ratings(self.records, self.key_order, self._ties))
 
     @property
     def reviews(self) -> Keyed:
-        return self._get("reviews", lambda: build_reviews(self.records, self.books, self.attach, self.key_order, self.hot_titles))
+        return self._keyed("reviews", lambda: review_rows(self.records, self.books, self.attach, self.hot_titles),
+                           lambda: build_reviews(self.records, self.books, self.attach, self.key_order, self.hot_titles))
 
     @property
     def book_genres(self) -> DataFrame:
