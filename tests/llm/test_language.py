@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import language_id as lid
@@ -37,6 +38,55 @@ def test_best_path_is_exact():
         assert abs(price(lid.viterbi(s, 4.0).tolist()) - best) < 1e-9
 
 
+@pytest.mark.parametrize("chunk", [1, 3, 64])
+def test_paths_of_many_texts_are_exact(monkeypatch, chunk):
+    """Chunks of any length give paths of the price that the plain recursion finds."""
+    monkeypatch.setattr(lid, "CHUNK", chunk)
+    rng = np.random.default_rng(3)
+    for k in (1, 2, 4, 17):
+        size = rng.integers(1, 200, 30)
+        s = rng.normal(size=(int(size.sum()), k)) * rng.choice([0.5, 5, 20])
+        found, at = lid.paths(s, size, 6.0), 0
+        price = lambda x, p: x[np.arange(len(x)), p].sum() - 6.0 * (p[1:] != p[:-1]).sum()
+        for n in size.tolist():
+            x, p = s[at:at + n], found[at:at + n]
+            best = x[0].copy()
+            for row in x[1:]:
+                best = np.maximum(best, best.max() - 6.0) + row
+            assert abs(price(x, p) - best.max()) < 1e-8 and abs(price(x, lid.viterbi(x, 6.0)) - best.max()) < 1e-8
+            at += n
+    assert len(lid.paths(np.zeros((0, 3)), np.zeros(0, np.int64), 6.0)) == 0
+
+
+def test_words_keep_their_combining_marks():
+    assert lid.text_words("हिन्दी भाषा में लिखा") == ["हिन्दी", "भाषा", "में", "लिखा"]
+    assert lid.text_words("ที่นี่ e\u0301te\u0301 x1y_z ½") == ["ที่นี่", "e\u0301te\u0301", "x", "y", "z", "½"]
+    assert lid.text_words("\u0301 \u0301a") == ["a"]
+
+
+def test_indian_scripts_narrow_candidates(spark):
+    given = {"hi": "हिन्दी भाषा में लिखा हुआ", "gu": "ગુજરાતી ભાષામાં લખેલું", "te": "తెలుగు భాషలో వ్రాసిన", "kn": "ಕನ್ನಡ ಭಾಷೆಯಲ್ಲಿ", "ml": "മലയാള ഭാഷയിൽ", "th": "ภาษาไทย ที่นี่", "km": "ភាសាខ្មែរ"}
+    docs = spark.createDataFrame([(i, t, x) for i in range(4) for x, t in given.items()], "doc_id long, text string, lang string")
+    out = lid.label(spark.createDataFrame([(x, t.split()[0]) for x, t in given.items()], "doc_id string, text string"), lid.learn(docs))
+    assert {r["doc_id"]: r["lang_pred"] for r in out.collect()} == {x: x for x in given}
+    points = [start for start, _ in lid.RANGES]
+    assert points == sorted(set(points))
+
+
+def test_names_of_other_columns_do_not_matter(spark):
+    docs = awkward(spark)
+    odd = docs.withColumns({"a.b": F.lit(1), "LANG_PRED": F.lit("x"), "__rest": F.lit(2)})
+    out = lid.label(odd, lid.learn(docs))
+    assert out.columns == [c for c in odd.columns if c not in ("text", "LANG_PRED")] + ["lang_pred", "score", "spans"]
+    assert out.count() == docs.count()
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(lid, "LANGUAGES", 3)
+    with pytest.raises(ValueError):
+        lid.learn(spark.createDataFrame([(i, "some words", f"l{i}") for i in range(5)], "doc_id long, text string, lang string"))
+
+
 def test_best_path_without_the_best_single_language():
     s = np.array([[0, -20, -9.9], [-20, 0, -9.9]])
     assert lid.viterbi(s, 12.0).tolist() == [0, 1]
