@@ -476,5 +476,11 @@ WHERE genre_id IN (SELECT genre_id FROM genres)""")
   SELECT book_id, row_number() OVER (ORDER BY book_id NULLS FIRST, rating_id NULLS FIRST) AS rating_id
   FROM book_ratings) x
 WHERE rating_id IN (SELECT rating_id FROM ratings) AND book_id IN (SELECT book_id FROM books)""")
-    q["stream_clean"] = with_ctes(["cleaned"], "SELECT * EXCLUDE (record_id) FROM cleaned")
+    q["stream_clean"] = q["stream_clean_twice"] = with_ctes(["cleaned"], "SELECT * EXCLUDE (record_id) FROM cleaned")
+    q["append_twice"] = "SELECT *, 'batch-' || (l_orderkey % 3) AS batch FROM lineitem WHERE l_orderkey % 3 < 2"
+    none = "CAST(NULL AS DOUBLE) AS average_rating, CAST(NULL AS BIGINT) AS total_ratings, CAST(NULL AS BIGINT) AS total_reviews"
+    q["report_two_deliveries"] = with_ctes(["cleaned"], f"""SELECT 'author' AS report, author AS name, count(*) AS book_count, {none} FROM cleaned GROUP BY author
+UNION ALL SELECT 'genre', genre_name, count(*), {none} FROM (SELECT unnest(string_split(genres, ',')) AS genre_name FROM cleaned) GROUP BY 2
+UNION ALL SELECT 'title', title, NULL, round(avg(CAST(rating AS DOUBLE)), 6), CAST(sum(num_ratings) AS BIGINT), CAST(sum(reviews) AS BIGINT)
+FROM cleaned GROUP BY title""")
     return q

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import dates, numbers, text
 from ..operators import (
+    BatchTables,
     KeyBitmap,
     KeyRegistry,
     assign_dense_key,
@@ -34,6 +35,7 @@ from ..plans import load as ld
 from ..plans import reports, views
 from ..plans.clean import clean_records, fill_report
 from ..plans.export import publish_star, read_published, star_tables
+from ..plans.report_state import ReportState
 from ..plans.star import Star, books_rows, build_authors, build_genres, genre_names
 from ..plans.title_blocks import TitleBlocks
 from ..session import scratch_path
@@ -45,7 +47,7 @@ from ..sources import (
     read_testdata,
     write_csv,
 )
-from ..streaming import clean_stream_to_table
+from ..streaming import clean_stream_once, clean_stream_to_table
 from .params import AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -596,6 +598,45 @@ def q_stream_clean(spark, sf_dir):
     return clean_stream_to_table(spark, sf_dir, "part.parquet", as_of=AS_OF, within="1 hour")
 
 
+def q_stream_clean_twice(spark, sf_dir):
+    """JOB1 on a stream over all time: a second delivery of the same files, as another
+    stream into the same folder, adds nothing."""
+    out = scratch_path(spark, "stream-once")
+    for delivery in ("first", "second"):
+        tables = clean_stream_once(spark, sf_dir, out, delivery, "part.parquet", as_of=AS_OF)
+    return tables.read("cleaned", cleaned(spark, sf_dir, dedupe="none").schema)
+
+
+# --- state over batches ------------------------------------------------------------------------
+
+def q_append_twice(spark, sf_dir):
+    """SNK4 with a ledger: three batches of line items, the second delivered twice and the
+    third taken back."""
+    tables = BatchTables(spark, scratch_path(spark, "appends"))
+    lineitem = read_testdata(spark, sf_dir, "lineitem")
+    parts = {f"batch-{i}": lineitem.filter(F.col("l_orderkey") % 3 == i) for i in range(3)}
+    for name in ("batch-0", "batch-1", "batch-1", "batch-2", "batch-0"):
+        tables.append(name, {"lineitem": parts[name]})
+    tables.retract("batch-2")
+    return tables.read("lineitem", lineitem.schema, "batch")
+
+
+def q_report_two_deliveries(spark, sf_dir):
+    """REP1-REP3 from the partial states of two deliveries, as one table."""
+    state = ReportState(spark, scratch_path(spark, "report-state"))
+    rows = raw(spark, sf_dir)
+    old = F.col("Rank").cast("long") % 3 != 0
+    for name, part in (("first", rows.filter(old)), ("wrong", rows.filter(old)), ("second", rows.filter(~old))):
+        state.add(name, clean_records(part, as_of=AS_OF, store_repeated=False))
+    state.retract("wrong")
+    none = lambda kind: F.lit(None).cast(kind)
+    counts = [state.author_counts().select(F.lit("author").alias("report"), F.col("author_name").alias("name"), "book_count",
+                                           none("double").alias("average_rating"), none("long").alias("total_ratings"), none("long").alias("total_reviews")),
+              state.genre_counts().select(F.lit("genre"), "genre_name", "book_count", none("double"), none("long"), none("long")),
+              state.title_ratings().select(F.lit("title"), "book_title", none("long"), F.round("average_rating", 6), "total_ratings", "total_reviews")]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

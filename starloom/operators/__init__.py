@@ -1,5 +1,6 @@
 """Relational operators built from DataFrame primitives."""
 
+from .batches import BatchTables
 from .bitmap_membership import KeyBitmap
 from .dedupe import dedupe_by_key, distinct_values, drop_duplicates_by_id, drop_exact_duplicates
 from .joins import broadcast_budget, hot_pairs, lookup, maybe_broadcast, salted_join
@@ -13,6 +14,7 @@ from .quality import null_census, null_census_tall, referential_counts, row_coun
 from .topk import sort_desc, top_k
 
 __all__ = [
+    "BatchTables",
     "Delivery",
     "KeyBitmap",
     "KeyRegistry",

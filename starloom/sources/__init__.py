@@ -2,11 +2,12 @@
 
 from .adapter import RAW_COLUMNS, raw_records_from_part
 from .csv_io import read_csv, read_csv_skip_long_lines, write_csv
-from .jdbc_io import append_rows, read_columns, read_key_column, refresh_rows
+from .jdbc_io import append_batch, append_rows, read_columns, read_key_column, refresh_rows
 from .scan import read_table, read_testdata
 
 __all__ = [
     "RAW_COLUMNS",
+    "append_batch",
     "append_rows",
     "raw_records_from_part",
     "read_columns",

@@ -7,7 +7,14 @@ never be written into code.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.materialize import materialize
+
+_BATCH = re.compile(r"[A-Za-z0-9_.:-]+")
 
 
 def read_columns(spark: SparkSession, url: str, table: str, columns: list[str],
@@ -53,6 +60,52 @@ def run_statement(spark: SparkSession, url: str, statement: str, properties: dic
         connection.close()
 
 
+def append_batch(df: DataFrame, url: str, table: str, batch: str, properties: dict[str, str] | None = None,
+                 num_partitions: int | None = None, staging: str | None = None, ledger: str = "append_ledger",
+                 statements=None) -> bool:
+    """SNK4 that may be repeated: INSERT the rows of a batch once, whatever is retried.
+
+    The rows are written to the shared folder first and numbered there, so that a
+    task that runs again inserts the same (batch, row) numbers into the staging table.
+    One transaction then moves the batch's distinct rows on, names the batch in the
+    ledger (batch, target; primary key) and empties its staging rows; a batch that
+    is in the ledger adds nothing.  ``staging`` (default ``<table>_staging``) has the
+    target's columns and ``batch_id``, ``batch_row``.  ``batch`` becomes part of SQL
+    text and is checked.  Returns whether rows were added."""
+    if not _BATCH.fullmatch(batch):
+        raise ValueError("batch: letters, digits, '_', '-', ':' and '.' only")
+    spark, staging, statements = df.sparkSession, staging or f"{table}_staging", statements or run_statements
+    done = spark.read.jdbc(url, f"(SELECT batch_id FROM {ledger} WHERE batch_id = '{batch}' AND target = '{table}') done", properties=properties or {})
+    if done.head(1):
+        return False
+    held = materialize(df, "append")
+    numbered = held.df.withColumn("batch_id", F.lit(batch)).withColumn("batch_row", F.monotonically_increasing_id())
+    append_rows(numbered, url, staging, properties, num_partitions)
+    names = ", ".join(df.columns)
+    statements(spark, url, [
+        f"INSERT INTO {ledger} (batch_id, target) VALUES ('{batch}', '{table}')",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM (SELECT DISTINCT batch_row, {names} FROM {staging} WHERE batch_id = '{batch}') fresh",
+        f"DELETE FROM {staging} WHERE batch_id = '{batch}'",
+    ], properties)
+    held.remove()
+    return True
+
+
+def run_statements(spark: SparkSession, url: str, statements: list[str], properties: dict[str, str] | None = None) -> None:
+    """SQL statements as one transaction over a connection of the driver's own (no rows pass)."""
+    props = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        props.setProperty(k, v)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().executeUpdate(statement)
+        connection.commit()
+    finally:
+        connection.close()
+
+
 def refresh_rows(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                  num_partitions: int | None = None, clear: str = "truncate") -> None:
     """SNK5: full refresh; the table keeps its definition, its rows are replaced.
