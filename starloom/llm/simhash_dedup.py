@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import dealt, written
+from ..operators.joins import hot_pairs, salted_join
+from .common import dealt, nullable_key, quoted, set_aside, written
 from .links import components, forest
 
 #: Rows of one side of a probed value that meet in one place, about.
 BLOCK = 1024
 #: Candidate pairs checked at once in a task.
 PAIRS = 2_000_000
+#: Rows of one component that one task names, about.
+ROOT_ROWS = 1_000_000
 #: Largest threshold of one partition, unless the distance needs more; wide partitions have large balls.
 MOST, MOST_WIDE = 3, 2
 
@@ -57,16 +60,15 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "__fp", shingle: int = 4) -> DataFrame:
     """Every row without its text, with the fingerprint as a signed long."""
-    keep = [c for c in docs.columns if c != text]
-    schema = StructType([*docs.select(*keep).schema.fields, StructField(out, LongType(), False)])
+    slim, back = set_aside(docs, {"text": text}, (out,))
+    schema = StructType([slim.schema["__rest"], StructField(out, LongType(), False)])
 
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
-            f = np.array([fingerprint(v.as_py(), shingle) for v in column], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)) for c in keep], pa.array(f)], [*keep, out])
+            f = np.array([fingerprint(v.as_py(), shingle) for v in batch.column("text")], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("__rest"), pa.array(f)], ["__rest", out])
 
-    return docs.select(*keep, text).mapInArrow(run, schema)
+    return back(slim.select("__rest", "text").mapInArrow(run, schema), text)
 
 
 def bit_partitions(distinct: DataFrame, parts: int) -> list[list[int]]:
@@ -314,26 +316,34 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     gives an empty result; input columns named like an added one are replaced;
     a very long text is hashed whole, 65,536 shingles at a time.
     """
-    slim = docs.drop("fingerprint", "component_id").withColumn("__th", F.xxhash64(F.col(text)))
+    slim = docs.drop("fingerprint", "component_id").withColumn("__th", F.xxhash64(quoted(text)))
     rows = written(fingerprints(slim, text, "__fp", shingle))
     each = written(rows.groupBy("__fp").agg(F.min(doc_id).alias("__min")))
     found = components(similar_links(each.select("__fp"), distance, parts))
-    named = each.join(found, each["__fp"] == found["node"], "left").select(
-        F.col("__fp").alias("__fp2"), F.coalesce("root", "__fp").alias("__root"), "__min")
-    ids = named.groupBy("__root").agg(F.min("__min").alias("component_id")).withColumnRenamed("__root", "__root2")
-    named = named.join(ids, named["__root"] == ids["__root2"]).select("__fp2", "__root", "component_id")
+    linked = each.join(found, each["__fp"] == found["node"]).select("__fp", F.col("root").alias("__root"), "__min")
+    least = linked.groupBy("__root").agg(F.min("__min").alias("component_id"))
+    # a component may hold a third of all fingerprints: a hot root is cut
+    named = salted_join(linked, least, "__root", hot=hot_pairs(linked, least, "__root", ROOT_ROWS)).select("__fp", "__root", "component_id")
+    alone = each.join(found, each["__fp"] == found["node"], "left_anti").select("__fp", F.col("__fp").alias("__root"), F.col("__min").alias("component_id"))
+    named = named.unionByName(alone).withColumnRenamed("__fp", "__fp2")
     return rows.join(named, rows["__fp"] == named["__fp2"]).withColumn(
         "fingerprint", F.lower(F.lpad(F.hex("__fp"), 16, "0"))).drop("__fp", "__fp2")
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one row of each group: the smallest id, then text hash."""
-    groups = simhash_groups(docs.select(doc_id, text), text, doc_id, **options)
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__th").alias("th")))
-    kept = groups.groupBy("__root").agg(first.alias("f")).select(F.col("f.id").alias("__id2"), F.col("f.th").alias("__th2"))
-    mine = docs.withColumn("__th", F.xxhash64(F.col(text)))
-    rows = mine.join(kept, mine[doc_id].eqNullSafe(kept["__id2"]) & (mine["__th"] == kept["__th2"]))
-    return rows.dropDuplicates([doc_id, "__th"]).select(*docs.columns)
+    """``docs`` with one row of each group: the smallest id, then text hash.
+
+    The groups decide on narrow rows.  The documents move once: rows of one id and
+    text become one, combined before they are shuffled, and meet the kept keys
+    where that shuffle has put them."""
+    own = {"__id": nullable_key(quoted(doc_id)), "__th": F.xxhash64(quoted(text))}
+    groups = simhash_groups(docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")), **options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__th").alias("th")))
+    kept = groups.groupBy("__root").agg(first.alias("f")).select(nullable_key(F.col("f.id")).alias("__id"), F.col("f.th").alias("__th"))
+    whole = F.struct(*[quoted(c).alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    once = docs.select(*[c.alias(name) for name, c in own.items()], whole.alias("__row")).dropDuplicates(["__id", "__th"])
+    rows = once.join(kept, ["__id", "__th"], "left_semi")
+    return rows.select(*[F.col("__row").getField(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -5,13 +5,14 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import embedding_dedup as emb
 from starloom.llm import links
 from starloom.llm import simhash_dedup as sim
 from starloom.llm import suffix_dedup as suf
 
-from .helpers import SCHEMA, awkward
+from .helpers import awkward, rows_of, SCHEMA
 
 
 def closure(n, pairs):
@@ -129,6 +130,24 @@ def test_keep_one(spark):
     assert kept.columns == docs.columns
     groups = sim.simhash_groups(docs.select("doc_id", "text"))
     assert kept.count() == groups.select("__root").distinct().count()
+    odd = docs.withColumns({"a.b": F.lit(1), "__row": F.lit("x"), "FINGERPRINT": F.lit(2), "node": F.lit(3)})
+    assert rows_of(sim.keep_one(odd).select(*docs.columns)) == rows_of(kept) and sim.keep_one(odd).columns == odd.columns
+
+
+def test_documents_move_once(spark):
+    """keep_one: one shuffle of the texts, combined before it; the kept keys come to it."""
+    plan = sim.keep_one(awkward(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("__row") and sum("Exchange hashpartitioning(__id" in line for line in plan.splitlines()) == 2
+    assert "partial_first(__row" in plan
+
+
+def test_a_hot_component_is_cut(spark, monkeypatch):
+    """Many fingerprints of one component: its root is dealt out, names stay the same."""
+    rows = [(i, " ".join(["same words again and again"] * 12 + [f"tail {i}"])) for i in range(300)] + [(900, "quite another text " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = rows_of(sim.query(docs))
+    monkeypatch.setattr(sim, "ROOT_ROWS", 1)
+    assert rows_of(sim.query(docs)) == want
     assert sim.query(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
