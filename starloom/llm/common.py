@@ -93,15 +93,18 @@ def set_aside(docs: DataFrame, used: dict[str, str], added: tuple[str, ...]):
     """For operators that hand rows to Python: the columns an operator uses, under
     its own names (``used``: own name -> column), and all others as one, ``__rest``,
     so that no name of theirs is ever resolved there.  The second result puts the rows
-    together again: the other columns, but for those named like an ``added`` one
-    (as Spark compares names), in order and with their names, and the added ones."""
+    together again, in order and with their names: the other columns, but for those
+    named like an ``added`` one (as Spark compares names), the used ones unless they are
+    left out, and the added ones."""
     gone = {a.lower() for a in added}
-    rest = [c for c in docs.columns if c.lower() not in gone]
-    slim = docs.select(*[quoted(c).alias(own) for own, c in used.items()],
-                       F.struct(F.lit(0).alias("_"), *[quoted(c).alias(f"_{i}") for i, c in enumerate(rest)]).alias("__rest"))
+    own = {c: name for name, c in used.items()}
+    given = [c for c in docs.columns if c in own or c.lower() not in gone]
+    place = {c: f"_{i}" for i, c in enumerate(given) if c not in own}
+    slim = docs.select(*[quoted(c).alias(name) for name, c in used.items()],
+                       F.struct(F.lit(0).alias("_"), *[quoted(c).alias(p) for c, p in place.items()]).alias("__rest"))
 
     def back(rows: DataFrame, *without: str) -> DataFrame:
-        return rows.select(*[F.col("__rest").getField(f"_{i}").alias(c) for i, c in enumerate(rest) if c not in without], *added)
+        return rows.select(*[F.col("__rest").getField(place[c]).alias(c) if c in place else F.col(own[c]).alias(c) for c in given if c not in without], *added)
 
     return slim, back
 

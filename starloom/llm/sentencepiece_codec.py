@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import shared
+from .common import set_aside, shared
 from .token_counts import MARK, check_pieces, default_model, load
 
 UNKNOWN_PENALTY = 10.0
@@ -296,7 +296,8 @@ def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scor
     """
     vocabulary = Vocabulary(model or default_model(), scores)
     given = shared(docs, vocabulary)  # one vocabulary: does not grow with the data
-    slim = docs.drop("ids", "n_tokens", "n_byte_tokens", "score", *([decoded] if decoded else []))
+    added = ("ids", "n_tokens", "n_byte_tokens", "score", *([decoded] if decoded else []))
+    slim, back_again = set_aside(docs, {"text": text}, added)
     schema = StructType([*slim.schema.fields, StructField("ids", ArrayType(IntegerType(), False)),
                          StructField("n_tokens", LongType()), StructField("n_byte_tokens", LongType()),
                          StructField("score", DoubleType())] + ([StructField(decoded, StringType())] if decoded else []))
@@ -307,7 +308,7 @@ def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scor
         width = np.array([len(x) for x in spelling])
         for batch in batches:
             done = 0
-            for texts in _groups(batch.column(batch.schema.get_field_index(text))):
+            for texts in _groups(batch.column("text")):
                 flat, sizes, score = encoder(texts)
                 offsets = np.concatenate([[0], np.cumsum(sizes)])
                 spelled = np.concatenate([[0], np.cumsum(is_byte[flat])])
@@ -317,15 +318,15 @@ def encode(docs: DataFrame, text: str = "text", model: bytes | None = None, scor
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())),
                      pa.array(sizes), pa.array(spelled[offsets[1:]] - spelled[offsets[:-1]], pa.int64()), pa.array(score, pa.float64()), *back],
-                    [*part.schema.names, "ids", "n_tokens", "n_byte_tokens", "score", *([decoded] if decoded else [])])
+                    [*part.schema.names, *added])
 
-    return slim.mapInArrow(run, schema)
+    return back_again(slim.mapInArrow(run, schema))
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: bytes | None = None) -> DataFrame:
     """Every row with the text of its token ids; null ids give null, none give ''."""
     given = shared(rows, Vocabulary(model or default_model()).spelling)
-    slim = rows.drop(out)
+    slim, back = set_aside(rows, {"ids": ids}, (out,))
     schema = StructType([*slim.schema.fields, StructField(out, StringType())])
 
     def run(batches):
@@ -334,14 +335,14 @@ def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", model: bytes
         for batch in batches:
             for at in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(at, DECODE_ROWS)
-                column = part.column(part.schema.get_field_index(ids))
+                column = part.column("ids")
                 flat = column.flatten().to_numpy(zero_copy_only=False)  # without the ids of null rows
                 size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 found = _texts(flat, np.concatenate([[0], np.cumsum(size)]), spelling, width)
                 text = [t if known else None for known, t in zip(column.is_valid().to_pylist(), found)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], [*part.schema.names, out])
 
-    return slim.mapInArrow(run, schema)
+    return back(slim.mapInArrow(run, schema))
 
 
 def query(docs: DataFrame) -> DataFrame:

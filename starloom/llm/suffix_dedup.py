@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dealt, stored
+from .common import dealt, set_aside, stored
 from .sentencepiece_codec import _groups
 
 SPAN, GRAIN = 128, 32
@@ -380,21 +380,22 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     """
     from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-    base = docs.drop("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept").withColumn("__k", F.xxhash64(F.lit("k"), F.col(doc_id), F.col(text)))
-    found = repeated_intervals(base.select(F.col("__k").alias("k"), F.col(text).alias("text")), "text", length)
+    added = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    slim, back = set_aside(docs, {"id": doc_id, "text": text}, added)
+    name = F.xxhash64(F.lit("k"), F.col("id"), F.col("text"))
+    found = repeated_intervals(slim.select(name.alias("k"), "text"), "text", length)
     per = found.groupBy(F.col("k").alias("__k2")).agg(F.collect_set(F.struct("lo", "hi")).alias("__gone"))  # within one text
-    rows = base.join(per, base["__k"] == per["__k2"], "left").drop("__k", "__k2")
-    keep = [c for c in rows.columns if c not in ("__gone", text)]
-    schema = StructType([*rows.select(*keep, text).schema.fields, StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
+    rows = slim.withColumn("__k", name).join(per, F.col("__k") == F.col("__k2"), "left")
+    names = ["id", "text", "__rest"]
+    schema = StructType([*slim.select(*names).schema.fields, StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
                          StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("kept", BinaryType())])
 
     def run(batches):
         for batch in batches:
-            names = [*keep, text]
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 out = []
-                for t, gone in zip(part.column(part.schema.get_field_index(text)), part.column(part.schema.get_field_index("__gone"))):
+                for t, gone in zip(part.column("text"), part.column("__gone")):
                     raw, left, begin, removed, spans = (t.as_py() or "").encode("utf-8", "surrogatepass"), [], 0, 0, 0
                     end = -1
                     for x, y in sorted((g["lo"], g["hi"]) for g in gone.as_py() or ()):
@@ -412,11 +413,11 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
                     out.append((len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index(c)) for c in names] + [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                    [part.column(c) for c in names] + [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                      pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.binary())],
-                    [*names, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    [*names, *added])
 
-    return rows.select(*keep, text, "__gone").mapInArrow(run, schema)
+    return back(rows.select(*names, "__gone").mapInArrow(run, schema))
 
 
 def query(docs: DataFrame) -> DataFrame:

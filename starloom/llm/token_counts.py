@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import set_aside
+
 MARK = "▁"
 #: Pre-tokens a task remembers before it starts anew (bounds its memory).
 REMEMBERED = 300_000
@@ -121,17 +123,18 @@ def token_counts(docs: DataFrame, text: str = "text", model: bytes | None = None
     model = model or default_model()
     # one vocabulary at most: its size does not grow with the data
     shared = docs.sparkSession.sparkContext.broadcast((model, proved_tokens(model)))
-    slim = docs.drop("n_tokens").withColumn("n_bytes", F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("long"))
+    slim, back = set_aside(docs, {"text": text}, ("n_bytes", "n_tokens"))
+    slim = slim.withColumn("n_bytes", F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long"))
     schema = StructType([*slim.schema.fields, StructField("n_tokens", LongType(), False)])
 
     def run(batches):
         count = counter(*shared.value)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
+            column = batch.column("text")
             n = pa.array([count(column[i].as_py()) for i in range(len(column))], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, n], [*batch.schema.names, "n_tokens"])
 
-    return slim.mapInArrow(run, schema)
+    return back(slim.mapInArrow(run, schema))
 
 
 def query(docs: DataFrame, limit: int = 4096) -> DataFrame:
