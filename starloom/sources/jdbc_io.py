@@ -8,6 +8,7 @@ never be written into code.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,11 +67,12 @@ def append_batch(df: DataFrame, url: str, table: str, batch: str, properties: di
     """SNK4 that may be repeated: INSERT the rows of a batch once, whatever is retried.
 
     The rows are written to the shared folder first and numbered there, so that a
-    task that runs again inserts the same (batch, row) numbers into the staging table.
-    One transaction then moves the batch's distinct rows on, names the batch in the
-    ledger (batch, target; primary key) and empties its staging rows; a batch that
-    is in the ledger adds nothing.  ``staging`` (default ``<table>_staging``) has the
-    target's columns and ``batch_id``, ``batch_row``.  ``batch`` becomes part of SQL
+    task that runs again inserts the same row numbers into the staging table.  One
+    transaction then names the batch in the ledger (batch, target; primary key), moves
+    the distinct rows of this attempt on and empties the batch's staging rows, those of
+    attempts that died among them; a batch that is in the ledger adds nothing.
+    ``staging`` (default ``<table>_staging``) has the target's columns and ``batch_id``,
+    ``attempt_id``, ``batch_row``.  ``batch`` becomes part of SQL
     text and is checked.  Returns whether rows were added."""
     if not _BATCH.fullmatch(batch):
         raise ValueError("batch: letters, digits, '_', '-', ':' and '.' only")
@@ -79,12 +81,13 @@ def append_batch(df: DataFrame, url: str, table: str, batch: str, properties: di
     if done.head(1):
         return False
     held = materialize(df, "append")
-    numbered = held.df.withColumn("batch_id", F.lit(batch)).withColumn("batch_row", F.monotonically_increasing_id())
+    attempt = uuid.uuid4().hex
+    numbered = held.df.withColumns({"batch_id": F.lit(batch), "attempt_id": F.lit(attempt), "batch_row": F.monotonically_increasing_id()})
     append_rows(numbered, url, staging, properties, num_partitions)
     names = ", ".join(df.columns)
     statements(spark, url, [
         f"INSERT INTO {ledger} (batch_id, target) VALUES ('{batch}', '{table}')",
-        f"INSERT INTO {table} ({names}) SELECT {names} FROM (SELECT DISTINCT batch_row, {names} FROM {staging} WHERE batch_id = '{batch}') fresh",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM (SELECT DISTINCT batch_row, {names} FROM {staging} WHERE batch_id = '{batch}' AND attempt_id = '{attempt}') fresh",
         f"DELETE FROM {staging} WHERE batch_id = '{batch}'",
     ], properties)
     held.remove()
