@@ -1,16 +1,13 @@
 """Quality rules with cross-document line frequency, in built-in functions only.
 
-Two passes.  The first hashes the normalised lines of every document and counts,
-per host and line, the distinct documents (distinct texts: exact copies count
-once).  The second pass is one projection over the documents with the lines
-above their host's limits attached: per-document rules, removed lines, verdict.
-
-How they are attached follows from the longest list of a host.  Under a share the
-lists are short: a line that ``max_share`` of the host's documents hold can occur
-at most 1/max_share times the mean number of lines.  Documents are then never
-shuffled; only line hashes are, after a map-side pre-aggregation.  Under a bare
-count a large host's list has no such bound: the occurrences then meet the list by
-host and line, and each document gets the lines it loses itself.
+The normalised lines of every document are hashed and the distinct documents
+counted per host and line (distinct texts: exact copies count once).  The
+occurrences then meet the lines over the limit by host and line, each document
+gets the hashes of the lines it loses, and one projection over the documents works
+out the rules, the text without those lines and the verdict.  The limit is a count
+that does not grow with the host, so the lines of a host are no short list, and
+there is one way at every size: all joins are by equal keys, on hashes but for the
+last, which brings the documents their own.
 """
 
 from __future__ import annotations
@@ -22,8 +19,6 @@ from ..operators.joins import maybe_broadcast
 from .common import BLANK_RUN, has_word, let, lines, normal_line, nullable_key, words, written
 
 WINDOW = 8
-#: Lines of one host that every document of it is compared with, at most.
-LIST = 256
 
 
 def _repeat_positions(hashes: Column) -> Column:
@@ -84,9 +79,9 @@ def _line_hashes(docs: DataFrame, host: str, text: str, doc_id: str) -> DataFram
 
 
 def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
-                   max_share: float = 0.1, min_docs: int = 10) -> DataFrame:
+                   max_share: float = 0.0, min_docs: int = 10) -> DataFrame:
     """Per host (``__host``) its lines (``__h``) held by at least ``min_docs``
-    distinct documents and over ``max_share`` of them; ``__first`` is the smallest
+    distinct documents and, if asked, over ``max_share`` of them; ``__first`` is the smallest
     (doc_id, text hash) that has the line."""
     first = F.min(F.struct("__id", "__th"))
     # once per distinct text, then per line: both steps combine before they shuffle
@@ -100,14 +95,6 @@ def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text", do
     return counts.select("__host", "__h", "__first")
 
 
-def _with_host_lists(docs: DataFrame, over: DataFrame, host: str, n_bytes: int) -> DataFrame:
-    """``docs`` with the array ``__over`` of (h, first) of their host."""
-    lists = over.groupBy("__host").agg(F.collect_list(F.struct(F.col("__h").alias("h"), F.col("__first").alias("first"))).alias("__over"))
-    marked = docs.withColumn("__key", nullable_key(F.col(host)))
-    lists = maybe_broadcast(lists.withColumnRenamed("__host", "__key2"), n_bytes)
-    return marked.join(lists, marked["__key"] == lists["__key2"], "left").drop("__key", "__key2")
-
-
 def _with_own_lines(docs: DataFrame, over: DataFrame, n: int, host: str, text: str, doc_id: str) -> DataFrame:
     """``docs`` with the array ``__over`` of the line hashes that they lose."""
     over = maybe_broadcast(over.withColumnsRenamed({"__host": "__host2", "__h": "__h2"}), n * 120)
@@ -122,7 +109,7 @@ def _with_own_lines(docs: DataFrame, over: DataFrame, n: int, host: str, text: s
 
 
 def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc_id: str = "doc_id",
-                  max_share: float = 0.1, min_docs: int = 10, max_removed: float = 0.5,
+                  max_share: float = 0.0, min_docs: int = 10, max_removed: float = 0.5,
                   min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
     """Every row of ``docs`` with the rule signals, the cleaned text and a verdict.
 
@@ -131,8 +118,9 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     n_removed_lines, n_removed_words, clean_text, kept.
 
     A line over its host's limits (see :func:`frequent_lines`) is removed from
-    every document of the host but the first that holds it.  With ``max_share`` 0
-    the limit is ``min_docs`` alone and does not grow with the host.  A document is
+    every document of the host but the first that holds it.  The limit is
+    ``min_docs`` alone and does not grow with the host, unless ``max_share`` asks
+    for a share besides, under which large hosts keep boilerplate.  A document is
     depleted if over ``max_removed`` of its words went that way; ``kept`` is
     false for it and for a base failure.
 
@@ -143,18 +131,11 @@ def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", doc
     gives an empty result.  One very long text is one row's arrays.
     """
     over = written(frequent_lines(docs, host, text, doc_id, max_share, min_docs))
-    per_host = over.groupBy("__host").agg(F.count(F.lit(1)).alias("n"))
-    hosts, n, longest = per_host.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    short = longest <= LIST
-    rows = (_with_host_lists(docs, over, host, n * 48 + hosts * 64) if short
-            else _with_own_lines(docs, over, n, host, text, doc_id))
+    rows = _with_own_lines(docs, over, over.count(), host, text, doc_id)
     t = F.col(text)
-    me = F.struct(F.col(doc_id).cast("string").alias("__id"), F.xxhash64(t).alias("__th"))
 
     def strip(over_me: Column) -> Column:
-        mine = lambda l: let(_line_hash(l), lambda h: F.exists(  # noqa: E731,E741
-            over_me, lambda o: (o["h"] == h) & ~o["first"].eqNullSafe(me)) if short else F.array_contains(over_me, h))
-        gone = lambda l: has_word(l) & mine(l)  # noqa: E731,E741
+        gone = lambda l: has_word(l) & F.array_contains(over_me, _line_hash(l))  # noqa: E731,E741
         return let(lines(t), lambda all_lines: let(
             F.filter(all_lines, gone), lambda out: F.struct(
                 F.size(out).cast("long").alias("lines"),
@@ -189,8 +170,7 @@ dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) c
 rep AS (SELECT rid, count(DISTINCT p) n_repeat FROM (SELECT rid, unnest(range(i, i + 8)) p FROM dup) GROUP BY 1),
 l AS (SELECT rid, doc_id, host, t, x line, lower(regexp_replace(trim(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g')) nl FROM (SELECT rid, doc_id, host, t, unnest(ls) x FROM w)),
 f AS (SELECT host, nl, count(DISTINCT t) n, min(doc_id::VARCHAR) first_id FROM l GROUP BY 1, 2),
-h AS (SELECT host, count(DISTINCT t) n_all FROM d GROUP BY 1),
-o AS (SELECT host, nl, first_id FROM f JOIN h USING (host) WHERE n >= 10 AND n > 0.1 * n_all),
+o AS (SELECT host, nl, first_id FROM f WHERE n >= 10),
 r AS (SELECT rid, count(*) n_removed_lines, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) n_removed_words FROM l JOIN o USING (host, nl) WHERE l.doc_id::VARCHAR IS DISTINCT FROM o.first_id GROUP BY 1),
 s AS (SELECT doc_id, len(ws)::BIGINT n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT word_chars,
  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT n_dup_lines,

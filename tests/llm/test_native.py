@@ -94,8 +94,7 @@ def _boilerplate_of_a_large_host(spark, n_lines):
 @pytest.mark.parametrize("n_lines", [40, 400], ids=["short lists", "long lists"])
 def test_quality_count_does_not_grow_with_the_host(spark, n_lines):
     rows, docs = _boilerplate_of_a_large_host(spark, n_lines)
-    assert (n_lines > quality_rules.LIST) == (n_lines == 400)
-    out = quality_rules.quality_rules(docs, max_share=0.0).collect()
+    out = quality_rules.quality_rules(docs).collect()
     assert len(out) == len(rows)
     first = {}  # the smallest id, as text
     for i, text, source in rows:

@@ -71,8 +71,10 @@ def test_registered():
 
     found, sql = entry.queries(), entry.oracle_sql()
     for n, name in enumerate(["op1_sentencepiece_codec", "op2_license_scan", "op3_token_counts", "op4_embedding_dedup", "op5_mixing",
-                              "op6_quality_rules", "op7_suffix_dedup", "op8_language_id", "op9_simhash_dedup", "op10_line_dedup"], 1):
+                              "op6_quality_rules", "op7_suffix_dedup", "op8_language_id", "op9_simhash_dedup", "op10_line_dedup",
+                              "op11_quality_classifier", "op12_merkle_manifest", "op13_source_divergence"], 1):
         assert name in found and name.startswith(f"op{n}_")
     assert "pipeline" in found and set(sql) <= set(found)
-    assert set(queries.oracle_sql()) == {"op2_license_scan", "op4_embedding_dedup", "op5_mixing", "op6_quality_rules", "op10_line_dedup"}
+    assert set(queries.oracle_sql()) == {"op2_license_scan", "op4_embedding_dedup", "op5_mixing", "op6_quality_rules", "op10_line_dedup",
+                                         "op12_merkle_manifest", "op13_source_divergence"}
     assert simhash_dedup.BLOCK > 0
