@@ -15,7 +15,7 @@ from starloom.llm.mixing import copies, mix
 from starloom.llm.quality_rules import quality_rules
 from starloom.llm.sentencepiece_codec import encode
 from starloom.llm.simhash_dedup import keep_one
-from starloom.session import scratch_path
+from starloom.session import remove_path, scratch_path
 
 
 _OWN = ("doc_id", "text", "source", "n_chars")
@@ -40,8 +40,8 @@ def _with_text(rows: DataFrame, clean: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that ten documents of their host hold."""
-    # a bare count: under a share, large hosts keep their boilerplate.  The row number keeps the filter above the rules: below, Spark would work them out twice
-    rows = quality_rules(_packed(docs), max_share=0.0).withColumn("__row", F.monotonically_increasing_id())
+    # the row number keeps the filter above the rules: below, Spark would work them out twice
+    rows = quality_rules(_packed(docs)).withColumn("__row", F.monotonically_increasing_id())
     rows = rows.filter(F.col("kept") & (F.col("__row") >= 0))
     return _unpacked(_with_text(rows, "clean_text"), docs)
 
@@ -82,11 +82,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's rows written before the next reads them."""
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             path = scratch_path(spark, f"pipeline-{i}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            if before:
+                remove_path(spark, before)  # the next one stands
+            before = path
     return docs
