@@ -68,6 +68,41 @@ def test_license_filters_lose_nothing(spark):
     assert sorted(int(r["__id"]) for r in out) == list(range(need, len(words) + 1))
 
 
+WRAPPED = {
+    "mit": """Some project (c) 2020
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction""",
+    "bsd-3-clause": """All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "apache-2.0": """ * Licensed to someone; you may not use this file
+ * except in compliance with the License. You may
+ * obtain a copy of the License
+ * at""",
+    "mpl-2.0": "This Source Code Form is subject\nto the terms of\nthe Mozilla\nPublic License, v.\n2.0. If a copy",
+}
+
+
+def test_wrapped_notices_are_found(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(WRAPPED.values())]
+    rows += [(100 + i, t.replace("\n", "\n\n")) for i, t in enumerate(WRAPPED.values())]  # no run crosses an empty line
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.query(docs).collect()}
+    for i, label in enumerate(WRAPPED):
+        assert out[i][0] == label and out[i][1] >= 0.8 and out[100 + i] == ("", 0.0)
+    assert rows_of(license_scan.query(docs)) == by_sql(docs, "documents", license_scan.sql(), str(tmp_path / "d"))
+
+
+def test_a_notice_needs_its_own_words(spark):
+    rows = [(0, "Released under the Apache License"), (1, "Licensed under CC BY 4.0"), (2, "This work is licensed under the GNU General Public License, version 2"),
+            (3, "Released under the MIT License")]
+    out = {r["doc_id"]: r["labels"] for r in license_scan.query(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {0: "apache", 1: "cc-by", 2: "gpl", 3: "mit"}
+
+
 def test_quality_depleted_and_host_limits(spark):
     common = " ".join(f"c{j}" for j in range(30))
     own = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
