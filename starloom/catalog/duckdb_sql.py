@@ -380,6 +380,22 @@ JOIN (SELECT *, {first} AS old FROM cleaned) c ON c.title = b.book_title""")
   CAST(sum(r.num_ratings) AS BIGINT) AS sum_num_ratings, CAST(sum(r.score) AS BIGINT) AS sum_score
 FROM books b JOIN ratings r ON b.book_title = r.book_title GROUP BY 1""")
     q["bridge_expanded"] = with_ctes(["book_ratings"], "SELECT * FROM book_ratings")
+    whole = """'{"id":' || p_partkey || ',"name":"' || p_name || '","size":' || CASE WHEN p_partkey % 5 = 0 THEN '"' || p_size || '"'
+  WHEN p_partkey % 7 = 0 THEN p_size || '.5' WHEN p_partkey % 11 = 0 THEN 'null' ELSE p_size::VARCHAR END"""
+    q["scan_variant_documents"] = f"""SELECT CASE WHEN ok THEN p_partkey END AS id, CASE WHEN ok THEN p_name END AS name,
+  CASE WHEN ok AND p_partkey % 5 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 11 <> 0 THEN p_size END AS size,
+  CASE WHEN ok THEN NULLIF(concat_ws(';', CASE WHEN p_partkey % 4 = 0 THEN 'brand={{"code":"' || p_brand || '"}}' END,
+    CASE WHEN p_partkey % 5 = 0 THEN 'size="' || p_size || '"' WHEN p_partkey % 7 = 0 THEN 'size=' || p_size || '.5' END,
+    CASE WHEN p_partkey % 3 = 0 THEN 'tags=["' || p_type || '"]' END), '') END AS rescued,
+  CASE WHEN NOT ok THEN substr({whole}, 1, 10) END AS malformed
+FROM (SELECT *, p_partkey % 41 <> 0 AS ok FROM part)"""
+    q["schema_drift_report"] = """SELECT field, kind, count(*) AS documents,
+  CASE field WHEN 'id' THEN 'BIGINT' WHEN 'name' THEN 'STRING' WHEN 'size' THEN 'STRING' WHEN 'brand' THEN 'OBJECT' WHEN 'tags' THEN 'ARRAY' ELSE 'MALFORMED' END AS merged
+FROM (SELECT unnest(CASE WHEN p_partkey % 41 = 0 THEN [NULL] ELSE ['id', 'name', 'size', CASE WHEN p_partkey % 4 = 0 THEN 'brand' ELSE '-' END,
+    CASE WHEN p_partkey % 3 = 0 THEN 'tags' ELSE '-' END] END) AS field,
+  unnest(CASE WHEN p_partkey % 41 = 0 THEN ['MALFORMED'] ELSE ['BIGINT', 'STRING', CASE WHEN p_partkey % 5 = 0 THEN 'STRING' WHEN p_partkey % 7 = 0 THEN 'DECIMAL'
+    WHEN p_partkey % 11 = 0 THEN 'VOID' ELSE 'BIGINT' END, 'OBJECT', 'ARRAY'] END) AS kind FROM part) x
+WHERE field IS NULL OR field <> '-' GROUP BY 1, 2"""
     q["clean_books"] = with_ctes(["books"], f"SELECT {', '.join(BOOK_COLS)} FROM books")
     q["dim_authors"] = with_ctes(["authors"], "SELECT * FROM authors")
     q["dim_genres"] = with_ctes(["genres"], "SELECT * FROM genres")

@@ -40,11 +40,14 @@ from ..plans.star import Star, books_rows, build_authors, build_genres, genre_na
 from ..plans.title_blocks import TitleBlocks
 from ..session import scratch_path
 from ..sources import (
+    drift_report,
+    json_documents_from_part,
     raw_records_from_part,
     read_csv,
     read_csv_skip_long_lines,
     read_table,
     read_testdata,
+    scan_documents,
     write_csv,
 )
 from ..streaming import clean_stream_once, clean_stream_to_table
@@ -87,6 +90,19 @@ def q_scan_project_rename(spark, sf_dir):
     )
 
 
+def q_scan_variant_documents(spark, sf_dir):
+    """SRC1 by a pinned schema over documents that drift: what does not fit is rescued."""
+    docs = json_documents_from_part(read_testdata(spark, sf_dir, "part"))
+    rows = scan_documents(docs, "body", "id long, name string, size int")
+    shown = F.transform(F.array_sort(F.map_entries("_rescued")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.select("id", "name", "size", F.array_join(shown, ";").alias("rescued"), F.col("_malformed").alias("malformed"))
+
+
+def q_schema_drift_report(spark, sf_dir):
+    """DQ2 over documents: the kinds of values of every field, and the kind that holds them."""
+    return drift_report(json_documents_from_part(read_testdata(spark, sf_dir, "part")), "body")
+
+
 def q_strip_thousands_cast(spark, sf_dir):
     return raw(spark, sf_dir).select(
         F.col("_id").alias("record_id"),

@@ -1,7 +1,8 @@
 """Sources and sinks: table scans, CSV, JDBC, and the raw-record adapter."""
 
-from .adapter import RAW_COLUMNS, raw_records_from_part
+from .adapter import RAW_COLUMNS, json_documents_from_part, raw_records_from_part
 from .csv_io import read_csv, read_csv_skip_long_lines, write_csv
+from .documents import drift_report, scan_documents
 from .jdbc_io import append_batch, append_rows, read_columns, read_key_column, refresh_rows
 from .scan import read_table, read_testdata
 
@@ -9,6 +10,8 @@ __all__ = [
     "RAW_COLUMNS",
     "append_batch",
     "append_rows",
+    "drift_report",
+    "json_documents_from_part",
     "raw_records_from_part",
     "read_columns",
     "read_csv",
@@ -17,5 +20,6 @@ __all__ = [
     "read_table",
     "read_testdata",
     "refresh_rows",
+    "scan_documents",
     "write_csv",
 ]

@@ -81,3 +81,16 @@ def raw_records_from_part(part: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.replace(name, F.lit(" "), F.lit(", ")), F.lit(", "), ptype))
         .alias("Genres"),
     )
+
+
+def json_documents_from_part(part: DataFrame) -> DataFrame:
+    """(part_id, body): a JSON document per part row, as a store whose writers changed over
+    time holds them: sizes as numbers, as text, with a fraction or null, fields that only
+    some documents have, and one document in 41 cut off."""
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    sized = (F.when(k % 5 == 0, F.concat(F.lit('"'), size, F.lit('"'))).when(k % 7 == 0, F.concat(size, F.lit(".5")))
+             .when(k % 11 == 0, F.lit("null")).otherwise(size))
+    brand = F.when(k % 4 == 0, F.concat(F.lit(',"brand":{"code":"'), F.col("p_brand"), F.lit('"}'))).otherwise("")
+    tags = F.when(k % 3 == 0, F.concat(F.lit(',"tags":["'), F.col("p_type"), F.lit('"]'))).otherwise("")
+    whole = F.concat(F.lit('{"id":'), k.cast("string"), F.lit(',"name":"'), F.col("p_name"), F.lit('","size":'), sized, brand, tags, F.lit("}"))
+    return part.select(k.alias("part_id"), F.when(k % 41 == 0, F.substring(whole, 1, 10)).otherwise(whole).alias("body"))
