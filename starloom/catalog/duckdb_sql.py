@@ -472,6 +472,11 @@ WHERE strpos(COALESCE("_id", '') || COALESCE("Title", '') || COALESCE("Genres",
                "genres": "genres", "ratings": "ratings", "reviews": "reviews"}
     q["export_star"] = with_ctes(list(counted.values()), "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, 1::BIGINT AS files FROM {t}" for name, t in counted.items()))
+    columns = {"authors": ["author_id", "author_name"], "book_genres": ["book_id", "genre_id"], "book_ratings": ["book_id", "rating_id"], "books": bf_cols,
+               "genres": ["genre_id", "genre_name"], "ratings": RATING_COLS, "reviews": ["review_id", "book_id", "reviews", "score"]}
+    q["export_census"] = with_ctes(list(counted.values()), "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count FROM {t}"
+        for name, t in counted.items() for c in columns[name]))
     q["load_authors"] = with_ctes(["authors"], "SELECT author_id, author_name FROM authors")
     sel2 = ", ".join(f"NULLIF({c}, '') AS {c}" if c in str_cols else c for c in bf_cols if c != "book_id")
     spoiled = ("CASE WHEN book_id % 13 = 0 THEN TRY_CAST('2024-02-3' || substr(CAST(publish_date AS VARCHAR), 10, 1) AS DATE) "

@@ -521,6 +521,14 @@ def q_export_star(spark, sf_dir):
     return out_df
 
 
+def q_export_census(spark, sf_dir):
+    """DQ1, AGG5 in the write pass: rows and nulls per column of every exported table."""
+    census: dict = {}
+    publish_star(star(spark, sf_dir), scratch_path(spark, "export-census"), census=census)
+    rows = [(table, name[6:], found["rows"], n) for table, found in census.items() for name, n in found.items() if name != "rows"]
+    return spark.createDataFrame(rows, "table_name string, column_name string, row_count long, null_count long")
+
+
 # --- loads (prepared rows; the JDBC write itself is a thin sink) ------------------------------------
 
 def q_load_authors(spark, sf_dir):

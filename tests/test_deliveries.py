@@ -244,5 +244,21 @@ def test_interrupted_export_leaves_the_old_tables(spark, monkeypatch):
     assert {name: rows_of(df) for name, df in read_published(spark, out, schemas).items()} == before
 
 
+def test_census_is_taken_while_writing(spark):
+    """No job but the writes: as many jobs with the census as without."""
+    s = Star(clean_records(raw(spark)))
+    star_tables(s)
+    jobs = []
+    for census in (None, {}, None, {}):
+        group = f"census-{len(jobs)}"
+        spark.sparkContext.setJobGroup(group, group)
+        publish_star(s, scratch_path(spark, "census"), census=census)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[2] == jobs[3] > 0
+    assert census["authors"]["rows"] == s.authors.rows and census["books"]["rows"] == s.books.rows
+    assert census["books"]["nulls_publish_date"] == s.books.df.filter("publish_date is null").count()
+
+
 def test_nothing_published(spark):
     assert Publication(spark, scratch_path(spark, "nothing")).current() == {}
