@@ -463,7 +463,7 @@ FROM ratings GROUP BY book_title""")
     bf_cols = ["book_id", "book_title", "author_id", "num_pages", "cover_type", "publish_date",
                "description", "genre_ids"]
     sel = ", ".join(f"NULLIF({c}, '') AS {c}" if c in str_cols else c for c in bf_cols)
-    q["csv_roundtrip"] = with_ctes(["books_final"], f"SELECT {sel} FROM books_final")
+    q["csv_split_roundtrip"] = q["csv_roundtrip"] = with_ctes(["books_final"], f"SELECT {sel} FROM books_final")
     q["csv_skip_bad"] = with_ctes(["raw"], """SELECT NULLIF(COALESCE("_id", ''), '') AS record_id,
   NULLIF(COALESCE("Title", ''), '') AS title, NULLIF(COALESCE("Genres", ''), '') AS genres
 FROM raw

@@ -45,6 +45,7 @@ from ..sources import (
     raw_records_from_part,
     read_csv,
     read_csv_skip_long_lines,
+    read_csv_split,
     read_table,
     read_testdata,
     scan_documents,
@@ -488,6 +489,14 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, _books_csv(spark, sf_dir), BOOKS_CSV_SCHEMA)
 
 
+def q_csv_split_roundtrip(spark, sf_dir):
+    """SRC3 at size: one large file whose values hold line ends and quotes, read in splits
+    by several tasks."""
+    path = scratch_path(spark, "books-csv-one")
+    write_csv(views.books_final(star(spark, sf_dir)), path, quoting="exact", single_file=True)
+    return read_csv_split(spark, path, BOOKS_CSV_SCHEMA)
+
+
 SKIP_SCHEMA = T.StructType([T.StructField("record_id", T.StringType()), T.StructField("title", T.StringType()),
                             T.StructField("genres", T.StringType())])
 
