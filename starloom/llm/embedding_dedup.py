@@ -1,15 +1,20 @@
 """Embedding near-dedup by dual traversal of cover trees.
 
-Unit vectors u, v have cosine >= t exactly if |u - v| <= sqrt(2 - 2t).  The top
-of the tree is a net of pivots in farthest-point order (its first k pivots are a
-net by themselves, so a label uses as many as its size needs); each vector lives
-in the cell of its nearest pivot, and travels to another cell only if that
-cell's covering radius allows a link.  Cells of unbounded size are cut into
-blocks by hash.  Each pair of blocks meets in one task, which builds a cover
-tree per block (nested levels, halving radii) and walks both at once, dropping
-node pairs farther apart than their covering radii plus the link distance.
-What is left is verified by cosine in double precision.  A task returns counts
-and a spanning forest: rows as vectors, not as links.
+Unit vectors u, v have cosine >= t exactly if |u - v| <= sqrt(2 - 2t).  The upper
+levels of the tree are distributed.  A cell, at first a label, that holds more than a
+block is split by a net of its own: pivots in farthest-point order over a bounded
+sample, until their covering radius is half the cell's.  Each resident moves to the
+cell of its nearest pivot and visits later siblings whose covering radius allows a
+link; a visitor of the cell goes on to all children it may link with.  So every pair
+that may link meets in one cell, once, and the copies of a vector depend on how many
+cells lie within the link distance, not on how many there are.  Cells already as
+narrow as the link distance are not split further but cut into blocks by hash.
+
+Below, residents and visitors of a cell meet in tasks of two blocks, which build a
+cover tree per block (nested levels, halving radii) and walk both at once, dropping
+node pairs farther apart than their covering radii plus the link distance.  What
+is left is verified by cosine in double precision.  A task returns counts and a
+spanning forest: rows as vectors, not as links.
 """
 
 from __future__ import annotations
@@ -20,13 +25,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, StructType
 
-from .common import broadcast_if_small, nullable_key, written
+from ..operators.joins import hot_pairs, salted_join
+from .common import broadcast_if_small, nullable_key, stored, written
 from .links import components, forest
 
-#: Vectors of a block, about; pivots of the net; vectors of the sample it is chosen from.
-BLOCK, PIVOTS, SAMPLE = 1024, 64, 4096
+#: Vectors of a block, about; pivots of a cell's net, at most; vectors of the sample it is chosen from, about.
+BLOCK, PIVOTS, SAMPLE = 1024, 32, 2048
+#: Levels of cells, at most: what is then still larger than a block is cut by hash.
+LEVELS = 40
+#: Rows of one component that one task names, about.
+ROOT_ROWS = 1_000_000
 LEAF = 8
 _SLACK = 1e-9
 
@@ -136,13 +145,15 @@ def links_between(va: np.ndarray, vb: np.ndarray | None, threshold: float):
 
 
 def pivot_net(sample: np.ndarray, k: int) -> np.ndarray:
-    """Up to k sample vectors in farthest-point order."""
+    """Up to k vectors of the sample in farthest-point order, fewer if half the radius
+    around the first is covered before."""
     if not len(sample):
         return sample
-    chosen, far = [0], np.full(len(sample), np.inf)
-    while len(chosen) < min(k, len(sample)):
-        far = np.minimum(far, 2 - 2 * sample @ sample[chosen[-1]])
+    chosen, far = [0], 2 - 2 * sample @ sample[0]
+    enough = far.max() / 4  # squared distances
+    while len(chosen) < min(k, len(sample)) and (len(chosen) < 2 or far.max() > enough):
         chosen.append(int(far.argmax()))
+        far = np.minimum(far, 2 - 2 * sample @ sample[chosen[-1]])
     return sample[chosen]
 
 
@@ -153,6 +164,74 @@ def _matrix(column) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
+def _unit(column) -> np.ndarray:
+    x = _matrix(column)
+    return x / np.linalg.norm(x, axis=1)[:, None] if len(x) else x
+
+
+def _split(cells: DataFrame, large: DataFrame, reach: float, pivots: int, sample: int, level: int) -> DataFrame:
+    """The rows of the children of the cells ``large`` (c2, n, salts), and whether a child
+    is ``narrow``: within the link distance as a whole."""
+    rows = cells.join(broadcast_if_small(large, 64), F.col("cell") == F.col("c2"))
+    steps = 1_000_000
+    drawn = rows.filter("home").filter(F.pmod(F.xxhash64(F.lit(level), "node"), F.lit(steps)) < F.ceil(steps * F.lit(sample) / F.col("n")))
+
+    def net(key, table):
+        """A cell's pivots, one copy for each of its salts."""
+        order = np.argsort(table.column("node").to_numpy())
+        found = pivot_net(_unit(table.column("emb"))[order], pivots)
+        salts = table.column("salts")[0].as_py()
+        flat = pa.array([found.ravel().tolist()] * salts, pa.list_(pa.float64()))
+        return pa.table({"cell": [key[0].as_py()] * salts, "salt": pa.array(range(salts), pa.int64()), "net": flat})
+
+    nets = drawn.select("cell", "node", "emb", "salts").groupBy("cell").applyInArrow(net, "cell string, salt long, net array<double>")
+    dealt_rows = rows.select("cell", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), "node", "w", "emb", "home")
+
+    def place(key, table, nets):
+        """Distances to the cell's pivots; the nearest is a resident's child.  A cell of which
+        nothing was drawn has one child, itself."""
+        x = _unit(table.column("emb"))
+        if nets.num_rows and len(x):
+            p = np.array(nets.column("net")[0].as_py()).reshape(-1, x.shape[1])
+            d = np.sqrt(np.maximum(0.0, 2 - 2 * x @ p.T))
+        else:
+            d = np.full((len(x), 1), 2.0)
+        child = np.where(table.column("home").to_numpy(zero_copy_only=False), d.argmin(1) if len(x) else 0, -1)
+        return table.drop_columns(["salt"]).append_column("child", pa.array(child, pa.int32())).append_column(
+            "far", pa.array(list(d), pa.list_(pa.float64())))
+
+    placed = stored(dealt_rows.groupBy("cell", "salt").cogroup(nets.groupBy("cell", "salt")).applyInArrow(
+        place, f"cell string, node long, w long, emb {cells.schema['emb'].dataType.simpleString()}, home boolean, child int, far array<double>"))
+    radii = placed.filter("home").groupBy("cell", "child").agg(F.max(F.get("far", F.col("child"))).alias("r")).groupBy(F.col("cell").alias("c2")).agg(
+        F.collect_list(F.struct("child", "r")).alias("kids"))  # at most ``pivots`` of a cell
+    met = placed.join(broadcast_if_small(stored(radii), 32 + 16 * pivots), F.col("cell") == F.col("c2"))
+    # residents visit later siblings only, so that a pair meets once; visitors go on to all
+    open_to = F.filter("kids", lambda c: (c["child"] == F.col("child")) | ((~F.col("home") | (c["child"] > F.col("child")))
+                                                                            & (F.get("far", c["child"]) <= c["r"] + F.lit(reach))))
+    met = met.withColumn("to", F.explode(open_to))
+    return met.select(F.concat("cell", F.lit("."), F.col("to.child").cast("string")).alias("cell"), "node", "w", "emb",
+                      (F.col("home") & (F.col("to.child") == F.col("child"))).alias("home"), (F.col("to.r") <= reach / 2).alias("narrow"))
+
+
+def cells_of(reps: DataFrame, reach: float, block: int, pivots: int, sample: int) -> DataFrame:
+    """(cell, node, w, emb, home): the rows of all cells that are not split further.  Every
+    two vectors of a grp within ``reach`` stand in one cell, once, at least one at home."""
+    at = stored(reps.select(F.col("grp").alias("cell"), "node", "w", "emb", F.lit(True).alias("home")))
+    leaves = []
+    for level in range(LEVELS):
+        sizes = at.groupBy(F.col("cell").alias("c2")).agg(F.count_if("home").alias("n"), F.count(F.lit(1)).alias("all"))
+        large = stored(sizes.filter(F.col("n") > block).select("c2", "n", F.ceil(F.col("all") / (8 * block)).alias("salts")))
+        if not large.head(1):
+            break
+        leaves.append(at.join(broadcast_if_small(large.select("c2"), 64), F.col("cell") == F.col("c2"), "left_anti"))
+        below = stored(_split(at, large, reach, pivots, sample, level))
+        leaves.append(below.filter("narrow").drop("narrow"))
+        at = below.filter("NOT narrow").drop("narrow")
+    for leaf in leaves:
+        at = at.unionByName(leaf)
+    return at
+
+
 def near_links(reps: DataFrame, threshold: float = 0.98, block: int = BLOCK, pivots: int = PIVOTS,
                sample: int = SAMPLE) -> DataFrame:
     """(node, links, up): per vector and task the weight of what it links to, and
@@ -161,50 +240,14 @@ def near_links(reps: DataFrame, threshold: float = 0.98, block: int = BLOCK, piv
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     reach = math.sqrt(2 - 2 * threshold) + 1e-4
-    dim = F.size("emb")
-    first = reps.orderBy(F.xxhash64("node"), "node").limit(sample).select("emb").collect()  # bounded sample
-    rows = [np.array(r["emb"], np.float64) for r in first]
-    rows = [r / np.linalg.norm(r) for r in rows if len(r) == len(rows[0])]
-    net = pivot_net(np.array(rows), pivots) if rows else np.zeros((0, 0))
-    shared = reps.sparkSession.sparkContext.broadcast(net)
-
-    counts = written(reps.groupBy(F.col("grp").alias("g2")).agg(F.count(F.lit(1)).alias("n")))
-    cells = F.when(dim == net.shape[1] if len(rows) else F.lit(False), F.least(F.lit(max(1, len(net))), F.ceil(F.col("n") / block))).otherwise(1)
-    sized = reps.join(broadcast_if_small(counts, 64), F.col("grp") == F.col("g2")).withColumn("k", cells.cast("int")).drop("g2", "n")
-    schema = StructType([*sized.schema.fields, StructField("cell", IntegerType()), StructField("far", ArrayType(FloatType()))])
-
-    def place(batches):
-        """Distances to the label's pivots; the nearest is home."""
-        net = shared.value
-        for batch in batches:
-            k = batch.column(batch.schema.get_field_index("k")).to_numpy(zero_copy_only=False)
-            emb = batch.column(batch.schema.get_field_index("emb"))
-            cell, far = np.zeros(len(k), np.int32), [[0.0]] * len(k)
-            many = np.flatnonzero(k > 1)
-            if len(many):
-                x = _matrix(emb.take(pa.array(many)))
-                x /= np.linalg.norm(x, axis=1)[:, None]
-                d = np.sqrt(np.maximum(0.0, 2 - 2 * x @ net.T))
-                d[np.arange(d.shape[1])[None, :] >= k[many][:, None]] = np.inf
-                cell[many] = d.argmin(1)
-                for at, row in zip(many.tolist(), d):
-                    far[at] = row[:k[at]].tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell, pa.int32()), pa.array(far, pa.list_(pa.float32()))], [*batch.schema.names, "cell", "far"])
-
-    homes = written(sized.mapInArrow(place, schema))
-    salts = F.ceil(F.col("n") / (2 * block)).cast("int")
-    # at most ``pivots`` entries per label
-    lists = written(homes.groupBy("grp", "cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.get("far", F.col("cell"))).alias("r"))
-                    .groupBy(F.col("grp").alias("g2")).agg(F.collect_list(F.struct("cell", "r", salts.alias("s"))).alias("cells")))
-    met = homes.join(broadcast_if_small(lists, 32 + 16 * pivots), F.col("grp") == F.col("g2")).drop("g2")
-    own = F.element_at(F.filter("cells", lambda c: c["cell"] == F.col("cell")), 1)
-    met = met.withColumn("mine", F.struct("cell", F.pmod(F.xxhash64("node"), own["s"]).cast("int").alias("salt")))
-    open_to = F.filter("cells", lambda c: (c["cell"] == F.col("cell")) | (F.get("far", c["cell"]) <= c["r"] + reach))
-    others = F.flatten(F.transform(open_to, lambda c: F.transform(
-        F.sequence(F.lit(0), c["s"] - 1), lambda s: F.struct(c["cell"].alias("cell"), s.cast("int").alias("salt")))))
-    met = met.withColumn("other", F.explode(others))
-    met = met.select("grp", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
+    rows = written(cells_of(reps, reach, block, pivots, sample))
+    # residents in blocks 0 to m - 1, visitors in blocks m to m + k - 1
+    sizes = rows.groupBy(F.col("cell").alias("c2")).agg(F.ceil(F.count_if("home") / block).alias("m"), F.ceil(F.count_if(~F.col("home")) / (4 * block)).alias("k"))
+    met = rows.join(broadcast_if_small(stored(sizes), 64), F.col("cell") == F.col("c2")).filter(F.col("m") > 0)
+    own = F.when(F.col("home"), F.pmod(F.xxhash64("node"), F.col("m"))).otherwise(F.col("m") + F.pmod(F.xxhash64("node"), F.greatest("k", F.lit(1))))
+    upto = F.when(F.col("home"), F.col("m") + F.col("k")).otherwise(F.col("m")) - 1
+    met = met.withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), upto)))
+    met = met.select(F.col("cell").alias("grp"), F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"),
                      F.when(F.col("mine") <= F.col("other"), 0).otherwise(1).alias("side"), "node", "w", "emb")
 
     def join(table: pa.Table) -> pa.Table:
@@ -253,8 +296,10 @@ def embedding_dedup(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     each = reps.select("node", "w", "low").join(sums, F.col("node") == F.col("n2"), "left").join(roots, F.col("node") == F.col("n3"), "left")
     each = each.select("node", "low", F.coalesce("root", "node").alias("root"),
                        (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("__links"))
-    lows = each.groupBy(F.col("root").alias("r2")).agg(F.min("low").alias("__low"))
-    each = each.join(lows, F.col("root") == F.col("r2")).select(F.col("node").alias("__n4"), "__links", "__low")
+    each = written(each)
+    lows = each.groupBy("root").agg(F.min("low").alias("__low"))
+    # a component may hold a third of all vectors: a hot root is cut
+    each = salted_join(each, lows, "root", hot=hot_pairs(each, lows, "root", ROOT_ROWS)).select(F.col("node").alias("__n4"), "__links", "__low")
     rows = slim.join(each, F.col("__node") == F.col("__n4"), "left")
     component = F.when(F.col("__n4").isNull(), F.col(vec_id)).otherwise(F.col("__low"))
     return rows.withColumns({"n_links": F.coalesce("__links", F.lit(0)).cast("long"), "component_id": component}).withColumn(

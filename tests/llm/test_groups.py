@@ -199,6 +199,45 @@ def test_embeddings_against_brute_force(spark, sizes):
     assert out.filter("kept <> (vec_id <=> component_id)").count() == 0
 
 
+def _reps(spark, x, labels):
+    rows = [(i, f"g{g}", [float(v) for v in row], 1) for i, (row, g) in enumerate(zip(x, labels))]
+    return spark.createDataFrame(rows, "node long, grp string, emb array<float>, w long").repartition(4)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "clustered"])
+def test_copies_of_a_vector_do_not_grow(spark, kind):
+    """Cells of halving radius: four times the vectors make four times the cells, not four times the copies."""
+    rng, reach, copies = np.random.default_rng(8), 0.2, []
+    for n in (600, 2400):
+        if kind == "uniform":
+            x = rng.normal(size=(n, 3))
+        else:
+            x = rng.normal(size=(n // 30, 16))[rng.integers(0, n // 30, n)] + rng.normal(size=(n, 16)) * 0.03
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        rows = emb.cells_of(_reps(spark, x, [0] * n), reach, block=40, pivots=8, sample=128).select("cell", "node", "home").collect()
+        copies.append(len(rows) / n)
+        home = {r["node"]: r["cell"] for r in rows if r["home"]}
+        assert sorted(home) == list(range(n)) and len(rows) - len(home) == sum(not r["home"] for r in rows)
+        if n == 600:  # every near pair stands in one cell, once
+            at = {}
+            for r in rows:
+                at.setdefault(r["cell"], []).append((r["node"], r["home"]))
+            met = [(min(a, b), max(a, b)) for c in at.values() for i, (a, h) in enumerate(c) for b, g in c[:i] if h or g]
+            assert len(met) == len(set(met))
+            d = np.linalg.norm(x[:, None] - x[None], axis=2)
+            assert {(int(a), int(b)) for a, b in np.argwhere(d <= reach) if a < b} <= set(met)
+    assert copies[1] < (1.5 if kind == "clustered" else 2.2) * copies[0]
+
+
+def test_labels_of_mixed_lengths_have_cells_of_their_own(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(v) for v in rng.normal(size=d)], 1) for i, d in enumerate([3] * 60 + [5] * 60)]
+    rows += [(1000 + i, r[1], 1) for i, r in enumerate(rows[::7])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    out = emb.embedding_dedup(df, block=10, pivots=4, sample=50)
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect()), key=str) == brute_vectors(rows)
+
+
 def test_cover_tree_invariants():
     rng = np.random.default_rng(5)
     x = np.concatenate([c + rng.normal(size=(30, 8)) * 0.05 for c in rng.normal(size=(10, 8))])
