@@ -2,7 +2,8 @@
 
 Nothing outside this folder (and ``corpus_pipeline.py``) imports it.  The
 functions that run in Python workers are pickled by value, so executors need
-Spark's own Python packages and numpy, but no copy of this repository.
+Spark's own Python packages, numpy, xxhash and sentencepiece, but no copy of this
+repository.
 """
 
 import sys
