@@ -78,12 +78,12 @@ def hot_pairs(left: DataFrame, right: DataFrame, on: str, max_pairs: int = PAIRS
     cuts_l = F.least(F.col("__m"), F.greatest(F.lit(1), F.ceil(F.sqrt(cells * F.col("__m") / F.col("__n")))))
     hot = m.join(n, on).filter(pairs > max_pairs).withColumn("__cuts_l", cuts_l.cast("int")).withColumn(
         "__cuts_r", F.ceil(cells / F.col("__cuts_l")).cast("int")).select(on, "__cuts_l", "__cuts_r")
-    hot = materialize(hot, "hot-keys").df
-    size = hot.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.coalesce(F.octet_length(F.col(on).cast("string")), F.lit(0)) + 40).alias("b"),
-    ).first()
-    return maybe_broadcast(hot, int(size["b"])) if size["n"] else None
+    held = materialize(hot, "hot-keys", n=F.count(F.lit(1)),
+                       size=F.sum(F.coalesce(F.octet_length(F.col(on).cast("string")), F.lit(0)) + 40))
+    if not held.metrics["n"]:
+        held.remove()
+        return None
+    return maybe_broadcast(held.df, int(held.metrics["size"]))
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner",
