@@ -41,7 +41,7 @@ class KeyRegistry:
 
     One writer at a time: of two that extend at once, the second to commit fails
     and, run again, numbers after the first.  Null is a value of a key like any
-    other.  ``fold`` ids of keys that are delivered again never change.
+    other.  The id of a key that is delivered again never changes.
     """
 
     def __init__(self, spark: SparkSession, path: str, columns: T.StructType | str, key: str, start: int = 0):
@@ -70,10 +70,11 @@ class KeyRegistry:
         paths = [self._generation(d.generation) for d in known if d.rows]
         return self.spark.read.schema(table).parquet(*paths) if paths else self.spark.createDataFrame([], table)
 
-    def _same(self, left: DataFrame, right: DataFrame, names: dict[str, str]):
+    def _same(self, names: dict[str, str]):
+        """Equality, null for null, of a frame's columns with those of :meth:`_known`."""
         same = F.lit(True)
         for own, other in names.items():
-            same = same & F.col(f"`{other}`").eqNullSafe(right[f"__k_{own}"])
+            same = same & F.col(f"`{other}`").eqNullSafe(F.col(f"`__k_{own}`"))
         return same
 
     def _known(self) -> DataFrame:
@@ -91,7 +92,7 @@ class KeyRegistry:
         fresh = rows.select(*[F.col(f"`{on[f.name]}`").cast(f.dataType).alias(f.name) for f in self.schema.fields]).distinct()
         if known:
             there = self._known()
-            fresh = fresh.join(there, self._same(fresh, there, {c: c for c in self.names}), "left_anti")
+            fresh = fresh.join(there, self._same({c: c for c in self.names}), "left_anti")
         first = known[-1].first + known[-1].rows if known else self.start
         numbered = assign_dense_key(fresh, self.names, self.key, start=first, front=False, ties="none")
         made = Delivery(delivery, known[-1].generation + 1 if known else 1, first, numbered.rows)
@@ -109,7 +110,7 @@ class KeyRegistry:
         rows is cut by AQE's skew join.  ``how="left"`` keeps rows of unknown keys."""
         on = {c: (on or {}).get(c, c) for c in self.names}
         there = self._known()
-        out = rows.drop(self.key).join(there, self._same(rows, there, on), how)
+        out = rows.drop(self.key).join(there, self._same(on), how)
         return out.withColumn(self.key, F.col("__id")).drop("__id", *[f"__k_{c}" for c in self.names])
 
     def remove(self) -> None:
