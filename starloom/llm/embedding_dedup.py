@@ -169,7 +169,7 @@ def _unit(column) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None] if len(x) else x
 
 
-def _split(cells: DataFrame, large: DataFrame, reach: float, pivots: int, sample: int, level: int) -> DataFrame:
+def _split(cells: DataFrame, large: DataFrame, reach: float, block: int, pivots: int, sample: int, level: int) -> DataFrame:
     """The rows of the children of the cells ``large`` (c2, n, salts), and whether a child
     is ``narrow``: within the link distance as a whole."""
     rows = cells.join(broadcast_if_small(large, 64), F.col("cell") == F.col("c2"))
@@ -179,12 +179,13 @@ def _split(cells: DataFrame, large: DataFrame, reach: float, pivots: int, sample
     def net(key, table):
         """A cell's pivots, one copy for each of its salts."""
         order = np.argsort(table.column("node").to_numpy())
-        found = pivot_net(_unit(table.column("emb"))[order], pivots)
+        # no more children than blocks: where covering radii tell little apart, each child is a copy more
+        found = pivot_net(_unit(table.column("emb"))[order], min(pivots, max(2, -(-table.column("n")[0].as_py() // block))))
         salts = table.column("salts")[0].as_py()
         flat = pa.array([found.ravel().tolist()] * salts, pa.list_(pa.float64()))
         return pa.table({"cell": [key[0].as_py()] * salts, "salt": pa.array(range(salts), pa.int64()), "net": flat})
 
-    nets = drawn.select("cell", "node", "emb", "salts").groupBy("cell").applyInArrow(net, "cell string, salt long, net array<double>")
+    nets = drawn.select("cell", "node", "emb", "salts", "n").groupBy("cell").applyInArrow(net, "cell string, salt long, net array<double>")
     dealt_rows = rows.select("cell", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), "node", "w", "emb", "home")
 
     def place(key, table, nets):
@@ -224,7 +225,7 @@ def cells_of(reps: DataFrame, reach: float, block: int, pivots: int, sample: int
         if not large.head(1):
             break
         leaves.append(at.join(broadcast_if_small(large.select("c2"), 64), F.col("cell") == F.col("c2"), "left_anti"))
-        below = stored(_split(at, large, reach, pivots, sample, level))
+        below = stored(_split(at, large, reach, block, pivots, sample, level))
         leaves.append(below.filter("narrow").drop("narrow"))
         at = below.filter("NOT narrow").drop("narrow")
     for leaf in leaves:
