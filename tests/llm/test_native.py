@@ -96,6 +96,18 @@ def test_wrapped_notices_are_found(spark, tmp_path):
     assert rows_of(license_scan.query(docs)) == by_sql(docs, "documents", license_scan.sql(), str(tmp_path / "d"))
 
 
+def test_a_notice_over_many_short_lines_is_found(spark, tmp_path):
+    """However narrow the column: a notice of one or two words a line."""
+    rows = []
+    for i, (label, notice, _) in enumerate(license_scan.TEMPLATES):
+        ws = notice.split()
+        rows += [(10 * i, "\n".join(ws), label), (10 * i + 1, "\n".join(" ".join(ws[k:k + 2]) for k in range(0, len(ws), 2)), label)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    found = license_scan.block_matches(docs).select("__id", "label").distinct().collect()
+    assert {(str(i), label) for i, _, label in rows} <= {tuple(r) for r in found}
+    assert rows_of(license_scan.query(docs)) == by_sql(docs, "documents", license_scan.sql(), str(tmp_path / "d"))
+
+
 def test_a_notice_needs_its_own_words(spark):
     rows = [(0, "Released under the Apache License"), (1, "Licensed under CC BY 4.0"), (2, "This work is licensed under the GNU General Public License, version 2"),
             (3, "Released under the MIT License")]
