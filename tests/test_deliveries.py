@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators import KeyBitmap, KeyRegistry, Publication, drop_duplicates_by_id, joins
-from starloom.operators import dedupe, key_registry
+from starloom.operators import assign_dense_key, dedupe, key_registry, renumber
 from starloom.plans import load as ld
 from starloom.plans import reports, title_blocks
 from starloom.plans.clean import clean_records
@@ -213,6 +213,49 @@ def test_expanded_bridge_is_the_bridge(spark):
     assert joins.PAIRS_PER_TASK > 0
 
 
+def test_reviews_are_numbered_from_their_two_sides(spark, monkeypatch):
+    """By title, with ties, a hot title and blocks smaller than it: the ids of a sort of
+    all pairs, no pair shuffled, and the same rows with the books' columns."""
+    import starloom.plans.title_blocks as tb
+
+    monkeypatch.setattr(tb, "REVIEW_BLOCK", 8)
+    monkeypatch.setattr(tb, "PAIRS_PER_TASK", 200)
+    rows = [("hot" if i % 3 else f"t{i % 40}", i % 7 if i % 11 else None, i % 5) for i in range(150)] + [(None, 1, 1)]
+    recs = spark.createDataFrame(rows, "title string, reviews int, score int")
+    books = assign_dense_key(recs.select(F.col("title").alias("book_title"), F.col("score").alias("num_pages")), ["book_title", "num_pages"], "book_id")
+    found = tb.ReviewBlocks.of(recs, books, ["reviews", "score"])
+    low = lambda v: (v is not None, v)
+    pairs = sorted(((b, r[1], r[2]) for b, t in books.df.select("book_id", "book_title").collect() for r in rows if t is not None and r[0] == t),
+                   key=lambda p: tuple(low(v) for v in p))
+    out = found.expanded()
+    assert sorted(map(tuple, out.collect())) == sorted(((i, *p) for i, p in enumerate(pairs)), key=lambda p: p[0])
+    assert found.rows == len(pairs) and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(found.with_books(books.df)) == rows_of(books.df.join(out, "book_id"))
+
+
+def test_renumbered_bridge_sorts_no_pair(spark):
+    rows = [(b, r) for b in (None, 3, 5, 9) for r in range(0, 9000 if b == 5 else 4)] + [(3, 1)]
+    pairs = spark.createDataFrame(rows, "book_id long, rating_id long")
+    found = ld._renumbered(pairs)
+    assert rows_of(found) == rows_of(renumber(pairs.withColumnRenamed("rating_id", "o"), ["book_id", "o"], "rating_id").df.drop("o"))
+    keys = spark.createDataFrame([(k,) for k in (1, 2, 7, 9000, -4)], "rating_id int")
+    out = ld.prepare_book_ratings(pairs, keys, spark.range(3, 6).withColumnRenamed("id", "book_id"))
+    assert out.columns == ["book_id", "rating_id"] and rows_of(out) == [(3, 7), (5, 9000)]
+    assert "hashpartitioning(rating_id" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_single_file_is_copied_by_its_one_task(spark, monkeypatch):
+    """Sorts and joins run before, in all tasks: what one task writes is a scan."""
+    import starloom.sources.csv_io as cs
+
+    seen, real = [], cs.materialize
+    monkeypatch.setattr(cs, "materialize", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    path = scratch_path(spark, "one")
+    cs.write_csv(spark.range(50).groupBy("id").count(), path, single_file=True, compression="gzip")
+    assert "Exchange" not in seen[0].df._jdf.queryExecution().executedPlan().toString()
+    assert cs.read_csv(spark, path, "id long, count long").count() == 50
+
+
 # publishing
 
 def test_interrupted_export_leaves_the_old_tables(spark, monkeypatch):
