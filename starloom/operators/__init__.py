@@ -8,6 +8,7 @@ from .key_registry import Delivery, KeyRegistry
 from .keys import Keyed, assign_dense_key, renumber
 from .materialize import materialize, observed_write
 from .membership import drop_existing, keep_existing, rejected_rows
+from .pair_registry import PairRegistry
 from .parallel import spread
 from .publish import Publication
 from .quality import null_census, null_census_tall, referential_counts, row_count, schema_report
@@ -19,6 +20,7 @@ __all__ = [
     "KeyBitmap",
     "KeyRegistry",
     "Keyed",
+    "PairRegistry",
     "Publication",
     "assign_dense_key",
     "broadcast_budget",

@@ -36,7 +36,30 @@ class Delivery:
     rows: int
 
 
-class KeyRegistry:
+class Ledger:
+    """Generations below ``path`` and the ledger that names them, whatever they hold."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def deliveries(self) -> list[Delivery]:
+        """The ledger, in order."""
+        found = [json.loads(read_small(self.spark, p)) for p in files(self.spark, self.path, "ledger-")]
+        return sorted((Delivery(**d) for d in found), key=lambda d: d.generation)
+
+    def _generation(self, n: int) -> str:
+        return f"{self.path}/gen-{n:06d}"
+
+    def _commit(self, made: Delivery) -> Delivery:
+        text, name = json.dumps(made.__dict__), f"ledger-{made.generation:06d}"
+        rename_new(self.spark, write_small(self.spark, f"{self.path}/_{name}", text), f"{self.path}/{name}")
+        return made
+
+    def remove(self) -> None:
+        remove_path(self.spark, self.path)
+
+
+class KeyRegistry(Ledger):
     """Natural keys (``columns``, a schema) and their ids (``key``) below ``path``.
 
     One writer at a time: of two that extend at once, the second to commit fails
@@ -45,21 +68,14 @@ class KeyRegistry:
     """
 
     def __init__(self, spark: SparkSession, path: str, columns: T.StructType | str, key: str, start: int = 0):
-        self.spark, self.path, self.key, self.start = spark, path.rstrip("/"), key, start
+        super().__init__(spark, path)
+        self.key, self.start = key, start
         self.schema = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
 
     @property
     def names(self) -> list[str]:
         return [f.name for f in self.schema.fields]
 
-    def deliveries(self) -> list[Delivery]:
-        """The ledger, in order."""
-        found = [json.loads(read_small(self.spark, p)) for p in files(self.spark, self.path, "ledger-")]
-        return sorted((Delivery(**d) for d in found), key=lambda d: d.generation)
-
-    def _generation(self, n: int) -> str:
-        return f"{self.path}/gen-{n:06d}"
-
     def keys(self, upto: str | None = None) -> DataFrame:
         """All keys and ids, or those known after delivery ``upto``."""
         table = T.StructType([*self.schema.fields, T.StructField(self.key, T.LongType())])
@@ -101,9 +117,7 @@ class KeyRegistry:
             # what a writer that died before its ledger left behind is not listed: replace it
             numbered.df.write.mode("overwrite").parquet(target)
         numbered.remove()
-        text, name = json.dumps(made.__dict__), f"ledger-{made.generation:06d}"
-        rename_new(self.spark, write_small(self.spark, f"{self.path}/_{name}", text), f"{self.path}/{name}")
-        return made
+        return self._commit(made)
 
     def attach(self, rows: DataFrame, on: dict[str, str] | None = None, how: str = "inner") -> DataFrame:
         """``rows`` with the id of their key, by an equal-key join; a key held by many
@@ -112,6 +126,3 @@ class KeyRegistry:
         there = self._known()
         out = rows.drop(self.key).join(there, self._same(on), how)
         return out.withColumn(self.key, F.col("__id")).drop("__id", *[f"__k_{c}" for c in self.names])
-
-    def remove(self) -> None:
-        remove_path(self.spark, self.path)

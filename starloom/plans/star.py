@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 from ..functions import arrays, text
 from ..operators.dedupe import distinct_values
 from ..operators.joins import hot_pairs, maybe_broadcast, salted_join
-from ..operators.key_registry import KeyRegistry
+from ..operators.key_registry import KeyRegistry, Ledger
 from ..operators.keys import Keyed, assign_dense_key
 from ..operators.materialize import materialize
+from ..operators.pair_registry import PairRegistry
 from ..session import remove_path
-from .title_blocks import ReviewBlocks
+from .title_blocks import ReviewBlocks, registered_reviews
 
 # Total orders that define each table's keys.  Rows tied on every listed
 # column are identical, so the numbering is deterministic.
@@ -217,6 +218,13 @@ def registered(rows: DataFrame, table: str, path: str, delivery: str, whole: boo
     return Keyed(made.df.select(*columns), key, made.metrics["rows"], path=made.path, dense=False)
 
 
+def review_registry(books: Keyed, path: str) -> PairRegistry:
+    """The registry of reviews by title below ``path``: it keeps the titles of the books of
+    each delivery, not the pairs."""
+    columns = ["book_title", "book_id", "record_id"]
+    return PairRegistry(books.df.sparkSession, f"{path.rstrip('/')}/reviews-by-title", books.df.select(*columns).schema, *columns)
+
+
 @dataclass
 class Star:
     """Lazily built star schema over one cleaned table.
@@ -375,8 +383,21 @@ class Star:
     def reviews(self) -> Keyed:
         if self.review_blocks:
             return self._get("reviews", lambda: titled_reviews(self.review_blocks))
-        return self._keyed("reviews", lambda: review_rows(self.records, self.books, self.attach, self.hot_titles),
-                           lambda: build_reviews(self.records, self.books, self.attach, self.key_order, self.hot_titles))
+        if self.registry:
+            return self._get("reviews", self._registered_reviews)
+        return self._get("reviews", lambda: build_reviews(self.records, self.books, self.attach, self.key_order, self.hot_titles))
+
+    def _registered_reviews(self) -> Keyed:
+        """By title from the two sides of the titles; by record, or where a registry holds
+        pairs already (of reviews by record, or of before), from the pairs."""
+        titles = review_registry(self.books, self.registry)
+        pairs = Ledger(self._source.sparkSession, f"{self.registry.rstrip('/')}/reviews").deliveries()
+        if self.attach == "record" and not pairs and titles.deliveries():
+            raise ValueError("the registry holds reviews by title")
+        if self.attach == "record" or pairs:
+            return registered(review_rows(self.records, self.books, self.attach, self.hot_titles), "reviews", self.registry, self.delivery)
+        titles.extend(self.books.df, self.delivery)
+        return registered_reviews(self.records, self.books, titles)
 
     @property
     def book_genres(self) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import PAIRS_PER_TASK, hot_pairs, maybe_broadcast, salted_join
 from ..operators.keys import Keyed, assign_dense_key, running_sum
 from ..operators.materialize import Written, materialize
+from ..operators.pair_registry import PairRegistry
 
 #: Ids of one block, about.
 BLOCK = 512
@@ -90,6 +91,12 @@ class TitleBlocks:
 REVIEW_BLOCK = 1024
 
 
+def _met_blocks(left: DataFrame, right: DataFrame, on: str, rows: int) -> Written:
+    """Pairs of blocks, written; a file holds about as many of the ``rows`` pairs as any other."""
+    met = salted_join(left, right, on, hot=hot_pairs(left, right, on, max(1, PAIRS_PER_TASK // REVIEW_BLOCK ** 2)))
+    return materialize(met.drop(on).repartition(max(1, -(-rows // PAIRS_PER_TASK))), "review-pairs")
+
+
 @dataclass
 class ReviewBlocks:
     """JOB7 unexpanded: the m x n reviews of a title, as its m books and its n records.
@@ -129,10 +136,7 @@ class ReviewBlocks:
         cut = F.pmod(F.xxhash64("book_id"), F.ceil(F.col("__m") / REVIEW_BLOCK))
         left = materialize(bases.df.groupBy("book_title", cut.alias("__cut")).agg(F.collect_list(F.struct("book_id", "__base")).alias("__left")).drop("__cut"), "review-books")
         rows = before.rows
-        met = salted_join(left.df, records.df, "book_title",
-                          hot=hot_pairs(left.df, records.df, "book_title", max(1, PAIRS_PER_TASK // REVIEW_BLOCK ** 2)))
-        # a file holds about as many pairs as any other
-        pairs = materialize(met.drop("book_title").repartition(max(1, -(-rows // PAIRS_PER_TASK))), "review-pairs")
+        pairs = _met_blocks(left.df, records.df, "book_title", rows)
         left.remove()
         return cls(bases, records, pairs, rows)
 
@@ -161,3 +165,45 @@ class ReviewBlocks:
     def remove(self) -> None:
         for table in (self.bases, self.records, self.pairs):
             table.remove()
+
+
+def _cut(rows: DataFrame) -> DataFrame:
+    """``rows``, a scan, with ``__cut``: those of a title dealt by their places to cuts of
+    about ``REVIEW_BLOCK``, whatever ids they repeat."""
+    sizes = rows.groupBy(F.col("book_title").alias("__hot")).agg(F.ceil(F.count(F.lit(1)) / REVIEW_BLOCK).alias("__cuts")).filter(F.col("__cuts") > 1)
+    hot = materialize(sizes, "hot-titles", size=F.sum(F.octet_length("__hot") + 48))
+    placed = rows.withColumn("__p", F.monotonically_increasing_id())
+    cut = placed.join(maybe_broadcast(hot.df, int(hot.metrics["size"] or 0)), F.col("book_title") == F.col("__hot"), "left")
+    return cut.withColumn("__cut", F.pmod(F.xxhash64("__p"), F.coalesce("__cuts", F.lit(1)))).drop("__p", "__hot", "__cuts")
+
+
+def registered_reviews(cleaned: DataFrame, books: Keyed, registry: PairRegistry) -> Keyed:
+    """JOB7 by title with ids of ``registry``, which holds the titles of ``books``: pairs of
+    blocks, expanded where they are read.  Both sides of a title go by the kinds of their
+    keys and the delivery that a pair came with: an id is a number of the book plus a place
+    of the record (see ``PairRegistry``)."""
+    numbers = registry.numbers()
+    titled = F.col("book_title").isNotNull()
+    held = [materialize(rows.filter(titled), "review-sides") for rows in (
+        books.df.select("book_title", "book_id").join(numbers.kinds.df.select("book_id", "__kind"), "book_id"),
+        cleaned.select(F.col("title").alias("book_title"), "record_id", "reviews", "score"))]
+    own, recs = (table.df for table in held)
+    # title, kind and delivery in one column: the first two parts hold no ":"
+    key = F.concat_ws(":", "__kind", F.col("__gen").cast("string"), "book_title").alias("__key")
+    based = _cut(own).join(numbers.bases.df, "book_id")
+    left = based.groupBy(key, "__cut").agg(F.collect_list(F.struct("book_id", "__base")).alias("__left")).drop("__cut")
+    seen = _cut(recs).join(own.select("book_title", "__kind").distinct(), "book_title")
+    place = numbers.places.df.select("__at", F.col("__kind").alias("__k"), "__gen", F.col("record_id").alias("__r"))
+    placed = seen.join(place, (F.col("__kind") == F.col("__k")) & F.col("record_id").eqNullSafe(F.col("__r")))
+    record = F.struct("__at", "reviews", "score", "record_id")
+    right = placed.groupBy(key, "__cut").agg(F.collect_list(record).alias("__right")).drop("__cut")
+    sides = [materialize(left, "review-books"), materialize(right, "review-records")]
+    m, n = (side.df.groupBy("__key").agg(F.sum(F.size(c)).alias(c)) for side, c in zip(sides, ("__left", "__right")))
+    rows = m.join(n, "__key").agg(F.sum(F.col("__left") * F.col("__right"))).first()[0] or 0
+    pairs = _met_blocks(sides[0].df, sides[1].df, "__key", rows)
+    for table in (*held, *sides, numbers):
+        table.remove()
+    one = pairs.df.select(F.explode("__left").alias("__l"), "__right")
+    out = one.select("__l.book_id", "__l.__base", F.explode("__right").alias("__r"))
+    out = out.select((F.col("__base") + F.col("__r.__at")).alias("review_id"), "book_id", "__r.reviews", "__r.score", "__r.record_id")
+    return Keyed(out, "review_id", rows, path=pairs.path, dense=False)

@@ -138,6 +138,58 @@ def test_star_ids_survive_a_second_delivery(spark):
     two.close()
 
 
+ODD = "title string, record_id string, reviews int, score int"
+
+
+def odd_deliveries(spark):
+    """Rows come, go, come back, change their title, repeat their id or have none."""
+    rng = random.Random(3)
+    rows = [("hot" if i % 3 else f"t{i % 5}", f"id{i:03d}", i % 7 or None, i) for i in range(60)]
+    two = [r for r in rows if rng.random() < .7]
+    two = [("t1" if i % 9 == 0 else t, x, n, i) for i, (t, x, n, _) in enumerate(two)] + [("hot", f"A{i}", i, i) for i in range(9)]
+    three = [r for r in rows + two if rng.random() < .6] + [("hot", None, 1, 1), ("hot", None, 2, 2), ("t2", None, 1, 3), (None, "id001", 1, 4), ("new", "id001", 1, 5)]
+    four = [(f"m{hash_ % 2}", x, n, s) for hash_, (_, x, n, s) in enumerate(rows)] + [("new", "id001", 1, 7)]
+    five = rows + [("alone", "z", None, None)]
+    return [spark.createDataFrame([r for r in d], ODD) for d in (rows[:40], two, three, [r for r in rows if r[0] is None], four, five)]
+
+
+def test_review_ids_from_two_sides_are_those_of_kept_pairs(spark, monkeypatch):
+    """Over odd deliveries, and one given twice with other rows: the ids that a registry
+    of all pairs gives; pairs are neither kept nor shuffled."""
+    import starloom.plans.star as st
+    import starloom.plans.title_blocks as tb
+
+    monkeypatch.setattr(tb, "REVIEW_BLOCK", 8)
+    path, deliveries = scratch_path(spark, "registries"), odd_deliveries(spark)
+    for n, rows in [*enumerate(deliveries), (1, deliveries[2])]:
+        rows = rows.localCheckpoint()
+        books = st.registered(rows.withColumnRenamed("title", "book_title"), "books", path, str(n))
+        want = st.registered(st.review_rows(rows, books).select("book_id", "reviews", "score", "record_id"), "reviews", path, str(n))
+        titles = st.review_registry(books, path)
+        titles.extend(books.df, str(n))
+        got = tb.registered_reviews(rows, books, titles)
+        assert got.df.columns == want.df.columns and rows_of(got.df) == rows_of(want.df) and got.rows == want.rows
+        plan = got.df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+        sides = sum(spark.read.parquet(f"{titles.path}/gen-{d.generation:06d}").count() for d in titles.deliveries())
+        assert sides <= sum(d.count() for d in deliveries)
+    kept = KeyRegistry(spark, f"{path}/reviews", "book_id long, record_id string", "review_id").deliveries()
+    assert [(d.name, d.first, d.rows) for d in titles.deliveries()] == [(d.name, d.first, d.rows) for d in kept]
+
+
+def test_star_goes_on_with_a_registry_of_pairs(spark):
+    cleaned = clean_records(raw(spark), keep_id=True)
+    path = scratch_path(spark, "registries")
+    by_record = {r["record_id"]: r["review_id"] for r in Star(cleaned, registry=path, delivery="1", attach="record").reviews.df.collect()}
+    two = Star(cleaned, registry=path, delivery="2")
+    own = {r["record_id"]: r["review_id"] for r in two.reviews.df.join(two.books.df.select("book_id", "record_id"), ["book_id", "record_id"]).collect()}
+    assert by_record and own == by_record
+    other = scratch_path(spark, "registries")
+    assert Star(cleaned, registry=other).reviews.rows == two.reviews.rows
+    with pytest.raises(ValueError):
+        Star(cleaned, registry=other, delivery="2", attach="record").reviews
+
+
 def test_increment_gives_only_what_is_new(spark):
     reg = registry(spark, "name string")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "name string, v int")
