@@ -298,7 +298,7 @@ def q_dedupe_by_id(spark, sf_dir):
 def _delivered(spark, sf_dir, name: str) -> DataFrame:
     """Cleaned records of the first delivery (two thirds of the parts) or of the
     second, which brings all of them."""
-    rows = raw(spark, sf_dir)
+    rows = raw_records_from_part(spread(read_testdata(spark, sf_dir, "part"), spark.sparkContext.defaultParallelism))
     if name == "first":
         rows = rows.filter(F.col("Rank").cast("long") % 3 != 0)
     return clean_records(rows, as_of=AS_OF, keep_id=True, store_repeated=False)

@@ -54,6 +54,7 @@ class PairRegistry(Ledger):
     def __init__(self, spark: SparkSession, path: str, sides: T.StructType, on: str, left: str, right: str, start: int = 0):
         super().__init__(spark, path)
         self.sides, self.on, self.left, self.right, self.start = sides, on, left, right, start
+        self._last: tuple[int, Written, Written] | None = None
 
     def extend(self, rows: DataFrame, delivery: str) -> Delivery:
         """Keep the rows of a delivery and number the pairs that are new with it.  A
@@ -67,25 +68,21 @@ class PairRegistry(Ledger):
         # what a writer that died before its ledger left behind is not listed: replace it
         own.filter(F.col(self.on).isNotNull()).distinct().withColumn("__gen", F.lit(n)).write.mode("overwrite").parquet(self._generation(n))
         first = known[-1].first + known[-1].rows if known else self.start
-        met = self._met(self._kinds([*known, Delivery(delivery, n, first, 0)]))
-        pairs = self._pairs(*met)
-        for table in met:
-            table.remove()
-        return self._commit(Delivery(delivery, n, first, pairs - (first - self.start)))
-
-    def _kinds(self, known: list[Delivery]) -> Written:
-        """Each key with its kind and the history that makes it: (on, generations) of
-        every value it had."""
+        kinds, met = self._met([*known, Delivery(delivery, n, first, 0)])
+        made = self._commit(Delivery(delivery, n, first, self._pairs(kinds, met) - (first - self.start)))
+        self._last = n, kinds, met
+        return made
+
+    def _met(self, known: list[Delivery]) -> tuple[Written, Written]:
+        """Each key with its kind and the history that makes it, (on, generations) of every
+        value it had; and (__kind, __other, __gen): the kinds that each kind pairs with, and
+        the first generation in which they had a common value."""
         table = T.StructType([*self.sides.fields, T.StructField("__gen", T.IntegerType())])
         rows = self.spark.read.schema(table).parquet(*[self._generation(d.generation) for d in known])
         per = rows.groupBy(self.left, self.right, self.on).agg(F.sort_array(F.collect_list("__gen")).alias("__gens"))
         held = F.sort_array(F.collect_list(F.struct(F.col(self.on).alias("__on"), "__gens")))
         keys = per.groupBy(self.left, self.right).agg(held.alias("__held"))
-        return materialize(keys.withColumn("__kind", F.sha2(F.to_json("__held"), 256)), "pair-kinds")
-
-    def _met(self, kinds: Written) -> tuple[Written, Written]:
-        """``kinds``, and (__kind, __other, __gen): the kinds that each kind pairs with, and
-        the first generation in which they had a common value."""
+        kinds = materialize(keys.withColumn("__kind", F.sha2(F.to_json("__held"), 256)), "pair-kinds")
         one = kinds.df.groupBy("__kind").agg(F.first("__held").alias("__held")).select("__kind", F.explode("__held").alias("__h"))
         one = one.select("__kind", F.col("__h.__on").alias("__on"), F.col("__h.__gens").alias("__gens"))
         two = one.select(F.col("__kind").alias("__other"), "__on", F.col("__gens").alias("__theirs"))
@@ -102,7 +99,12 @@ class PairRegistry(Ledger):
 
     def numbers(self) -> PairNumbers:
         """Of all deliveries in the ledger; the caller removes it."""
-        kinds, met = self._met(self._kinds(self.deliveries()))
+        known = self.deliveries()
+        if self._last and self._last[0] == known[-1].generation:  # as just extended
+            _, kinds, met = self._last
+        else:
+            kinds, met = self._met(known)
+        self._last = None
         own = kinds.df.select(F.col("__kind").alias("__other"), self.right)
         views = met.df.join(own, "__other").select("__kind", "__gen", self.right)
         places = assign_dense_key(views, ["__kind", "__gen", self.right], "__at", ties="none")
