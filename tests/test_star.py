@@ -151,3 +151,33 @@ def test_fill_report_counts(spark):
     r = sq.q_fill_defaults(spark, SF01).first()
     assert (r.pages_filled, r.num_ratings_filled) == (66, 50)
     assert r.description_filled == 0  # text cleaning already replaced missing text
+
+
+def _parts(spark, tmp_path, n=60):
+    rows = [(k, f"name {k % 3}", "Brand#1", "SMALL", k % 50, float(k)) for k in range(1, n + 1)]
+    columns = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    return str(tmp_path)
+
+
+def test_source_of_a_star_is_dealt_over_the_cores(spark, tmp_path):
+    """One small file is one split, which one task would clean."""
+    at = _parts(spark, tmp_path)
+    for made in (sq.star(spark, at), sq.record_star(spark, at)):
+        assert "RoundRobinPartitioning" in made.cleaned._jdf.queryExecution().executedPlan().toString()
+        assert made.cleaned.count() == 60
+
+
+def test_tasks_of_a_title_join_go_by_its_pairs(spark, tmp_path, monkeypatch):
+    import starloom.plans.star as st
+
+    at = _parts(spark, tmp_path)
+    views_of = (views.books_ratings_wide, views.books_left_ratings, views.ratings_left_books, views.book_rating_details, lambda s: s.book_ratings)
+    before = [sorted(map(str, v(sq.star(spark, at)).collect())) for v in views_of]
+    monkeypatch.setattr(st, "PAIRS_PER_TASK", 50)
+    made = sq.star(spark, at)
+    assert made.pair_tasks == -(-len(before[-1]) // 50) > 4
+    for v, rows in zip(views_of, before):
+        out = v(made)
+        assert f", {made.pair_tasks}), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, out.collect())) == rows
