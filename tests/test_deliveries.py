@@ -214,6 +214,17 @@ def test_bitmap_membership_is_exact(spark):
     assert none.buckets == 0 and none.keep(df, "c").count() == 0 and none.drop(df, "c").count() == len(child)
 
 
+def test_a_row_looks_at_a_bit_without_text(spark):
+    """Bytes become words once per bucket, every bit of which is found."""
+    from starloom.operators import bitmap_membership as bm
+
+    assert "conv(" not in str(bm._bit(F.col("w"), F.col("p")))
+    keys = [k for k in range(-70_000, 70_000) if k * k % 11 in (1, 3)]
+    bitmap = KeyBitmap.of(spark.createDataFrame([(k,) for k in keys], "k long"), "k")
+    kept = bitmap.keep(spark.range(-70_000, 70_000), "id")
+    assert sorted(r["id"] for r in kept.collect()) == keys
+
+
 def test_bitmaps_of_deliveries_join(spark):
     a, b = (KeyBitmap.of(spark.range(x, y), "id") for x, y in ((0, 40_000), (30_000, 70_000)))
     both = KeyBitmap.union(a, b)
@@ -307,6 +318,22 @@ def test_single_file_is_copied_by_its_one_task(spark, monkeypatch):
     assert cs.read_csv(spark, path, "id long, count long").count() == 50
 
 
+def test_gzip_exports_are_written_at_the_fast_level(spark, monkeypatch):
+    """Most of the time of an export of pairs went into the last few bytes of a file."""
+    import starloom.sources.csv_io as cs
+
+    pairs = spark.range(0, 200_000, 1, 1).select("id", (F.col("id") * 31 % 1000003).alias("n"), (F.col("id") * 1009 % 9999991).alias("m"))
+    held = []
+    for level in (cs.GZIP_LEVEL, {}):
+        monkeypatch.setattr(cs, "GZIP_LEVEL", level)
+        path = scratch_path(spark, "level")
+        cs.write_csv(pairs, path, compression="gzip")
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        held.append(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+        assert cs.read_csv(spark, path, "id long, n long, m long").count() == 200_000
+    assert held[1] < held[0] < 1.3 * held[1]
+
+
 # publishing
 
 def test_interrupted_export_leaves_the_old_tables(spark, monkeypatch):
