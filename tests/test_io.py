@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.sources import read_csv, read_csv_skip_long_lines, write_csv
@@ -127,3 +129,48 @@ def test_second_export_replaces_the_first(spark):
     write_csv(spark.range(7), path, single_file=True)
     assert read_csv(spark, path, "id long").count() == 7
     assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
+
+
+def test_single_file_of_what_all_tasks_write(spark, tmp_path):
+    """Rows too many for one task: all write, and the bytes are joined, in the rows' order."""
+    import gzip
+
+    rows = spark.range(0, 1000, 1, 5).select("id", F.when(F.col("id") % 7 != 0, F.col("id") * 3).alias("n"), F.spark_partition_id().alias("task"))
+    want = sorted(tuple(r) for r in rows.collect())
+    path = str(tmp_path / "one")
+    for compression, opened in (("gzip", gzip.open), (None, open)):
+        write_csv(rows, path, single_file=True, staged=False, compression=compression)
+        (file,) = [p for p in (tmp_path / "one").iterdir() if p.name.startswith("part-")]
+        with opened(file, "rt") as text:
+            lines = text.read().splitlines()
+        assert lines[0] == "id,n,task" and [int(x.split(",")[0]) for x in lines[1:]] == list(range(1000))
+        for multi_line in (True, False):
+            back = read_csv(spark, path, "id long, n long, task int", multi_line=multi_line)
+            assert sorted(tuple(r) for r in back.collect()) == want and len({r["task"] for r in back.collect()}) == 5
+
+
+def test_joined_file_keeps_the_modes(spark, tmp_path):
+    path = str(tmp_path / "one")
+    count = lambda: (read_csv(spark, path, "id long").count(), sum(p.name.startswith("part-") for p in (tmp_path / "one").iterdir()))
+    write = lambda n, mode: write_csv(spark.range(n), path, mode=mode, single_file=True, staged=False, compression="gzip")
+    write(10, "error")
+    with pytest.raises(FileExistsError):
+        write(3, "error")
+    write(3, "ignore")
+    assert count() == (10, 1)
+    write(3, "append")
+    assert count() == (13, 2)
+    write(0, "overwrite")
+    assert count() == (0, 1)  # the header
+
+
+def test_published_numbers_are_read_by_lines(spark, tmp_path):
+    from starloom.operators import Publication
+    from starloom.plans.export import read_published
+
+    numbers, texts = spark.range(5), spark.createDataFrame([("a\nb",)], "t string")
+    Publication(spark, str(tmp_path)).publish({"n": numbers, "t": texts}, lambda df, p: write_csv(df, p, single_file=True, staged=False, compression="gzip"))
+    back = read_published(spark, str(tmp_path), {"n": numbers.schema, "t": texts.schema})
+    options = {k: df._jdf.queryExecution().analyzed().relation().options().get("multiLine").get() for k, df in back.items()}
+    assert options == {"n": "false", "t": "true"}
+    assert back["n"].count() == 5 and {r["t"] for r in back["t"].collect()} == {"a\nb"}
