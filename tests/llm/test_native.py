@@ -108,6 +108,21 @@ def test_a_notice_over_many_short_lines_is_found(spark, tmp_path):
     assert rows_of(license_scan.query(docs)) == by_sql(docs, "documents", license_scan.sql(), str(tmp_path / "d"))
 
 
+def test_wrapped_notices_of_given_templates_are_found(spark):
+    """Runs are as wide as the words of a notice are by the rule for texts, not by its
+    blanks, and its letters are those of a text that holds it."""
+    notices = (("hyphens", "non-exclusive/royalty-free/world-wide sub-license/re-use/re-distribution of the so-called data-base-rights", "royalty free"),
+               ("accents", "Œuvre placée sous la licence de l'État, Établie par l'Équipe", "État Œuvre"),
+               ("any", "all rights of copying are waived by its author", ""))
+    rows = []
+    for i, (label, notice, _) in enumerate(notices):
+        apart = notice.replace("-", "\n").replace("/", "\n").replace(" ", "\n")
+        rows += [(10 * i, notice, label), (10 * i + 1, notice.replace(" ", "\n"), label), (10 * i + 2, f"before\n{apart}\nafter", label)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    found = license_scan.block_matches(docs, templates=notices).filter("containment = 1").select("__id", "label").distinct().collect()
+    assert {tuple(r) for r in found} >= {(str(i), label) for i, _, label in rows}
+
+
 def test_a_notice_needs_its_own_words(spark):
     rows = [(0, "Released under the Apache License"), (1, "Licensed under CC BY 4.0"), (2, "This work is licensed under the GNU General Public License, version 2"),
             (3, "Released under the MIT License")]
